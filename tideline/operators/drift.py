@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,7 @@ FEW_VALUES = 5  # a numeric column with at most this many distinct reference val
 P_VALUE_THRESHOLD = 0.05
 DISTANCE_THRESHOLD = 0.1
 DRIFT_SHARE = 0.5  # a data set drifts when at least this share of its columns does
+LAYOUT_SAMPLE = 0.02  # share of rows that the bucket bounds are read from
 SPREAD_FLOOR = 0.001  # least standard deviation the Wasserstein distance is divided by
 # -----------------------------------------------------------------------------------------------------
 
@@ -60,7 +61,12 @@ def _sides(reference: DataFrame, current: DataFrame, columns: Sequence[str], as_
 
 
 def _layout(both: DataFrame, columns: Sequence[str], buckets: int) -> list[list[float]]:
-    """Per column, increasing bucket bounds with open ends. At most `buckets` numbers per column reach the driver."""
+    """Per column, increasing bucket bounds with open ends. At most `buckets` numbers per column reach the driver.
+
+    The bounds only have to be about right, so they are taken from a sample, the way a range partitioner does; a
+    frame too small to be sampled needs no buckets.
+    """
+    both = both.sample(LAYOUT_SAMPLE, seed=1)
     steps = [i / buckets for i in range(1, buckets)] or [0.5]
     finite = {c: F.when(~F.isnan(c), F.col(c)) for c in columns}
     found = both.agg(*(F.percentile_approx(v, steps, 20 * buckets).alias(c) for c, v in finite.items())).first()
@@ -82,14 +88,15 @@ def numeric_counts(
         outputCols=places,
         handleInvalid="keep",
     ).transform(both)
-    pairs = placed.select(
-        "_r", "_c", *(F.struct(F.col(p).cast("int").alias("bucket"), F.col(c).alias("value")).alias(c)
-                      for c, p in zip(columns, places))
-    )
+    entries = [
+        F.struct(F.lit(c).alias("column"), F.col(p).cast("int").alias("bucket"), F.col(c).alias("value"))
+        for c, p in zip(columns, places)
+    ]
+    # The null checks on the grouping keys are what the join on them would infer on one of its sides only; stated
+    # here, both sides have the same plan and the shuffle of the counts is done once and reused.
     return (
-        pairs.unpivot(["_r", "_c"], list(columns), "column", "pair")
-        .select("_r", "_c", "column", "pair.bucket", "pair.value")
-        .filter("value IS NOT NULL AND NOT isnan(value)")
+        placed.select("_r", "_c", F.inline(F.array(*entries)))
+        .filter("column IS NOT NULL AND bucket IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)")
         .groupBy("column", "bucket", "value")
         .agg(F.sum("_r").alias("r"), F.sum("_c").alias("c"))
     )
@@ -97,98 +104,108 @@ def numeric_counts(
 
 def categorical_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value, r, c): occurrences of each category on either side; null is left out."""
+    entries = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]
     return (
         _sides(reference, current, columns, "string")
-        .unpivot(["_r", "_c"], list(columns), "column", "value")
-        .filter("value IS NOT NULL")
+        .select("_r", "_c", F.inline(F.array(*entries)))
+        .filter("column IS NOT NULL AND value IS NOT NULL")
         .groupBy("column", "value")
         .agg(F.sum("_r").alias("r"), F.sum("_c").alias("c"))
     )
 
 
-def _ratio(part: str | Column, whole: str | Column) -> Column:
-    return F.try_divide(part, whole)
-
-
-def _category_aggregates() -> list[Column]:
-    """Aggregates over (r, c, n, m) shared by both kinds of column."""
-    p, q = _ratio(F.col("r"), F.col("n")), _ratio(F.col("c"), F.col("m"))
-    middle = (p + q) / 2
-    divergence = F.when(p > 0, p * F.log(p / middle)).otherwise(0.0) + F.when(q > 0, q * F.log(q / middle)).otherwise(0.0)
-    expected_r = F.col("n") * _ratio(F.col("r") + F.col("c"), F.col("n") + F.col("m"))
-    expected_c = F.col("m") * _ratio(F.col("r") + F.col("c"), F.col("n") + F.col("m"))
-    chi2 = _ratio(F.pow(F.col("r") - expected_r, 2.0), expected_r) + _ratio(F.pow(F.col("c") - expected_c, 2.0), expected_c)
-    both_sides = (F.col("n") > 0) & (F.col("m") > 0)
-    return [
-        F.max("n").alias("reference_rows"),
-        F.max("m").alias("current_rows"),
-        F.count_if(F.col("r") > 0).alias("reference_values"),
-        F.count(F.lit(1)).alias("all_values"),
-        F.sqrt(F.greatest(F.lit(0.0), F.sum(F.when(both_sides, divergence)) / 2)).alias("jensen_shannon"),
-        F.sum(F.when(both_sides, chi2)).alias("chi2"),
-    ]
+# Aggregates over rows (r, c) of one column with its totals (n, m).
+_SIZES = {
+    "reference_rows": "max(n)",
+    "current_rows": "max(m)",
+    "reference_values": "count_if(r > 0)",
+    "all_values": "count(1)",
+}
+
+
+def _category_aggregates(where: str = "true") -> dict[str, str]:
+    """Jensen-Shannon distance and chi-square of the two-row table, over rows that meet the condition."""
+    counted = f"n > 0 AND m > 0 AND {where}"
+    return {
+        "jensen_shannon": f"""sqrt(greatest(0D, sum(if({counted},
+            if(r > 0, r / n * ln(2D * (r / n) / (r / n + c / m)), 0D)
+            + if(c > 0, c / m * ln(2D * (c / m) / (r / n + c / m)), 0D), NULL)) / 2D))""",
+        "chi2": f"""sum(if({counted},
+            pow(r - n * ((r + c) / (n + m)), 2) / (n * ((r + c) / (n + m)))
+            + pow(c - m * ((r + c) / (n + m)), 2) / (m * ((r + c) / (n + m))), NULL))""",
+    }
+
+
+_STATISTICS = [*_SIZES, *_category_aggregates()]
+
+
+def _named(expressions: dict[str, str]) -> list[Column]:
+    return [F.expr(expression).alias(name) for name, expression in expressions.items()]
 
 
 def numeric_statistics(counts: DataFrame, settings: DriftSettings = DriftSettings()) -> DataFrame:
-    """One row per numeric column: KS distance, Wasserstein distance plain and normed, and the category statistics."""
-    # At most (buckets + 1) rows per column: small enough for one task per column, and to broadcast.
+    """One row per numeric column: KS distance, Wasserstein distance plain and normed.
+
+    The category statistics are filled in for columns with so few values that they count as categories.
+    """
     totals = counts.groupBy("column", "bucket").agg(
-        F.sum("r").alias("r"),
-        F.sum("c").alias("c"),
-        F.min("value").alias("least"),
-        F.sum(F.col("r") * F.col("value")).alias("sum_r"),
+        *_named(
+            {
+                "r": "sum(r)",
+                "c": "sum(c)",
+                "least_value": "min(value)",
+                "sum_r": "sum(r * value)",
+                "values_r": "count_if(r > 0)",
+            }
+        )
     )
-    whole = Window.partitionBy("column")
-    in_order = whole.orderBy("bucket")
-    offsets = totals.select(
+    # At most (buckets + 1) rows per column: small enough for one task per column, and to broadcast.
+    offsets = totals.selectExpr(
         "column",
         "bucket",
-        (F.sum("r").over(in_order) - F.col("r")).alias("r_before"),
-        (F.sum("c").over(in_order) - F.col("c")).alias("c_before"),
-        F.lead("least").over(in_order).alias("next_bucket_least"),
-        F.sum("r").over(whole).alias("n"),
-        F.sum("c").over(whole).alias("m"),
-        _ratio(F.sum("sum_r").over(whole), F.sum("r").over(whole)).alias("mean"),
+        "sum(r) OVER (PARTITION BY column ORDER BY bucket) - r AS r_before",
+        "sum(c) OVER (PARTITION BY column ORDER BY bucket) - c AS c_before",
+        "lead(least_value) OVER (PARTITION BY column ORDER BY bucket) AS next_bucket_value",
+        "sum(r) OVER (PARTITION BY column) AS n",
+        "sum(c) OVER (PARTITION BY column) AS m",
+        "try_divide(sum(sum_r) OVER (PARTITION BY column), sum(r) OVER (PARTITION BY column)) AS mean",
+        f"sum(values_r) OVER (PARTITION BY column) <= {settings.few_values} AS few",
+    )
+    inside = "OVER (PARTITION BY column, bucket ORDER BY value)"
+    upto = "OVER (PARTITION BY column, bucket ORDER BY value ROWS UNBOUNDED PRECEDING)"
+    steps = counts.join(F.broadcast(offsets), ["column", "bucket"]).selectExpr(
+        "column", "value", "r", "c", "n", "m", "mean", "few",
+        f"abs(try_divide(r_before + sum(r) {upto}, n) - try_divide(c_before + sum(c) {upto}, m)) AS gap",
+        f"coalesce(lead(value) {inside}, next_bucket_value, value) AS next_value",
     )
-    inside = Window.partitionBy("column", "bucket").orderBy("value")
-    running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    steps = counts.join(F.broadcast(offsets), ["column", "bucket"]).select(
-        "column", "value", "r", "c", "n", "m", "mean",
-        F.abs(
-            _ratio(F.col("r_before") + F.sum("r").over(running), F.col("n"))
-            - _ratio(F.col("c_before") + F.sum("c").over(running), F.col("m"))
-        ).alias("gap"),
-        F.coalesce(F.lead("value").over(inside), F.col("next_bucket_least"), F.col("value")).alias("next_value"),
+    found = steps.groupBy("column").agg(
+        *_named(
+            _SIZES
+            | _category_aggregates("few")
+            | {
+                "ks": "max(gap)",
+                "wasserstein": "sum(gap * (next_value - value))",
+                "spread": "sqrt(try_divide(sum(r * pow(value - mean, 2)), max(n)))",
+            }
+        )
     )
-    spread = F.sqrt(_ratio(F.sum(F.col("r") * F.pow(F.col("value") - F.col("mean"), 2.0)), F.max("n")))
-    return steps.groupBy("column").agg(
-        *_category_aggregates(),
-        F.max("gap").alias("ks"),
-        F.sum(F.col("gap") * (F.col("next_value") - F.col("value"))).alias("wasserstein"),
-        spread.alias("spread"),
-    ).select(
+    return found.selectExpr(
         "column",
-        F.lit("numeric").alias("kind"),
-        *_COMMON,
+        "'numeric' AS kind",
+        *_STATISTICS,
         "ks",
         "wasserstein",
-        (F.col("wasserstein") / F.greatest(F.col("spread"), F.lit(settings.spread_floor))).alias("wasserstein_normed"),
+        f"wasserstein / greatest(spread, {settings.spread_floor}D) AS wasserstein_normed",
     )
 
 
-_COMMON = ["reference_rows", "current_rows", "reference_values", "all_values", "jensen_shannon", "chi2"]
-
-
 def categorical_statistics(counts: DataFrame) -> DataFrame:
     """One row per categorical column, with null for the statistics that need an order."""
     # One row per column: broadcast, so that a column with many categories is not gathered in one task.
-    totals = counts.groupBy("column").agg(F.sum("r").alias("n"), F.sum("c").alias("m"))
-    return counts.join(F.broadcast(totals), "column").groupBy("column").agg(*_category_aggregates()).select(
-        "column",
-        F.lit("categorical").alias("kind"),
-        *_COMMON,
-        *(F.lit(None).cast("double").alias(name) for name in ("ks", "wasserstein", "wasserstein_normed")),
-    )
+    totals = counts.groupBy("column").agg(*_named({"n": "sum(r)", "m": "sum(c)"}))
+    found = counts.join(F.broadcast(totals), "column").groupBy("column").agg(*_named(_SIZES | _category_aggregates()))
+    ordered = [f"cast(NULL AS double) AS {name}" for name in ("ks", "wasserstein", "wasserstein_normed")]
+    return found.selectExpr("column", "'categorical' AS kind", *_STATISTICS, *ordered)
 
 
 def drift_statistics(
@@ -222,41 +239,34 @@ def drift_report(
 ) -> DataFrame:
     """The verdict per column: (date, column, kind, method, statistic, threshold, drifted)."""
     found = drift_statistics(reference, current, columns, exclude, settings)
-    n, m = F.col("reference_rows"), F.col("current_rows")
-    small = n <= settings.small_reference
-    ordered = (F.col("kind") == "numeric") & (F.col("reference_values") > settings.few_values)
-    binary = F.col("all_values") <= 2
-    method = (
-        F.when(small & ordered, "ks p-value")
-        .when(small & binary, "z p-value")
-        .when(small, "chi-square p-value")
-        .when(ordered, "wasserstein normed")
-        .otherwise("jensen-shannon")
-    )
+    small = f"reference_rows <= {settings.small_reference}"
+    ordered = f"kind = 'numeric' AND reference_values > {settings.few_values}"
     # The squared z of two proportions is the chi-square of their table, with the same tail.
-    table_p = chi2_p_value(F.when(small & ~ordered, F.col("chi2")), F.col("all_values") - 1)
-    statistic = (
-        F.when((n == 0) | (m == 0), F.lit(None))
-        .when(small & ordered, ks_p_value(F.col("ks"), n, m))
-        .when(small, F.col("_table_p"))
-        .when(ordered, F.col("wasserstein_normed"))
-        .otherwise(F.col("jensen_shannon"))
+    judged = found.selectExpr(
+        "column",
+        "kind",
+        f"""CASE WHEN {small} AND {ordered} THEN 'ks p-value'
+            WHEN {small} AND all_values <= 2 THEN 'z p-value'
+            WHEN {small} THEN 'chi-square p-value'
+            WHEN {ordered} THEN 'wasserstein normed'
+            ELSE 'jensen-shannon' END AS method""",
+        f"""CASE WHEN reference_rows = 0 OR current_rows = 0 THEN NULL
+            WHEN {small} AND {ordered} THEN {ks_p_value("ks", "reference_rows", "current_rows")}
+            WHEN {small} THEN {chi2_p_value("chi2", "(all_values - 1)")}
+            WHEN {ordered} THEN wasserstein_normed
+            ELSE jensen_shannon END AS statistic""",
+        f"if({small}, {settings.p_value_threshold}D, {settings.distance_threshold}D) AS threshold",
     )
-    threshold = F.when(small, settings.p_value_threshold).otherwise(settings.distance_threshold)
-    beyond = F.when(small, F.col("statistic") < threshold).otherwise(F.col("statistic") >= threshold)
-    return (
-        found.withColumn("_table_p", table_p)
-        .withColumn("statistic", statistic)
-        .select(
-            _date(run_date),
-            "column",
-            "kind",
-            method.alias("method"),
-            "statistic",
-            threshold.alias("threshold"),
-            # A column that is empty on one side has no distribution left to agree with.
-            F.coalesce(beyond, F.lit(True)).alias("drifted"),
-        )
+    beyond = "if(method LIKE '% p-value', statistic < threshold, statistic >= threshold)"
+    # A column that is empty on one side has no distribution left to agree with.
+    return judged.select(
+        _date(run_date),
+        "column",
+        "kind",
+        "method",
+        "statistic",
+        "threshold",
+        F.expr(f"coalesce({beyond}, true)").alias("drifted"),
     )
 
 

@@ -290,7 +290,7 @@ def _landed_orders(spark, sf_dir) -> str:
 
 
 def _order_feed(folder: str) -> Feed:
-    return Feed(f"{folder}/delivery=*", _ORDER_FILE, ["o_orderkey", "o_custkey"], DELIVERY_PATTERN)
+    return Feed(folder, _ORDER_FILE, ["o_orderkey", "o_custkey"], DELIVERY_PATTERN)
 
 
 def incremental_ingest(spark, sf_dir):
@@ -314,7 +314,7 @@ def stream_upsert(spark, sf_dir):
 def stream_to_parquet(spark, sf_dir):
     folder = _landed_orders(spark, sf_dir)
     name = f"default.landed_orders_{uuid.uuid4().hex}"
-    stream = file_stream(spark, f"{folder}/delivery=*", _ORDER_FILE, pattern=DELIVERY_PATTERN).drop(CORRUPT)
+    stream = file_stream(spark, folder, _ORDER_FILE, pattern=DELIVERY_PATTERN).drop(CORRUPT)
     stream_to_table(stream, name, new_folder(spark, "checkpoint"), new_folder(spark, "table")).awaitTermination()
     return spark.table(name).select(*_ORDER_FILE.names, VERSION)
 
@@ -333,7 +333,7 @@ def csv_scan_malformed(spark, sf_dir):
 
 def csv_scan_strings(spark, sf_dir):
     folder = _landed_orders(spark, sf_dir)
-    scanned = with_lineage(scan_csv(spark, f"{folder}/delivery=*"), DELIVERY_PATTERN)
+    scanned = with_lineage(scan_csv(spark, folder), DELIVERY_PATTERN)
     return scanned.groupBy("o_orderpriority", VERSION).agg(F.count(F.lit(1)).alias("row_count"))
 
 
@@ -413,29 +413,30 @@ def _event_sides(spark, sf_dir):
     return events.filter(_MIDDLE).drop("ts"), events.filter(f"NOT ({_MIDDLE})").drop("ts")
 
 
-def _statistic(spark, sf_dir, kind: str, names: list[str]) -> DataFrame:
-    found = [
-        D.drift_statistics(*sides(spark, sf_dir)).filter(F.col("kind") == kind)
-        for sides in (_line_sides, _event_sides)
-    ]
+_NUMERIC = [*MEASURES, "value"]
+_CATEGORICAL = ["l_returnflag", "l_linestatus", "event_type"]
+
+
+def _statistic(spark, sf_dir, columns: list[str], names: list[str]) -> DataFrame:
+    found = [D.drift_statistics(*sides(spark, sf_dir), columns=columns) for sides in (_line_sides, _event_sides)]
     both = found[0].unionByName(found[1])
     return both.select("column", *(F.round(F.col(name), 6).alias(name) for name in names))
 
 
 def drift_ks(spark, sf_dir):
-    return _statistic(spark, sf_dir, "numeric", ["ks"])
+    return _statistic(spark, sf_dir, _NUMERIC, ["ks"])
 
 
 def drift_wasserstein(spark, sf_dir):
-    return _statistic(spark, sf_dir, "numeric", ["wasserstein", "wasserstein_normed"])
+    return _statistic(spark, sf_dir, _NUMERIC, ["wasserstein", "wasserstein_normed"])
 
 
 def drift_js(spark, sf_dir):
-    return _statistic(spark, sf_dir, "categorical", ["jensen_shannon"])
+    return _statistic(spark, sf_dir, _CATEGORICAL, ["jensen_shannon"])
 
 
 def drift_chi2(spark, sf_dir):
-    return _statistic(spark, sf_dir, "categorical", ["chi2"])
+    return _statistic(spark, sf_dir, _CATEGORICAL, ["chi2"])
 
 
 def _line_report(spark, sf_dir):

@@ -17,12 +17,13 @@ def with_corrupt(schema: T.StructType) -> T.StructType:
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Comma-separated files with a header. Without a schema every column is a string.
+    """Comma-separated files with a header: one file, a glob, or a folder with everything below it.
 
+    Without a schema every column is a string.
     With one, a line that does not fit is kept: its bad fields are null and its text is in `_corrupt_record`.
     Header names are checked against the schema.
     """
-    reader = spark.read.option("sep", ",").option("header", True)
+    reader = spark.read.option("sep", ",").option("header", True).option("recursiveFileLookup", True)
     if schema is None:
         return reader.csv(path)
     return (
@@ -41,7 +42,7 @@ def with_lineage(df: DataFrame, pattern: str = VERSION_PATTERN) -> DataFrame:
 
 def versions_present(spark: SparkSession, source: str, pattern: str = VERSION_PATTERN) -> list[int]:
     """Versions in the landing area, ascending. Lists names only; no file is opened."""
-    listing = spark.read.format("binaryFile").load(source)
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
     found = listing.select(file_version(F.col("path"), pattern).alias("v")).filter("v IS NOT NULL").distinct()
     return sorted(row.v for row in found.collect())
 

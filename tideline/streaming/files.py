@@ -17,8 +17,8 @@ def file_stream(
     pattern: str = VERSION_PATTERN,
     max_files: int | None = None,
 ) -> DataFrame:
-    """New files of a folder or glob as a stream, with lineage. The schema is declared, never inferred."""
-    reader = spark.readStream.format(file_format)
+    """New files below a folder as a stream, with lineage. The schema is declared, never inferred."""
+    reader = spark.readStream.format(file_format).option("recursiveFileLookup", True)
     if file_format == "csv":
         schema = with_corrupt(schema)
         reader = reader.option("header", True).option("columnNameOfCorruptRecord", CORRUPT)
