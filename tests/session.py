@@ -1,11 +1,12 @@
 """The session of tests and local tools."""
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | None = None) -> SparkSession:
+def local_session(cores: int | None = None, warehouse: str | None = None) -> SparkSession:
     cores = cores or int(os.environ.get("BENCH_CPUS", "8"))
     return (
         SparkSession.builder.master(f"local[{cores}]")
@@ -13,6 +14,7 @@ def local_session(cores: int | None = None) -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", warehouse or tempfile.mkdtemp(prefix="run-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

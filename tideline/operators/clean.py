@@ -29,6 +29,8 @@ def distinct_rows(df: DataFrame, lineage: Iterable[str] = ()) -> DataFrame:
         return df.dropDuplicates()
     content = [c for c in df.columns if c not in traced]
     newest = F.max(F.struct(*traced))
+    if len(traced) == 1:
+        return df.groupBy(*content).agg(F.max(traced[0]).alias(traced[0])).select(*df.columns)
     return df.groupBy(*content).agg(newest.alias("_newest")).select(
         *(F.col(f"_newest.{c}").alias(c) if c in traced else F.col(c) for c in df.columns)
     )

@@ -12,6 +12,15 @@ from pyspark.sql import functions as F
 from tideline.functions.cleaning import all_not_null
 
 
+# Rows up to which an update's side is broadcast; checked by counting, not estimated.
+BROADCAST_ROWS = 100_000
+
+
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a frame has at most `rows` rows; counts no further than that."""
+    return df.limit(rows + 1).count() <= rows
+
+
 class DuplicateKeys(Exception):
     """Several update rows have the same key."""
 
@@ -50,6 +59,7 @@ def upsert(
     keys: Sequence[str],
     unique_target: bool = False,
     newer_by: str | None = None,
+    small_updates: bool = False,
 ) -> DataFrame:
     """`target` after merging `updates`, in the target's columns.
 
@@ -57,6 +67,10 @@ def upsert(
     the updates (see `ambiguous_matches`, `latest_per_key`), not in the target; a caller who knows the target
     keys to be unique can say so and saves a pass over them. With newer_by, a matched row is replaced only where
     the update's value of that column is not below its own, for updates that may arrive out of order.
+
+    small_updates (see `is_small`) broadcasts the updates, and no target row is shuffled. Without it large updates
+    are safe: the target is the left side of its join, which adaptive execution splits where a key is hot, and its
+    keys are made distinct, on the map side first, before they are compared.
     """
     keys = list(keys)
     unknown = [c for c in updates.columns if c not in target.columns]
@@ -66,17 +80,17 @@ def upsert(
     keyed_target, keyed_updates = target.filter(keyed), updates.filter(keyed)
 
     if unique_target and not newer_by and len(updates.columns) == len(target.columns):
-        untouched = keyed_target.join(keyed_updates.select(*keys), keys, "left_anti")
+        touched = keyed_updates.select(*keys)
+        untouched = keyed_target.join(F.broadcast(touched) if small_updates else touched, keys, "left_anti")
         return untouched.unionByName(target.filter(~keyed)).unionByName(updates).select(*target.columns)
 
-    # The updates are the right side throughout: small ones are broadcast and the target is not shuffled;
-    # large ones meet a left side that adaptive execution can split where a target key is hot.
+    sent = F.broadcast if small_updates else lambda df: df
     packed = keyed_updates.select(*keys, F.struct(*updates.columns).alias("_update"))
     replaced = set(updates.columns) - set(keys)
     replaces = F.col("_update").isNotNull()
     if newer_by:
         replaces &= F.coalesce(F.col(f"_update.{newer_by}") >= F.col(newer_by), F.lit(True))
-    merged = keyed_target.join(packed, keys, "left").select(
+    merged = keyed_target.join(sent(packed), keys, "left").select(
         *(
             F.when(replaces, F.col(f"_update.{c}")).otherwise(F.col(c)).alias(c)
             if c in replaced
@@ -84,8 +98,10 @@ def upsert(
             for c in target.columns
         )
     )
-    matched = keyed_target.select(*keys).join(keyed_updates.select(*keys), keys, "left_semi").distinct()
-    inserted = keyed_updates.join(matched, keys, "left_anti")
+    present = keyed_target.select(*keys)
+    if small_updates:
+        present = present.join(F.broadcast(keyed_updates.select(*keys)), keys, "left_semi")
+    inserted = keyed_updates.join(sent(present.distinct()), keys, "left_anti")
     return (
         merged.unionByName(target.filter(~keyed))
         .unionByName(inserted, allowMissingColumns=True)

@@ -4,11 +4,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tideline import schemas
 from tideline.operators.clean import to_silver
 from tideline.operators.expectations import Rule, row_count_verdicts, rules
 from tideline.operators.gold import to_gold
+from tideline.sources.files import CORRUPT, VERSION
 from tideline.sources.ingest import Feed, ingest, table_folder
 from tideline.sources.tables import drop_table, publish, scan_table
 
@@ -49,9 +51,14 @@ class Layers:
     gold_rules: Sequence[Rule] = field(default_factory=lambda: list(GOLD_RULES))
 
 
+def _well_formed(bronze: DataFrame) -> DataFrame:
+    """Bronze from files keeps malformed lines for inspection; they end there."""
+    return bronze.filter(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in bronze.columns else bronze
+
+
 def layers(bronze: DataFrame, settings: Layers = Layers()) -> dict[str, DataFrame]:
     """Silver and gold as pure transformations of bronze."""
-    silver = to_silver(bronze, settings.lineage)
+    silver = to_silver(_well_formed(bronze), settings.lineage)
     gold = to_gold(silver, settings.scores, settings.composite, settings.target)
     return {"bronze": bronze, "silver": silver, "gold": gold}
 
@@ -78,8 +85,11 @@ def publish_layers(
     if test_mode:
         for name in tables.values():
             drop_table(spark, name)
-    violations = {"bronze": publish(bronze, tables["bronze"], settings.bronze_rules, "rows as delivered")}
-    silver = to_silver(spark.table(tables["bronze"]), settings.lineage)
+    bronze_rules = list(settings.bronze_rules)
+    if CORRUPT in bronze.columns:
+        bronze_rules += rules({"line is well formed": f"{CORRUPT} IS NULL"})
+    violations = {"bronze": publish(bronze, tables["bronze"], bronze_rules, "rows as delivered")}
+    silver = to_silver(_well_formed(spark.table(tables["bronze"])), settings.lineage)
     publish(silver, tables["silver"], comment="complete, non-blank, distinct rows")
     gold = to_gold(spark.table(tables["silver"]), settings.scores, settings.composite, settings.target)
     violations["gold"] = publish(gold, tables["gold"], settings.gold_rules, "rows with the composite score")
@@ -94,8 +104,14 @@ def run_internal(
 
 
 def run_external(
-    spark: SparkSession, feed: Feed, root: str, name: str = "bronze", test_mode: bool = False, **options
+    spark: SparkSession,
+    feed: Feed,
+    root: str,
+    name: str = "bronze",
+    test_mode: bool = False,
+    settings: Layers = Layers(lineage=(schemas.LINEAGE, VERSION)),
+    **options,
 ) -> Published:
     """The flow over versioned files: ingest what is pending, then the layers."""
     merged = ingest(spark, feed, table_folder(root, name, test_mode), reset=test_mode)
-    return publish_layers(merged, test_mode=test_mode, **options)
+    return publish_layers(merged, settings, test_mode=test_mode, **options)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.versions import VERSION_PATTERN
-from tideline.operators.upsert import DuplicateKeys, duplicate_keys, latest_per_key, upsert
+from tideline.operators.upsert import DuplicateKeys, duplicate_keys, is_small, latest_per_key, upsert
 from tideline.schemas import LINEAGE
 from tideline.sources.files import VERSION, scan_csv, versions_present, with_corrupt, with_lineage
 from tideline.workspace import child_names, delete_folder
@@ -128,7 +128,7 @@ def bronze(spark: SparkSession, feed: Feed, table: str) -> DataFrame:
         base = spark.read.schema(feed.stored).parquet(f"{table}/snapshots/commit={snapshot}")
     # Later versions of a key replace earlier ones before the merge, so any number of deliveries is one join.
     updates = latest_per_key(tail, feed.keys, [VERSION])
-    return upsert(base, updates, feed.keys, newer_by=VERSION)
+    return upsert(base, updates, feed.keys, newer_by=VERSION, small_updates=is_small(tail))
 
 
 def compact(spark: SparkSession, feed: Feed, table: str) -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators.expectations import ExpectationFailed, Rule, check_observed, observed
-from tideline.operators.upsert import DuplicateKeys, ambiguous_matches, upsert
+from tideline.operators.upsert import DuplicateKeys, ambiguous_matches, duplicate_keys, is_small, upsert
 from tideline.workspace import delete_folder, new_folder
 
 # Providers whose tables Spark can merge into row by row.
@@ -83,6 +83,7 @@ def create_or_upsert(updates: DataFrame, name: str, keys: Sequence[str]) -> None
         updates.alias("updates").mergeInto(name, same_key).whenMatched().updateAll().whenNotMatched().insertAll().merge()
     else:
         target = spark.table(name)
-        if not ambiguous_matches(target, updates, keys).isEmpty():
+        repeated = not duplicate_keys(updates, keys).isEmpty()
+        if repeated and not ambiguous_matches(target, updates, keys).isEmpty():
             raise DuplicateKeys(f"several rows of the batch match one row of {name} on {list(keys)}")
-        publish(upsert(target, updates, keys), name)
+        publish(upsert(target, updates, keys, small_updates=is_small(updates)), name)
