@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,16 +48,19 @@ def comparable_columns(
     return numeric, categorical
 
 
-def _sides(reference: DataFrame, current: DataFrame, columns: Sequence[str], as_type: str) -> DataFrame:
-    """Both frames, marked (1, 0) for the reference and (0, 1) for the current one."""
-    def side(df: DataFrame, r: int, c: int) -> DataFrame:
-        return df.select(
-            *(F.col(name).cast(as_type).alias(name) for name in columns),
-            F.lit(r).cast("long").alias("_r"),
-            F.lit(c).cast("long").alias("_c"),
-        )
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
 
-    return side(reference, 1, 0).unionByName(side(current, 0, 1))
+def _sides(reference: DataFrame, current: DataFrame, columns: Sequence[str], as_type: str) -> DataFrame:
+    """Both frames, their columns renamed to v0, v1, ..., marked (1, 0) for the reference and (0, 1) for the other."""
+    values = ", ".join(f"cast({_quoted(name)} AS {as_type}) AS v{i}" for i, name in enumerate(columns))
+    return reference.sparkSession.sql(
+        f"""SELECT 1L AS _r, 0L AS _c, {values} FROM {{reference}}
+        UNION ALL SELECT 0L, 1L, {values} FROM {{current}}""",
+        reference=reference,
+        current=current,
+    )
 
 
 def _layout(both: DataFrame, columns: Sequence[str], buckets: int) -> list[list[float]]:
@@ -66,146 +69,137 @@ def _layout(both: DataFrame, columns: Sequence[str], buckets: int) -> list[list[
     The bounds only have to be about right, so they are taken from a sample, the way a range partitioner does; a
     frame too small to be sampled needs no buckets.
     """
-    both = both.sample(LAYOUT_SAMPLE, seed=1)
     steps = [i / buckets for i in range(1, buckets)] or [0.5]
-    finite = {c: F.when(~F.isnan(c), F.col(c)) for c in columns}
-    found = both.agg(*(F.percentile_approx(v, steps, 20 * buckets).alias(c) for c, v in finite.items())).first()
-    bounds = (sorted({q for q in (found[c] or [0.0]) if abs(q) != float("inf")}) or [0.0] for c in columns)
-    return [[-float("inf"), *inner, float("inf")] for inner in bounds]
+    quantiles = f"array({', '.join(f'{step}D' for step in steps)}), {4 * buckets}"
+    found = both.sample(LAYOUT_SAMPLE, seed=1).selectExpr(
+        *(f"percentile_approx(if(isnan({c}), NULL, {c}), {quantiles}) AS {c}" for c in columns)
+    )
+    inner = (sorted({q for q in (bounds or [0.0]) if abs(q) != float("inf")}) or [0.0] for bounds in found.first())
+    return [[-float("inf"), *bounds, float("inf")] for bounds in inner]
 
 
 def numeric_counts(
     reference: DataFrame, current: DataFrame, columns: Sequence[str], settings: DriftSettings = DriftSettings()
 ) -> DataFrame:
-    """(column, bucket, value, r, c): occurrences of each value on either side; null and NaN are left out."""
+    """(place, bucket, value, r, c): occurrences of each value on either side, by the column's place in the list.
+
+    Null and NaN are left out.
+    """
     spark = reference.sparkSession
-    buckets = settings.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Several buckets per task, so that tasks even out.
+    buckets = settings.buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     both = _sides(reference, current, columns, "double")
-    places = [f"_bucket_{c}" for c in columns]
+    values = [f"v{i}" for i in range(len(columns))]
     placed = Bucketizer(
-        splitsArray=_layout(both, columns, buckets),
-        inputCols=list(columns),
-        outputCols=places,
+        splitsArray=_layout(both, values, buckets),
+        inputCols=values,
+        outputCols=[f"bucket_of_{v}" for v in values],
         handleInvalid="keep",
     ).transform(both)
-    entries = [
-        F.struct(F.lit(c).alias("column"), F.col(p).cast("int").alias("bucket"), F.col(c).alias("value"))
-        for c, p in zip(columns, places)
-    ]
+    entries = ", ".join(
+        f"struct({i} AS place, cast(bucket_of_{v} AS int) AS bucket, {v} AS value)" for i, v in enumerate(values)
+    )
     # The null checks on the grouping keys are what the join on them would infer on one of its sides only; stated
     # here, both sides have the same plan and the shuffle of the counts is done once and reused.
-    return (
-        placed.select("_r", "_c", F.inline(F.array(*entries)))
-        .filter("column IS NOT NULL AND bucket IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)")
-        .groupBy("column", "bucket", "value")
-        .agg(F.sum("_r").alias("r"), F.sum("_c").alias("c"))
+    return spark.sql(
+        f"""SELECT place, bucket, value, sum(_r) AS r, sum(_c) AS c
+        FROM (SELECT _r, _c, inline(array({entries})) FROM {{placed}})
+        WHERE place IS NOT NULL AND bucket IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)
+        GROUP BY place, bucket, value""",
+        placed=placed,
     )
 
 
 def categorical_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value, r, c): occurrences of each category on either side; null is left out."""
-    entries = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]
-    return (
-        _sides(reference, current, columns, "string")
-        .select("_r", "_c", F.inline(F.array(*entries)))
-        .filter("column IS NOT NULL AND value IS NOT NULL")
-        .groupBy("column", "value")
-        .agg(F.sum("_r").alias("r"), F.sum("_c").alias("c"))
+    """(place, value, r, c): occurrences of each category on either side; null is left out."""
+    entries = ", ".join(f"struct({i} AS place, v{i} AS value)" for i in range(len(columns)))
+    return reference.sparkSession.sql(
+        f"""SELECT place, value, sum(_r) AS r, sum(_c) AS c
+        FROM (SELECT _r, _c, inline(array({entries})) FROM {{both}})
+        WHERE place IS NOT NULL AND value IS NOT NULL
+        GROUP BY place, value""",
+        both=_sides(reference, current, columns, "string"),
     )
 
 
-# Aggregates over rows (r, c) of one column with its totals (n, m).
-_SIZES = {
-    "reference_rows": "max(n)",
-    "current_rows": "max(m)",
-    "reference_values": "count_if(r > 0)",
-    "all_values": "count(1)",
-}
+_SIZES = """max(n) AS reference_rows, max(m) AS current_rows,
+    count_if(r > 0) AS reference_values, count(1) AS all_values"""
 
 
-def _category_aggregates(where: str = "true") -> dict[str, str]:
-    """Jensen-Shannon distance and chi-square of the two-row table, over rows that meet the condition."""
+def _category_aggregates(where: str) -> str:
+    """Jensen-Shannon distance and chi-square of the two-row table of counts (r, c) with totals (n, m)."""
     counted = f"n > 0 AND m > 0 AND {where}"
-    return {
-        "jensen_shannon": f"""sqrt(greatest(0D, sum(if({counted},
+    return f"""
+        sqrt(greatest(0D, sum(if({counted},
             if(r > 0, r / n * ln(2D * (r / n) / (r / n + c / m)), 0D)
-            + if(c > 0, c / m * ln(2D * (c / m) / (r / n + c / m)), 0D), NULL)) / 2D))""",
-        "chi2": f"""sum(if({counted},
+            + if(c > 0, c / m * ln(2D * (c / m) / (r / n + c / m)), 0D), NULL)) / 2D)) AS jensen_shannon,
+        sum(if({counted},
             pow(r - n * ((r + c) / (n + m)), 2) / (n * ((r + c) / (n + m)))
-            + pow(c - m * ((r + c) / (n + m)), 2) / (m * ((r + c) / (n + m))), NULL))""",
-    }
-
-
-_STATISTICS = [*_SIZES, *_category_aggregates()]
-
+            + pow(c - m * ((r + c) / (n + m)), 2) / (m * ((r + c) / (n + m))), NULL)) AS chi2"""
 
-def _named(expressions: dict[str, str]) -> list[Column]:
-    return [F.expr(expression).alias(name) for name, expression in expressions.items()]
 
-
-def numeric_statistics(counts: DataFrame, settings: DriftSettings = DriftSettings()) -> DataFrame:
+def numeric_statistics(
+    counts: DataFrame, columns: Sequence[str], settings: DriftSettings = DriftSettings()
+) -> DataFrame:
     """One row per numeric column: KS distance, Wasserstein distance plain and normed.
 
-    The category statistics are filled in for columns with so few values that they count as categories.
+    The category statistics are filled in for columns with so few values that they count as categories. The
+    offsets are at most (buckets + 1) rows per column: small enough for one task per column, and to broadcast.
     """
-    totals = counts.groupBy("column", "bucket").agg(
-        *_named(
-            {
-                "r": "sum(r)",
-                "c": "sum(c)",
-                "least_value": "min(value)",
-                "sum_r": "sum(r * value)",
-                "values_r": "count_if(r > 0)",
-            }
-        )
-    )
-    # At most (buckets + 1) rows per column: small enough for one task per column, and to broadcast.
-    offsets = totals.selectExpr(
-        "column",
-        "bucket",
-        "sum(r) OVER (PARTITION BY column ORDER BY bucket) - r AS r_before",
-        "sum(c) OVER (PARTITION BY column ORDER BY bucket) - c AS c_before",
-        "lead(least_value) OVER (PARTITION BY column ORDER BY bucket) AS next_bucket_value",
-        "sum(r) OVER (PARTITION BY column) AS n",
-        "sum(c) OVER (PARTITION BY column) AS m",
-        "try_divide(sum(sum_r) OVER (PARTITION BY column), sum(r) OVER (PARTITION BY column)) AS mean",
-        f"sum(values_r) OVER (PARTITION BY column) <= {settings.few_values} AS few",
-    )
-    inside = "OVER (PARTITION BY column, bucket ORDER BY value)"
-    upto = "OVER (PARTITION BY column, bucket ORDER BY value ROWS UNBOUNDED PRECEDING)"
-    steps = counts.join(F.broadcast(offsets), ["column", "bucket"]).selectExpr(
-        "column", "value", "r", "c", "n", "m", "mean", "few",
-        f"abs(try_divide(r_before + sum(r) {upto}, n) - try_divide(c_before + sum(c) {upto}, m)) AS gap",
-        f"coalesce(lead(value) {inside}, next_bucket_value, value) AS next_value",
-    )
-    found = steps.groupBy("column").agg(
-        *_named(
-            _SIZES
-            | _category_aggregates("few")
-            | {
-                "ks": "max(gap)",
-                "wasserstein": "sum(gap * (next_value - value))",
-                "spread": "sqrt(try_divide(sum(r * pow(value - mean, 2)), max(n)))",
-            }
-        )
-    )
-    return found.selectExpr(
-        "column",
-        "'numeric' AS kind",
-        *_STATISTICS,
-        "ks",
-        "wasserstein",
-        f"wasserstein / greatest(spread, {settings.spread_floor}D) AS wasserstein_normed",
+    return counts.sparkSession.sql(
+        f"""
+        WITH totals AS (
+          SELECT place, bucket, sum(r) AS r, sum(c) AS c, min(value) AS least_value,
+            sum(r * value) AS sum_r, count_if(r > 0) AS values_r
+          FROM {{counts}} GROUP BY place, bucket),
+        offsets AS (
+          SELECT place, bucket,
+            (sum(r) OVER in_order) - r AS r_before, (sum(c) OVER in_order) - c AS c_before,
+            lead(least_value) OVER in_order AS next_bucket_value,
+            sum(r) OVER whole AS n, sum(c) OVER whole AS m,
+            try_divide(sum(sum_r) OVER whole, sum(r) OVER whole) AS mean,
+            (sum(values_r) OVER whole) <= {settings.few_values} AS few
+          FROM totals
+          WINDOW whole AS (PARTITION BY place), in_order AS (PARTITION BY place ORDER BY bucket)),
+        steps AS (
+          SELECT /*+ BROADCAST(offsets) */ place, value, r, c, n, m, mean, few,
+            abs(try_divide(r_before + (sum(r) OVER upto), n) - try_divide(c_before + (sum(c) OVER upto), m)) AS gap,
+            coalesce(lead(value) OVER inside, next_bucket_value, value) AS next_value
+          FROM {{counts}} JOIN offsets USING (place, bucket)
+          WINDOW inside AS (PARTITION BY place, bucket ORDER BY value),
+            upto AS (PARTITION BY place, bucket ORDER BY value ROWS UNBOUNDED PRECEDING)),
+        found AS (
+          SELECT place, {_SIZES}, {_category_aggregates("few")},
+            max(gap) AS ks, sum(gap * (next_value - value)) AS wasserstein,
+            sqrt(try_divide(sum(r * pow(value - mean, 2)), max(n))) AS spread
+          FROM steps GROUP BY place)
+        SELECT element_at(:names, place + 1) AS column, 'numeric' AS kind,
+          reference_rows, current_rows, reference_values, all_values, jensen_shannon, chi2, ks, wasserstein,
+          wasserstein / greatest(spread, {settings.spread_floor}D) AS wasserstein_normed
+        FROM found""",
+        args={"names": list(columns)},
+        counts=counts,
     )
 
 
-def categorical_statistics(counts: DataFrame) -> DataFrame:
-    """One row per categorical column, with null for the statistics that need an order."""
-    # One row per column: broadcast, so that a column with many categories is not gathered in one task.
-    totals = counts.groupBy("column").agg(*_named({"n": "sum(r)", "m": "sum(c)"}))
-    found = counts.join(F.broadcast(totals), "column").groupBy("column").agg(*_named(_SIZES | _category_aggregates()))
-    ordered = [f"cast(NULL AS double) AS {name}" for name in ("ks", "wasserstein", "wasserstein_normed")]
-    return found.selectExpr("column", "'categorical' AS kind", *_STATISTICS, *ordered)
+def categorical_statistics(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per categorical column, with null for the statistics that need an order.
+
+    The totals are one row per column: broadcast, so that a column with many categories is not gathered in one task.
+    """
+    return counts.sparkSession.sql(
+        f"""
+        WITH totals AS (SELECT place, sum(r) AS n, sum(c) AS m FROM {{counts}} GROUP BY place),
+        found AS (
+          SELECT /*+ BROADCAST(totals) */ place, {_SIZES}, {_category_aggregates("true")}
+          FROM {{counts}} JOIN totals USING (place) GROUP BY place)
+        SELECT element_at(:names, place + 1) AS column, 'categorical' AS kind,
+          reference_rows, current_rows, reference_values, all_values, jensen_shannon, chi2,
+          cast(NULL AS double) AS ks, cast(NULL AS double) AS wasserstein, cast(NULL AS double) AS wasserstein_normed
+        FROM found""",
+        args={"names": list(columns)},
+        counts=counts,
+    )
 
 
 def drift_statistics(
@@ -221,9 +215,11 @@ def drift_statistics(
         numeric, categorical = ([c for c in kind if c in columns] for kind in (numeric, categorical))
     parts = []
     if numeric:
-        parts.append(numeric_statistics(numeric_counts(reference, current, numeric, settings), settings))
+        counts = numeric_counts(reference, current, numeric, settings)
+        parts.append(numeric_statistics(counts, numeric, settings))
     if categorical:
-        parts.append(categorical_statistics(categorical_counts(reference, current, categorical)))
+        counts = categorical_counts(reference, current, categorical)
+        parts.append(categorical_statistics(counts, categorical))
     if not parts:
         raise ValueError("no comparable columns")
     return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]
@@ -242,31 +238,29 @@ def drift_report(
     small = f"reference_rows <= {settings.small_reference}"
     ordered = f"kind = 'numeric' AND reference_values > {settings.few_values}"
     # The squared z of two proportions is the chi-square of their table, with the same tail.
-    judged = found.selectExpr(
-        "column",
-        "kind",
-        f"""CASE WHEN {small} AND {ordered} THEN 'ks p-value'
-            WHEN {small} AND all_values <= 2 THEN 'z p-value'
-            WHEN {small} THEN 'chi-square p-value'
-            WHEN {ordered} THEN 'wasserstein normed'
-            ELSE 'jensen-shannon' END AS method""",
-        f"""CASE WHEN reference_rows = 0 OR current_rows = 0 THEN NULL
-            WHEN {small} AND {ordered} THEN {ks_p_value("ks", "reference_rows", "current_rows")}
-            WHEN {small} THEN {chi2_p_value("chi2", "(all_values - 1)")}
-            WHEN {ordered} THEN wasserstein_normed
-            ELSE jensen_shannon END AS statistic""",
-        f"if({small}, {settings.p_value_threshold}D, {settings.distance_threshold}D) AS threshold",
-    )
-    beyond = "if(method LIKE '% p-value', statistic < threshold, statistic >= threshold)"
     # A column that is empty on one side has no distribution left to agree with.
-    return judged.select(
-        _date(run_date),
-        "column",
-        "kind",
-        "method",
-        "statistic",
-        "threshold",
-        F.expr(f"coalesce({beyond}, true)").alias("drifted"),
+    return found.sparkSession.sql(
+        f"""
+        WITH judged AS (
+          SELECT column, kind,
+            CASE WHEN {small} AND {ordered} THEN 'ks p-value'
+              WHEN {small} AND all_values <= 2 THEN 'z p-value'
+              WHEN {small} THEN 'chi-square p-value'
+              WHEN {ordered} THEN 'wasserstein normed'
+              ELSE 'jensen-shannon' END AS method,
+            CASE WHEN reference_rows = 0 OR current_rows = 0 THEN NULL
+              WHEN {small} AND {ordered} THEN {ks_p_value("ks", "reference_rows", "current_rows")}
+              WHEN {small} THEN {chi2_p_value("chi2", "(all_values - 1)")}
+              WHEN {ordered} THEN wasserstein_normed
+              ELSE jensen_shannon END AS statistic,
+            if({small}, {settings.p_value_threshold}D, {settings.distance_threshold}D) AS threshold
+          FROM {{found}})
+        SELECT {"cast(current_date() AS string)" if run_date is None else ":run_date"} AS date,
+          column, kind, method, statistic, threshold,
+          coalesce(if(endswith(method, 'p-value'), statistic < threshold, statistic >= threshold), true) AS drifted
+        FROM judged""",
+        args={} if run_date is None else {"run_date": run_date},
+        found=found,
     )
 
 
@@ -307,7 +301,3 @@ def alerts(*flags: DataFrame) -> DataFrame:
     for other in feeds[1:]:
         feed = feed.unionByName(other)
     return feed
-
-
-def _date(run_date: str | None) -> Column:
-    return (F.lit(run_date) if run_date else F.current_date().cast("string")).alias("date")
