@@ -7,10 +7,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def key_hash(keys: Sequence[str], seed: str = "") -> Column:
+    """The md5 of seed and keys, as hexadecimal text."""
+    return F.md5(F.concat_ws("|", *([F.lit(seed)] if seed else []), *(F.col(k).cast("string") for k in keys)))
+
+
+def below(hashed: Column, share: float) -> Column:
+    """Whether a hash is among the first `share` of all hashes.
+
+    Equal to comparing its first 32 bits as a number in [0, 1), but on the text itself.
+    """
+    bound = math.ceil(share * 2**32)
+    return F.lit(bound > 0) if bound in (0, 2**32) else hashed < f"{bound:08x}"
+
+
 def hash_uniform(keys: Sequence[str], seed: str = "") -> Column:
-    """A number in [0, 1) from the first 32 bits of the md5 of seed and keys."""
-    text = F.concat_ws("|", *([F.lit(seed)] if seed else []), *(F.col(k).cast("string") for k in keys))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") / F.lit(2.0**32)
+    """A number in [0, 1) from the first 32 bits of the key's hash."""
+    return F.conv(F.substring(key_hash(keys, seed), 1, 8), 16, 10).cast("long") / F.lit(2.0**32)
 
 
 def hash_normal(keys: Sequence[str], seed: str = "") -> Column:

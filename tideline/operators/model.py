@@ -49,8 +49,9 @@ def forest(features: PipelineModel, label: str, **params) -> RandomForestRegress
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """`df` over at least as many partitions as there are cores: fitting passes over its input many times, so
-    input that arrives in few large files is worth one shuffle. Input in many partitions is left alone."""
+    """A scan over at least as many partitions as there are cores: fitting passes over its input many times, so
+    input that arrives in few large files is worth one shuffle. Input in many partitions is left alone.
+    For plain scans: asking a frame with shuffles for its partitions would run them."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
@@ -58,7 +59,7 @@ def spread(df: DataFrame) -> DataFrame:
 def train(df: DataFrame, label: str, **params) -> PipelineModel:
     """Fits indexer, assembler and forest as one model."""
     features = feature_stages(df, label).fit(df)
-    prepared = features.transform(spread(df)).select("features", label)
+    prepared = features.transform(df).select("features", label)
     fitted = forest(features, label, **params).fit(prepared)
     return PipelineModel(stages=[*features.stages, fitted])
 
@@ -137,7 +138,7 @@ def tune(
     parameters and its error on both parts, to show overfitting, and is saved when a folder is given.
     """
     features = feature_stages(training, label).fit(training)
-    prepared = [features.transform(spread(df)).select("features", label) for df in (training, validation)]
+    prepared = [features.transform(df).select("features", label) for df in (training, validation)]
     for df in prepared:
         df.persist(StorageLevel.MEMORY_AND_DISK)
     regressor = forest(features, label)

@@ -6,7 +6,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.hashing import hash_uniform
+from tideline.functions.hashing import below, key_hash
 
 
 def bernoulli_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
@@ -19,7 +19,7 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[Dat
 
 def hash_sample(df: DataFrame, keys: Sequence[str], fraction: float, seed: str = "") -> DataFrame:
     """Keeps a row when its key hashes below the fraction: the same rows on every run and cluster."""
-    return df.filter(hash_uniform(keys, seed) < fraction)
+    return df.filter(below(key_hash(keys, seed), fraction))
 
 
 def _bounds(weights: dict[str, float]) -> list[tuple[str, float, float]]:
@@ -35,13 +35,13 @@ def with_split(
     *firsts, (remainder, _, _) = _bounds(weights)
     label = F.lit(remainder)
     for part, _, end in reversed(firsts):
-        label = F.when(F.col("_uniform") < end, part).otherwise(label)
-    return df.withColumn("_uniform", hash_uniform(keys, seed)).withColumn(name, label).drop("_uniform")
+        label = F.when(below(F.col("_hash"), end), part).otherwise(label)
+    return df.withColumn("_hash", key_hash(keys, seed)).withColumn(name, label).drop("_hash")
 
 
 def hash_split(
     df: DataFrame, keys: Sequence[str], weights: dict[str, float], seed: str = ""
 ) -> dict[str, DataFrame]:
     """The parts as separate frames; every row is in exactly one."""
-    drawn = hash_uniform(keys, seed)
-    return {part: df.filter((drawn >= start) & (drawn < end)) for part, start, end in _bounds(weights)}
+    hashed = key_hash(keys, seed)
+    return {part: df.filter(below(hashed, end) & ~below(hashed, start)) for part, start, end in _bounds(weights)}

@@ -16,7 +16,7 @@ from tideline.operators.columns import conform, predictions_as
 from tideline.operators.expectations import row_count_verdicts, rules, violation_counts
 from tideline.operators.gold import correct_score, to_gold
 from tideline.operators.metrics import rmse, target_profile
-from tideline.operators.model import feature_importance, indexer, score, train, tune
+from tideline.operators.model import feature_importance, indexer, score, spread, train, tune
 from tideline.operators.runs import latest_model, newest_per_group
 from tideline.operators.sampling import bernoulli_sample, hash_sample, hash_split, random_split, with_split
 from tideline.operators.skew import append_variants, blank_to_null, skew_numeric
@@ -535,15 +535,20 @@ def predictor_target_profile(spark, sf_dir):
 _FEATURES = ["l_returnflag", "l_linestatus", *MEASURES]
 
 
+def _feature_lines(spark, sf_dir):
+    """Keys and features over all cores, for the file comes as one row group."""
+    return spread(_lines(spark, sf_dir).select(*LINE_KEYS, *_FEATURES))
+
+
 def _line_parts(spark, sf_dir):
-    return hash_split(_lines(spark, sf_dir).select(*LINE_KEYS, *_FEATURES), LINE_KEYS, SPLIT)
+    return hash_split(_feature_lines(spark, sf_dir), LINE_KEYS, SPLIT)
 
 
 def train_and_score(spark, sf_dir):
-    parts = _line_parts(spark, sf_dir)
-    model = train(parts["train"].select(*_FEATURES), "l_extendedprice", numTrees=5, maxDepth=8)
-    scored = [score(model, df).withColumn("split", F.lit(name)) for name, df in parts.items()]
-    return rmse(reduce(DataFrame.unionByName, scored), "l_extendedprice", by=["split"])
+    lines = with_split(_feature_lines(spark, sf_dir), LINE_KEYS, SPLIT)
+    training = lines.filter("split = 'train'").select(*_FEATURES)
+    model = train(training, "l_extendedprice", numTrees=5, maxDepth=8)
+    return rmse(score(model, lines.select("split", *_FEATURES)), "l_extendedprice", by=["split"])
 
 
 def forest_feature_importance(spark, sf_dir):
