@@ -192,6 +192,12 @@ def test_external_flow_on_two_files(spark, tmp_path):
     assert spark.table(done.tables["gold"]).filter(F.col(COMPOSITE) == 7).count() == 2
     assert CORRUPT not in spark.table(done.tables["gold"]).columns
     assert done.violations["bronze"]["line is well formed"] == 0
+    again = run_external(spark, source, f"{root}/real", max_files=1, namespace="default")
+    assert [r.row_count for r in again.row_counts(spark).orderBy("row_count").collect()] == [1, 1, 11]
+    again = run_external(spark, source, f"{root}/real", namespace="default")
+    assert spark.table(again.tables["bronze"]).count() == 22 and spark.table(again.tables["gold"]).count() == 2
+    assert committed(spark, f"{root}/real/bronze", "snapshots") == [1, 2]
+    assert run_external(spark, source, f"{root}/real", namespace="default").violations["bronze"] == {}
 
 
 def test_stream_gives_what_batch_gives(spark, rows, place, tmp_path):

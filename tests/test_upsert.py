@@ -1,11 +1,13 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tideline.operators.upsert import ambiguous_matches, duplicate_keys, is_small, latest_per_key, upsert
 from tideline.sources.tables import create_or_upsert, drop_table, overwrite_table, publish, scan_table
 from tideline.operators.expectations import ExpectationFailed, rules
 from tideline.operators.upsert import DuplicateKeys
+from tideline.workspace import child_names
 
 SCHEMA = "lon double, lat double, price double, name string"
 
@@ -129,6 +131,48 @@ def test_publish_gate_keeps_the_old_table(spark, rows):
     assert spark.table(name).columns == ["id", "more"]
 
 
+def test_replaced_folder_is_kept_unless_told(spark):
+    name = "default.replaced"
+    drop_table(spark, name)
+    folders = []
+    for i, keep in enumerate((True, True, False)):
+        publish(spark.range(i), name, keep_previous=keep)
+        folders.append(spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first().data_type)
+    assert [bool(child_names(spark, f)) for f in folders] == [True, False, True]
+    assert spark.table(name).count() == 2
+
+
+def test_hot_target_key_is_split(spark):
+    """With large updates, adaptive execution splits the target partition that holds a hot key."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        hot = "if(id % 3 = 0, 0, id) AS k"
+        target = spark.range(0, 200000, 1, 8).selectExpr(hot, "md5(cast(id AS string)) AS v")
+        updates = spark.range(0, 400000, 4, 4).selectExpr("id AS k", "'u' AS v")
+        merged = upsert(target, updates, ["k"])
+        found = {r.v: r.n for r in merged.groupBy(F.expr("if(v = 'u', 'u', 't') AS v")).agg(F.count("*").alias("n")).collect()}
+        merged.write.format("noop").mode("overwrite").save()
+        out = upsert(target, updates, ["k"])
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+        # 66667 rows of key 0 and each untouched multiple of four are replaced; the rest of the updates are new.
+        old = 200000 - 66667 - sum(1 for i in range(1, 200000) if i % 4 == 0 and i % 3)
+        assert found["t"] == old
+        present = sum(1 for i in range(0, 400000, 4) if i == 0 or (i < 200000 and i % 3))
+        assert found["u"] == 200000 - old + 100000 - present
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_overwrite_table(spark):
     overwrite_table(spark.range(3), "default.plain")
     overwrite_table(spark.range(2), "default.plain")

@@ -11,8 +11,9 @@ from tideline.operators.clean import to_silver
 from tideline.operators.expectations import Rule, row_count_verdicts, rules
 from tideline.operators.gold import to_gold
 from tideline.sources.files import CORRUPT, VERSION
-from tideline.sources.ingest import Feed, ingest, table_folder
+from tideline.sources.ingest import Feed, compact, land, table_folder
 from tideline.sources.tables import drop_table, publish, scan_table
+from tideline.workspace import delete_folder
 
 # --- fixed values: expectations on the listing layers ------------------------------------------------
 BRONZE_RULES = rules(
@@ -39,6 +40,9 @@ GOLD_RULES = rules(
 # -----------------------------------------------------------------------------------------------------
 
 
+BRONZE_COMMENT = "rows as delivered"
+
+
 @dataclass(frozen=True)
 class Layers:
     """What a flow does beyond its source: the listing settings by default."""
@@ -72,6 +76,24 @@ class Published:
         return row_count_verdicts({layer: spark.table(name) for layer, name in self.tables.items()}, expected)
 
 
+def table_names(namespace: str, test_mode: bool) -> dict[str, str]:
+    prefix = f"{namespace}.test_" if test_mode else f"{namespace}."
+    return {layer: f"{prefix}{layer}" for layer in ("bronze", "silver", "gold")}
+
+
+def _bronze_rules(bronze: DataFrame, settings: Layers) -> list[Rule]:
+    formed = rules({"line is well formed": f"{CORRUPT} IS NULL"}) if CORRUPT in bronze.columns else []
+    return [*settings.bronze_rules, *formed]
+
+
+def _refine(spark: SparkSession, tables: Mapping[str, str], settings: Layers) -> dict[str, int]:
+    """Silver from the bronze table and gold from the silver table; returns the gold violations."""
+    silver = to_silver(_well_formed(spark.table(tables["bronze"])), settings.lineage)
+    publish(silver, tables["silver"], comment="complete, non-blank, distinct rows")
+    gold = to_gold(spark.table(tables["silver"]), settings.scores, settings.composite, settings.target)
+    return publish(gold, tables["gold"], settings.gold_rules, "rows with the composite score")
+
+
 def publish_layers(
     bronze: DataFrame, settings: Layers = Layers(), namespace: str = "default", test_mode: bool = False
 ) -> Published:
@@ -80,19 +102,12 @@ def publish_layers(
     Bronze rules warn and are counted by the write itself; a violated gold rule leaves the gold table as it was.
     """
     spark = bronze.sparkSession
-    prefix = f"{namespace}.test_" if test_mode else f"{namespace}."
-    tables = {layer: f"{prefix}{layer}" for layer in ("bronze", "silver", "gold")}
+    tables = table_names(namespace, test_mode)
     if test_mode:
         for name in tables.values():
             drop_table(spark, name)
-    bronze_rules = list(settings.bronze_rules)
-    if CORRUPT in bronze.columns:
-        bronze_rules += rules({"line is well formed": f"{CORRUPT} IS NULL"})
-    violations = {"bronze": publish(bronze, tables["bronze"], bronze_rules, "rows as delivered")}
-    silver = to_silver(_well_formed(spark.table(tables["bronze"])), settings.lineage)
-    publish(silver, tables["silver"], comment="complete, non-blank, distinct rows")
-    gold = to_gold(spark.table(tables["silver"]), settings.scores, settings.composite, settings.target)
-    violations["gold"] = publish(gold, tables["gold"], settings.gold_rules, "rows with the composite score")
+    violations = {"bronze": publish(bronze, tables["bronze"], _bronze_rules(bronze, settings), BRONZE_COMMENT)}
+    violations["gold"] = _refine(spark, tables, settings)
     return Published(tables, violations)
 
 
@@ -108,10 +123,28 @@ def run_external(
     feed: Feed,
     root: str,
     name: str = "bronze",
-    test_mode: bool = False,
     settings: Layers = Layers(lineage=(schemas.LINEAGE, VERSION)),
-    **options,
+    namespace: str = "default",
+    test_mode: bool = False,
+    max_files: int | None = None,
 ) -> Published:
-    """The flow over versioned files: ingest what is pending, then the layers."""
-    merged = ingest(spark, feed, table_folder(root, name, test_mode), reset=test_mode)
-    return publish_layers(merged, settings, test_mode=test_mode, **options)
+    """The flow over versioned files: land what is pending, merge it into bronze, then the layers.
+
+    Bronze is written once per run: the snapshot that the next run merges into is also the published table.
+    """
+    table, tables = table_folder(root, name, test_mode), table_names(namespace, test_mode)
+    if test_mode:
+        delete_folder(spark, table)
+        for published in tables.values():
+            drop_table(spark, published)
+    land(spark, feed, table, max_files)
+    violations: dict[str, dict[str, int]] = {"bronze": {}}
+
+    def snapshot(bronze: DataFrame, folder: str) -> None:
+        violations["bronze"] = publish(
+            bronze, tables["bronze"], _bronze_rules(bronze, settings), BRONZE_COMMENT, folder
+        )
+
+    compact(spark, feed, table, snapshot)
+    violations["gold"] = _refine(spark, tables, settings)
+    return Published(tables, violations)

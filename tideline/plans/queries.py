@@ -21,7 +21,7 @@ from tideline.operators.runs import latest_model, newest_per_group
 from tideline.operators.sampling import bernoulli_sample, hash_sample, hash_split, random_split, with_split
 from tideline.operators.skew import append_variants, blank_to_null, skew_numeric
 from tideline.operators.unseen import unscorable_rows, unseen_by_category, unseen_rows
-from tideline.operators.upsert import ambiguous_matches, latest_per_key, upsert
+from tideline.operators.upsert import ambiguous_matches, is_small, latest_per_key, upsert
 from tideline.plans.daily import DailyTables, monitor, score_daily
 from tideline.plans.medallion import Layers, layers, publish_layers
 from tideline.sources.files import CORRUPT, VERSION, high_water_mark, scan_csv, with_lineage
@@ -466,7 +466,8 @@ def drift_dataset_flag(spark, sf_dir):
 
 def _segment_means(lines: DataFrame) -> DataFrame:
     means = lines.groupBy("l_quantity").agg(F.avg("l_extendedprice").alias("prediction"))
-    return lines.join(means, "l_quantity")
+    few = is_small(lines.select("l_quantity").distinct())
+    return lines.join(F.broadcast(means) if few else means, "l_quantity")
 
 
 def _target_flag(spark, sf_dir):

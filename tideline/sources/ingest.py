@@ -7,7 +7,7 @@ the write and its checks; a run that died before that leaves nothing visible and
 """
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -131,12 +131,18 @@ def bronze(spark: SparkSession, feed: Feed, table: str) -> DataFrame:
     return upsert(base, updates, feed.keys, newer_by=VERSION, small_updates=is_small(tail))
 
 
-def compact(spark: SparkSession, feed: Feed, table: str) -> None:
-    """Writes the current content as a snapshot."""
+def compact(
+    spark: SparkSession, feed: Feed, table: str, write: Callable[[DataFrame, str], object] | None = None
+) -> None:
+    """Writes the current content as the next snapshot; nothing to do when the last one is current.
+
+    `write` takes the frame and the folder, for a write that does more, such as counting or publishing.
+    """
     done = committed(spark, table, "deliveries")
-    if done and done[-1] not in committed(spark, table, "snapshots"):
+    if done and done[-1] > max(committed(spark, table, "snapshots"), default=-1):
         folder = f"{table}/snapshots/commit={done[-1]}"
-        bronze(spark, feed, table).write.mode("overwrite").parquet(folder)
+        write = write or (lambda df, path: df.write.mode("overwrite").parquet(path))
+        write(bronze(spark, feed, table), folder)
         _commit(spark, folder)
 
 

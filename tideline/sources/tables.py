@@ -25,30 +25,43 @@ def overwrite_table(df: DataFrame, name: str) -> None:
 
 
 def publish(
-    df: DataFrame, name: str, rules: Sequence[Rule] = (), comment: str | None = None, folder: str | None = None
+    df: DataFrame,
+    name: str,
+    rules: Sequence[Rule] = (),
+    comment: str | None = None,
+    folder: str | None = None,
+    keep_previous: bool = True,
 ) -> dict[str, int]:
     """Writes `df` to a new folder, counting rule violations on the way, then points the table at it.
 
     The frame may read the table it replaces. If a 'fail' rule is violated the table keeps its old content.
-    Returns the violations per rule.
+    The replaced folder stays for readers still on it, unless keep_previous is off. Returns the violations per rule.
     """
     spark = df.sparkSession
     folder = folder or new_folder(spark, name)
+    previous = _detail(spark, name, "Location") if spark.catalog.tableExists(name) else None
     violations: dict[str, int] = {}
     if rules:
         watched, observation = observed(df, list(rules))
-        watched.write.parquet(folder)
+        watched.write.mode("overwrite").parquet(folder)
         try:
             violations = check_observed(observation, list(rules))
         except ExpectationFailed:
             delete_folder(spark, folder)
             raise
     else:
-        df.write.parquet(folder)
+        df.write.mode("overwrite").parquet(folder)
     _point_at(spark, name, folder, df, comment)
+    if previous and not keep_previous:
+        delete_folder(spark, previous)
     return violations
 
 
+def _detail(spark: SparkSession, name: str, key: str) -> str | None:
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(F.col("col_name") == key).first()
+    return found.data_type if found else None
+
+
 def _point_at(spark: SparkSession, name: str, folder: str, df: DataFrame, comment: str | None) -> None:
     if spark.catalog.tableExists(name):
         if [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in df.schema]:
@@ -64,11 +77,6 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def _merges_rows(spark: SparkSession, name: str) -> bool:
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Provider'").first()
-    return bool(details) and details.data_type.lower() in MERGING_PROVIDERS
-
-
 def create_or_upsert(updates: DataFrame, name: str, keys: Sequence[str]) -> None:
     """Creates the table from the first batch, else merges the batch into it.
 
@@ -78,7 +86,7 @@ def create_or_upsert(updates: DataFrame, name: str, keys: Sequence[str]) -> None
     spark = updates.sparkSession
     if not spark.catalog.tableExists(name):
         publish(updates, name)
-    elif _merges_rows(spark, name):
+    elif (_detail(spark, name, "Provider") or "").lower() in MERGING_PROVIDERS:
         same_key = reduce(lambda a, b: a & b, (F.col(f"{name}.{k}") == F.col(f"updates.{k}") for k in keys))
         updates.alias("updates").mergeInto(name, same_key).whenMatched().updateAll().whenNotMatched().insertAll().merge()
     else:

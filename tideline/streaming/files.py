@@ -21,7 +21,8 @@ def file_stream(
     reader = spark.readStream.format(file_format).option("recursiveFileLookup", True)
     if file_format == "csv":
         schema = with_corrupt(schema)
-        reader = reader.option("header", True).option("columnNameOfCorruptRecord", CORRUPT)
+        reader = reader.option("header", True).option("enforceSchema", False)
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return with_lineage(reader.schema(schema).load(source), pattern)
