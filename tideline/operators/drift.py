@@ -22,6 +22,7 @@ FEW_VALUES = 5  # a numeric column with at most this many distinct reference val
 P_VALUE_THRESHOLD = 0.05
 DISTANCE_THRESHOLD = 0.1
 DRIFT_SHARE = 0.5  # a data set drifts when at least this share of its columns does
+LEAST_BUCKETS = 256
 LAYOUT_SAMPLE = 0.02  # share of rows that the bucket bounds are read from
 SPREAD_FLOOR = 0.001  # least standard deviation the Wasserstein distance is divided by
 # -----------------------------------------------------------------------------------------------------
@@ -35,7 +36,7 @@ class DriftSettings:
     distance_threshold: float = DISTANCE_THRESHOLD
     drift_share: float = DRIFT_SHARE
     spread_floor: float = SPREAD_FLOOR
-    buckets: int | None = None  # per numeric column; None: as many as there are shuffle partitions
+    buckets: int | None = None  # per numeric column; None: four per shuffle partition
 
 
 def comparable_columns(
@@ -87,7 +88,7 @@ def numeric_counts(
     """
     spark = reference.sparkSession
     # Several buckets per task, so that tasks even out.
-    buckets = settings.buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = settings.buckets or max(LEAST_BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     both = _sides(reference, current, columns, "double")
     values = [f"v{i}" for i in range(len(columns))]
     placed = Bucketizer(
@@ -161,13 +162,17 @@ def numeric_statistics(
             (sum(values_r) OVER whole) <= {settings.few_values} AS few
           FROM totals
           WINDOW whole AS (PARTITION BY place), in_order AS (PARTITION BY place ORDER BY bucket)),
-        steps AS (
-          SELECT /*+ BROADCAST(offsets) */ place, value, r, c, n, m, mean, few,
-            abs(try_divide(r_before + (sum(r) OVER upto), n) - try_divide(c_before + (sum(c) OVER upto), m)) AS gap,
-            coalesce(lead(value) OVER inside, next_bucket_value, value) AS next_value
-          FROM {{counts}} JOIN offsets USING (place, bucket)
+        running AS (
+          SELECT place, bucket, value, r, c,
+            sum(r) OVER upto AS r_upto, sum(c) OVER upto AS c_upto, lead(value) OVER inside AS next_in_bucket
+          FROM {{counts}}
           WINDOW inside AS (PARTITION BY place, bucket ORDER BY value),
             upto AS (PARTITION BY place, bucket ORDER BY value ROWS UNBOUNDED PRECEDING)),
+        steps AS (
+          SELECT /*+ BROADCAST(offsets) */ place, value, r, c, n, m, mean, few,
+            abs(try_divide(r_before + r_upto, n) - try_divide(c_before + c_upto, m)) AS gap,
+            coalesce(next_in_bucket, next_bucket_value, value) AS next_value
+          FROM running JOIN offsets USING (place, bucket)),
         found AS (
           SELECT place, {_SIZES}, {_category_aggregates("few")},
             max(gap) AS ks, sum(gap * (next_value - value)) AS wasserstein,

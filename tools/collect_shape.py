@@ -73,7 +73,7 @@ def main():
     medians = {}
     for work in (native_score, udf_score, native_drift, collected_drift):
         times = []
-        for _ in range(6):
+        for _ in range(4):
             started = time.perf_counter()
             work(spark, sf_dir)
             times.append(time.perf_counter() - started)
