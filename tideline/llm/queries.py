@@ -6,12 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import bpe, langid, mixing, sharding, simhash, toxicity
+from tideline.llm import bpe, html_extract, langid, mixing, sharding, simhash, toxicity, warc
 from tideline.llm.common import id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: The date of the crawl that the pages are taken to come from.
+CRAWL_DATE = "2024-01-31T00:00:00Z"
+
+
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    text = html_extract.main_text(F.col("html"), html_extract.trained())
+    return pages.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").filter(id_crc("doc_id") % 3 != 1)
@@ -44,6 +54,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    responses = warc.response_records(table(spark, sf_dir, "pages"), "page_id", "url", "html", CRAWL_DATE)
+    return warc.derive(responses, "page_id").withColumn("record_sha256", F.sha2("record", 256)).drop("record")
+
+
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -69,10 +84,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_html": op3_html,
     "op4_toxicity": op4_toxicity,
     "op5_sharding": op5_sharding,
     "op6_mixing": op6_mixing,
     "op7_simhash": op7_simhash,
+    "op8_warc": op8_warc,
     "op9_bpe": op9_bpe,
     "op10_language": op10_language,
 }
