@@ -6,12 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import bpe, html_extract, langid, mixing, sharding, simhash, toxicity, warc
+from tideline.llm import bpe, embedding_dedup, html_extract, langid, mixing, neighbours, sharding, simhash, toxicity, warc
 from tideline.llm.common import id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 #: The date of the crawl that the pages are taken to come from.
 CRAWL_DATE = "2024-01-31T00:00:00Z"
 
@@ -84,6 +93,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_neighbours": op1_neighbours,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_html": op3_html,
     "op4_toxicity": op4_toxicity,
     "op5_sharding": op5_sharding,
