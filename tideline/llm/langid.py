@@ -53,7 +53,7 @@ class ByteTrees:
         keys, values = [], []
         lower, lower_cost = None, None
         self._floor = np.zeros(count)
-        for m in range(ORDER + 1):
+        for m in range(ORDER + 1 if seen else 0):
             strings = np.unique(np.concatenate([s[m][0] for s in seen]))
             contexts = np.unique(strings >> np.uint64(8))
             below = (
@@ -77,7 +77,7 @@ class ByteTrees:
             if m == 0 and len(escape):
                 self._floor = 8.0 + escape[0]
             lower, lower_cost = strings, cost
-        self._index = HashIndex(np.concatenate(keys))
+        self._index = HashIndex(np.concatenate([*keys, np.zeros(0, np.uint64)]))
         self._cost = np.concatenate([*values, np.zeros((1, count))]).astype(np.float32)  # the last is what -1 finds
 
     def _bits(self, data: np.ndarray) -> np.ndarray:

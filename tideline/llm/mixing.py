@@ -16,6 +16,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 
 _SIZE, _SOURCE, _KEY, _PART, _BEFORE = "__mix_size", "__mix_source", "__mix_key", "__mix_part", "__mix_before"
+_SOURCE_SIZE, _TARGET, _TAKEN = "__mix_source_size", "__mix_target", "__mix_taken"
 
 
 def word_count(text: str) -> Column:
@@ -100,9 +101,15 @@ def mix(
     text 'null'. Equal rows are taken row by row; which of two equal rows stands on the cut makes no difference. An
     empty table gives no row. Other columns are not read.
     """
+    chosen = list(dict.fromkeys([id_column, *keep]))
+    mixed = _mix(docs, chosen, id_column, text, source, weights, share, most, seed)
+    names = {_SIZE: "size", _SOURCE_SIZE: "source_size", _TARGET: "target", _TAKEN: "taken"}
+    return mixed.select(*chosen, *(F.col(own).alias(name) for own, name in names.items()))
+
+
+def _mix(docs, chosen, id_column, text, source, weights, share, most, seed) -> DataFrame:
     key = F.md5(F.concat(F.lit(seed + "/"), F.coalesce(F.col(id_column).cast("string"), F.lit("null"))).cast("binary"))
     tie = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
-    chosen = list(dict.fromkeys([id_column, *keep]))
     rows = docs.select(
         *chosen, word_count(text).alias(_SIZE), F.col(source).alias(_SOURCE), F.concat(key, tie).alias(_KEY)
     )
@@ -113,31 +120,28 @@ def mix(
     summed = written(ranged.mapInArrow(_running_sums(at(_SIZE), at(_SOURCE)), schema), "mix")
 
     parts = summed.groupBy(_PART, _SOURCE).agg(F.sum(_SIZE).alias("__n"))
-    totals = source_targets(
-        parts.groupBy(_SOURCE).agg(F.sum("__n").alias("source_size")), _SOURCE, "source_size", weights, share, most
-    ).withColumnRenamed(_SOURCE, "__s")
+    totals = (
+        source_targets(
+            parts.groupBy(_SOURCE).agg(F.sum("__n").alias(_SOURCE_SIZE)), _SOURCE, _SOURCE_SIZE, weights, share, most
+        )
+        .withColumnRenamed(_SOURCE, "__s")
+        .withColumnRenamed("target", _TARGET)
+    )
     earlier = Window.partitionBy(_SOURCE).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         parts.withColumn("__offset", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
         .join(totals, F.col(_SOURCE).eqNullSafe(F.col("__s")))
-        .select(F.col(_PART).alias("__p"), "__s", "__offset", "source_size", "target")
+        .select(F.col(_PART).alias("__p"), "__s", "__offset", _SOURCE_SIZE, _TARGET)
     )
-    budget = F.floor("target")
-    whole = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0)
-    rest = budget - F.col("__whole") * F.col("source_size")
+    whole = F.when(F.col(_SOURCE_SIZE) > 0, F.floor(F.floor(_TARGET) / F.col(_SOURCE_SIZE))).otherwise(0)
+    rest = F.floor(_TARGET) - F.col("__whole") * F.col(_SOURCE_SIZE)
     cut = F.greatest(F.lit(0), F.least(F.col(_SIZE), rest - F.col(_BEFORE) - F.col("__offset")))
     return (
         summed.join(
             if_small(offsets), (F.col(_PART) == F.col("__p")) & F.col(_SOURCE).eqNullSafe(F.col("__s")), "left"
         )
         .withColumn("__whole", whole)
-        .select(
-            *chosen,
-            F.col(_SIZE).alias("size"),
-            "source_size",
-            "target",
-            (F.col("__whole") * F.col(_SIZE) + cut).cast("long").alias("taken"),
-        )
+        .withColumn(_TAKEN, (F.col("__whole") * F.col(_SIZE) + cut).cast("long"))
     )
 
 
@@ -147,19 +151,27 @@ def _cut(text: Column, words: Column) -> Column:
     return F.concat_ws("", F.slice(found, F.lit(1), words.cast("int")))
 
 
-def mixed_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source", **options):
+def mixed_documents(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: Sequence[int] = WEIGHTS,
+    share: float = 1.5,
+    most: float = 2.0,
+    seed: str = "mix",
+) -> DataFrame:
     """The mixed corpus: each document as often as it is taken, in the columns it came with.
 
     A document taken k whole times is there k times; if words are left over, once more with just those first words.
-    A document of which no word is taken is not there.
+    A document of which no word is taken is not there. Nulls, ties and repeated rows are as in `mix`.
     """
     columns = docs.columns
-    taken = mix(docs, id_column, text, source, keep=columns, **options)
-    epochs = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0)
-    extra = F.col("taken") - F.col("__epochs") * F.col("size")
+    taken = _mix(docs, columns, id_column, text, source, weights, share, most, seed)
+    epochs = F.when(F.col(_SIZE) > 0, F.floor(F.col(_TAKEN) / F.col(_SIZE))).otherwise(0)
     copies = (
         taken.withColumn("__epochs", epochs)
-        .withColumn("__extra", extra)
+        .withColumn("__extra", F.col(_TAKEN) - F.col("__epochs") * F.col(_SIZE))
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), (F.col("__epochs") + 1).cast("int"))))
         .filter((F.col("__copy") <= F.col("__epochs")) | (F.col("__extra") > 0))
     )

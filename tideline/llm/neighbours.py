@@ -115,12 +115,14 @@ def nearest_in_block(
     for q, i in candidates(hashing, unit(vectors), unit(queries)):
         other = query_ids[q] != ids[i]
         q, i = q[other], i[other]
+        if not len(q):
+            continue
         score = pair_cosines(queries, q, vectors, i)
         order = np.lexsort((ids[i], -score, q))
         q, i, score = q[order], i[order], score[order]
         new = np.r_[True, (q[1:] != q[:-1]) | (ids[i[1:]] != ids[i[:-1]])]  # equal rows of one id stand together
         q, i, score = q[new], i[new], score[new]
-        first = np.flatnonzero(np.r_[True, q[1:] != q[:-1]]) if len(q) else np.zeros(0, np.int64)
+        first = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
         place = np.arange(len(q)) - np.repeat(first, np.diff(np.r_[first, len(q)]))
         best = place < k
         yield query_ids[q[best]], ids[i[best]], score[best]
@@ -169,13 +171,14 @@ def search(
     right = vectors.select("id", "v", F.size("v").alias("length"), of(blocks).alias("block"), every(query_blocks).alias("query_block"))
 
     def nearest(some: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if not len(some) or not len(block):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        found = list(
-            nearest_in_block(hashing, k, some["id"].to_numpy(), matrix(some["v"]), block["id"].to_numpy(), matrix(block["v"]))
-        )
-        columns = zip(("query_id", "vec_id", "score"), zip(*found, strict=True), strict=True)
-        return pd.DataFrame({name: np.concatenate(parts) for name, parts in columns})
+        names = ("query_id", "vec_id", "score")
+        found = []
+        if len(some) and len(block):
+            ids = some["id"].to_numpy(), block["id"].to_numpy()
+            found = list(nearest_in_block(hashing, k, ids[0], matrix(some["v"]), ids[1], matrix(block["v"])))
+        if not found:
+            return pd.DataFrame({name: [] for name in names})
+        return pd.DataFrame({name: np.concatenate(x) for name, x in zip(names, zip(*found, strict=True), strict=True)})
 
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(nearest, kind)
     ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

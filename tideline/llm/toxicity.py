@@ -14,12 +14,14 @@ from pyspark.sql import types as T
 from tideline.llm.common import hash_fraction
 
 #: The fit reads about this many toxic and ordinary documents, none longer than this many characters.
-FIT_TOXIC, FIT_ORDINARY, FIT_CHARS = 2000, 4000, 30_000
-#: Words of a window, bytes that stand for a word in it, and the words of the part that both dictionaries share.
-WINDOW, CODE, SHARED_WORDS = 16, 8, 1500
+FIT_TOXIC, FIT_ORDINARY, FIT_CHARS = 1500, 3000, 30_000
+#: Words of a window, bytes that stand for a word in it, and the words of the part that both dictionaries share. Half
+#: of the bytes stand for the word's first STEM bytes, half for the whole word.
+WINDOW, CODE, STEM, SHARED_WORDS = 16, 16, 4, 1500
 #: A word goes to a dictionary if it is this much likelier there (log odds), and if chance would put all documents that
 #: have it into that class with a probability below exp(-SURE). Copies of a document count once.
 LOG_ODDS, SURE, MOST_WORDS = 3.0, 9.0, 4000
+COPY_WORDS = 5
 THRESHOLD = 0.7
 _REMEMBERED, _WORDS_AT_ONCE = 500_000, 1 << 20
 _TO_SPACE = bytes(b if chr(b).isalnum() or b >= 128 else 32 for b in range(256))
@@ -30,25 +32,32 @@ def words_of(text: str) -> list[bytes]:
     return text.lower().encode("utf-8", "surrogatepass").translate(_TO_SPACE).split()
 
 
+def stem_of(word: bytes) -> bytes:
+    return word[:STEM] + b"-"
+
+
+def _half(part: bytes) -> bytes:
+    return xxhash.xxh64_digest(part)
+
+
 def _code(word: bytes) -> bytes:
-    return xxhash.xxh64_digest(word)
+    return _half(stem_of(word)) + _half(word)
 
 
 class CompressionScore:
     """Two zstandard dictionaries and the logistic curve that turns their differences into a score.
 
     Windows are written in codes of CODE bytes a word before they are compressed. Codes are incompressible but for
-    whole words the dictionary holds, so a window's length tells how many of its words the dictionary knows, and no
+    words and word stems the dictionary holds, so a window's length tells how many of them the dictionary knows, and no
     chance match of a few letters blurs it. Both dictionaries begin with the same common words. What follows was
-    learned apart: words much likelier in toxic documents, and words much likelier in ordinary ones.
+    learned apart: words and stems much likelier in toxic documents, and those much likelier in ordinary ones.
     """
 
     def __init__(self, shared: Sequence[bytes], toxic: Sequence[bytes], ordinary: Sequence[bytes]):
-        size = CODE * max(len(toxic), len(ordinary))
         base = b"".join(map(_code, shared))
-        self._content = tuple(
-            base + b"\0" * (size - CODE * len(own)) + b"".join(map(_code, own)) for own in (toxic, ordinary)
-        )
+        toxic, ordinary = (b"".join(map(_half, parts)) for parts in (toxic, ordinary))
+        size = max(len(toxic), len(ordinary))
+        self._content = tuple(base + b"\0" * (size - len(own)) + own for own in (toxic, ordinary))
         self.weights = np.zeros(4)
         self._open()
 
@@ -117,9 +126,9 @@ class CompressionScore:
             rows.append((1.0, max(0.0, float(d.max())) if len(d) else 0.0, np.log1p(gain), gain / max(1, len(d))))
         return np.array(rows).reshape(-1, 4)
 
-    def calibrate(self, texts: Sequence[str | None], toxic: np.ndarray) -> None:
+    def calibrate(self, features: np.ndarray, toxic: np.ndarray) -> None:
         """Ridge logistic regression of the labels on the features, by Newton's method; both classes weigh the same."""
-        x, y = self.features(texts), np.asarray(toxic, dtype=float)
+        x, y = features, np.asarray(toxic, dtype=float)
         if not len(y):
             self.weights = np.zeros(4)
             return
@@ -139,24 +148,30 @@ class CompressionScore:
         return 1 / (1 + np.exp(-np.clip(self.features(texts) @ self.weights, -30, 30)))
 
 
-def _documents_with(texts: Sequence[list[bytes]]) -> tuple[Counter, int]:
-    """In how many documents each word is. Documents that share the word of the least hash count once: near copies
-    of one text would make its rare words look telling."""
-    seen: dict[bytes, set[bytes]] = {}
-    for words in texts:
-        if words:
-            distinct = set(words)
-            seen.setdefault(min(map(_code, distinct)), set()).update(distinct)
+def _signature(words: Sequence[bytes]) -> int:
+    """The least hash of a run of COPY_WORDS words: near copies mostly agree in it, other documents hardly ever."""
+    last = max(1, len(words) - COPY_WORDS + 1)
+    return min(xxhash.xxh64_intdigest(b" ".join(words[i : i + COPY_WORDS])) for i in range(last))
+
+
+def _parts(text: str) -> tuple[int, frozenset[bytes]]:
+    """Signature, words and stems of a text."""
+    words = words_of(text)
+    return (_signature(words), frozenset([*words, *map(stem_of, words)])) if words else (0, frozenset())
+
+
+def _documents_with(parts: Sequence[tuple[int, frozenset[bytes]]]) -> tuple[Counter, int]:
+    """In how many documents each word and stem is, and how many there are. Documents of one signature count once: near
+    copies of one text would make its rare words look telling."""
+    seen: dict[int, set[bytes]] = {}
+    for signature, own in parts:
+        if own:
+            seen.setdefault(signature, set()).update(own)
     return Counter(w for words in seen.values() for w in words), len(seen)
 
 
-def train(texts: Sequence[str], toxic: Sequence[int]) -> CompressionScore:
-    """Dictionaries from two of three texts of each class, the curve from the third."""
-    order = sorted(range(len(texts)), key=lambda i: (toxic[i], texts[i]))
-    learn = [i for k, i in enumerate(order) if k % 3 != 2]
-    check = [i for k, i in enumerate(order) if k % 3 == 2]
-    found = [_documents_with([words_of(texts[i]) for i in learn if bool(toxic[i]) == c]) for c in (True, False)]
-    (bad, bads), (good, goods) = found
+def _dictionaries(toxic: Sequence[tuple], ordinary: Sequence[tuple]) -> CompressionScore:
+    (bad, bads), (good, goods) = _documents_with(toxic), _documents_with(ordinary)
 
     def telling(own: Counter, n: int, other: Counter, m: int) -> list[bytes]:
         least = SURE / np.log((n + m) / n) if n and m else np.inf
@@ -170,9 +185,28 @@ def train(texts: Sequence[str], toxic: Sequence[int]) -> CompressionScore:
 
     toxic_words, ordinary_words = telling(bad, bads, good, goods), telling(good, goods, bad, bads)
     apart = {*toxic_words, *ordinary_words}
-    common = sorted((w for w in good if w not in apart), key=lambda w: (-good[w], w))[:SHARED_WORDS][::-1]
-    model = CompressionScore(common, toxic_words, ordinary_words)
-    model.calibrate([texts[i] for i in check], np.array([toxic[i] for i in check]))
+    plain = (w for w in good if w not in apart and stem_of(w) not in apart and not w.endswith(b"-"))
+    common = sorted(plain, key=lambda w: (-good[w], w))[:SHARED_WORDS][::-1]
+    return CompressionScore(common, toxic_words, ordinary_words)
+
+
+def train(texts: Sequence[str], toxic: Sequence[int]) -> CompressionScore:
+    """Dictionaries from all texts. The curve is fitted to features of texts that the dictionaries did not see: each
+    third of the texts under dictionaries of the other two."""
+    order = sorted(range(len(texts)), key=lambda i: (toxic[i], texts[i]))
+    parts = [_parts(texts[i]) for i in order]
+    label = np.array([int(bool(toxic[i])) for i in order], dtype=int)
+
+    def learned(use: np.ndarray) -> CompressionScore:
+        return _dictionaries(*([parts[i] for i in np.flatnonzero(use & (label == c))] for c in (1, 0)))
+
+    third = np.arange(len(order)) % 3
+    features = np.zeros((len(order), 4))
+    for t in range(3):
+        own = np.flatnonzero(third == t)
+        features[own] = learned(third != t).features([texts[order[i]] for i in own])
+    model = learned(np.ones(len(order), dtype=bool))
+    model.calibrate(features, label)
     return model
 
 
