@@ -5,12 +5,11 @@ from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkContext
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tideline.llm.common import HashIndex
@@ -18,8 +17,9 @@ from tideline.llm.common import HashIndex
 #: Rows longer than this are merged one by one.
 LONGEST_ROW = 512
 #: Words whose ids a task remembers, and bytes of text it works on at once.
-REMEMBERED_WORDS, TEXT_BLOCK = 300_000, 1 << 21
+REMEMBERED_WORDS, TEXT_BLOCK = 150_000, 1 << 20
 _NONE = np.int32(2**31 - 1)
+_NO_IDS = np.zeros(0, np.int32)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -202,17 +202,13 @@ class _Ranks:
         return {"name": self.name, "broadcast": self.broadcast}
 
 
-def _blocks(texts: list[str | None]) -> Iterator[list[str]]:
-    block, size = [], 0
-    for text in texts:
-        text = text or ""
-        if block and size + len(text) > TEXT_BLOCK:
-            yield block
-            block, size = [], 0
-        block.append(text)
-        size += len(text)
-    if block:
-        yield block
+def _blocks(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of runs of rows of about `most` in all; a larger row stands alone."""
+    ends, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        end = max(at + 1, int(np.searchsorted(ends, most + (ends[at - 1] if at else 0), side="right")))
+        yield at, end
+        at = end
 
 
 def encode(docs: DataFrame, text: str, rank_file: str, pattern: str, tokens: str = "tokens") -> DataFrame:
@@ -230,46 +226,42 @@ def encode(docs: DataFrame, text: str, rank_file: str, pattern: str, tokens: str
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = WordMemory(ranks.pairs(), pattern)
         for batch in batches:
-            at = 0
-            for block in _blocks(batch.column(len(rest)).to_pylist()):
-                ids = memory.encode(block)
+            size = pc.fill_null(pc.binary_length(batch.column(len(rest))), 0).to_numpy(zero_copy_only=False)
+            for start, end in _blocks(size, TEXT_BLOCK):
+                part = batch.slice(start, end - start)
+                ids = memory.encode([t or "" for t in part.column(len(rest)).to_pylist()])
                 offsets = np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int32)
-                flat = np.concatenate(ids).astype(np.int32)
-                column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-                own = [batch.column(i).slice(at, len(block)) for i in range(len(rest))]
-                yield pa.RecordBatch.from_arrays([*own, column], names=[*rest, tokens])
-                at += len(block)
+                column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], column], names=[*rest, tokens])
 
     return rows.mapInArrow(encoded, schema)
 
 
-def decode(docs: DataFrame, rank_file: str, tokens: str = "tokens", text: str = "decoded") -> DataFrame:
-    """Adds the bytes that the ids stand for as a binary column; null ids give no bytes, unknown ids an error.
+def decode(
+    docs: DataFrame, rank_file: str, tokens: str = "tokens", text: str = "decoded", packed: str | None = None
+) -> DataFrame:
+    """Adds the bytes that the ids stand for as a binary column `text`; null ids give no bytes, unknown ids an error.
 
-    Bytes, not text: ids cut from a longer run may end within a character.
+    Bytes, not text: ids cut from a longer run may end within a character. `packed`, if named, is added too: the ids as
+    little-endian unsigned 32-bit integers. Columns that already have these names are replaced.
     """
     ranks = _Ranks(rank_file)
-    rest = [c for c in docs.columns if c != text]
+    added = [text, packed] if packed else [text]
+    rest = [c for c in docs.columns if c not in added]
     rows = docs.select(*rest)
-    schema = T.StructType([*rows.schema, T.StructField(text, T.BinaryType())])
+    schema = T.StructType([*rows.schema, *(T.StructField(name, T.BinaryType()) for name in added)])
     at = rest.index(tokens)
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = ranks.pairs()
         for batch in batches:
-            column = batch.column(at)
-            ids = [None if x is None else x.values.to_numpy(zero_copy_only=False) for x in column]
-            out = pa.array([b"" if x is None else pairs.decode(x) for x in ids], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*rest, text])
+            size = pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+            for start, end in _blocks(size, TEXT_BLOCK):
+                part = batch.slice(start, end - start)
+                ids = [_NO_IDS if x.values is None else x.values.to_numpy() for x in part.column(at)]
+                out = [pa.array(map(pairs.decode, ids), pa.binary())]
+                if packed:
+                    out.append(pa.array((x.astype("<u4").tobytes() for x in ids), pa.binary()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *out], names=[*rest, *added])
 
     return rows.mapInArrow(decoded, schema)
-
-
-def _little_endian(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for ids in batches:
-        yield ids.map(lambda x: b"" if x is None else np.asarray(x, dtype="<u4").tobytes())
-
-
-def ids_as_bytes(tokens: str) -> Column:
-    """The ids as little-endian unsigned 32-bit integers."""
-    return F.pandas_udf(_little_endian, T.BinaryType())(tokens)

@@ -74,10 +74,10 @@ RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = bpe.encode(docs, "text", RANK_FILE, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, RANK_FILE).select(
+    return bpe.decode(encoded, RANK_FILE, packed="packed").select(
         "doc_id",
         F.size("tokens").cast("long").alias("n_tokens"),
-        F.sha2(bpe.ids_as_bytes("tokens"), 256).alias("ids_sha256"),
+        F.sha2("packed", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
