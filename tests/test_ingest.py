@@ -44,9 +44,9 @@ def feed(landing, **options):
 
 
 def test_version_is_a_number(spark):
-    paths = ["dir/x_9.csv", "dir/x_10.csv", "dir/test_x_3.csv/part-0.csv", "dir/readme.txt", "s3://b/a_7.csvx"]
+    paths = ["dir/x_9.csv", "dir/x_10.csv", "dir/test_x_3.csv/part-0.csv", "dir/readme.txt", "s3://b/a_7.csvx", "z_4.csv.gz"]
     df = spark.createDataFrame([(p,) for p in paths], f"{LINEAGE} string")
-    assert [r[0] for r in df.select(file_version(LINEAGE)).collect()] == [9, 10, 3, None, None]
+    assert [r[0] for r in df.select(file_version(LINEAGE)).collect()] == [9, 10, 3, None, None, 4]
     assert high_water_mark(df).first().last_version == 10
     assert high_water_mark(df.limit(0)).first().last_version is None
 
@@ -90,14 +90,14 @@ def test_snapshot_changes_nothing_visible(spark, rows, place):
     before = rows(bronze(spark, f, table))
     compact(spark, f, table)
     compact(spark, f, table)
-    assert committed(spark, table, "snapshots") == [2]
+    assert committed(spark, table, "snapshots") == [1]
     assert rows(bronze(spark, f, table)) == before
     deliver(landing, 3, ["9,3.0,b"])
     land(spark, f, table)
     merged = rows(bronze(spark, f, table))
     compact(spark, f, table)
     expire(spark, table, keep=1)
-    assert committed(spark, table, "snapshots") == [3] and committed(spark, table, "deliveries") == []
+    assert committed(spark, table, "snapshots") == [2] and committed(spark, table, "deliveries") == []
     assert rows(bronze(spark, f, table)) == merged and last_version(spark, table) == 3
 
 
@@ -248,3 +248,84 @@ def test_listing_key_overwrites_equal_coordinates(spark, rows, tmp_path):
     frame(spark, [listing(1, price=99.0)]).write.option("header", True).csv(f"{landing}/listing_2.csv")
     out = ingest(spark, Feed(landing, LISTING_SCHEMA, LISTING_KEYS), str(tmp_path / "table"))
     assert rows(out, "price", VERSION) == [(99.0, 2)]
+
+
+def test_late_delivery_is_taken_and_does_not_win(spark, rows, place):
+    landing, table = place
+    for v in (1, 2, 4):
+        deliver(landing, v, [f"9,{v}.0,hot", f"{v},1.0,own"])
+    assert land(spark, feed(landing), table) == [1, 2, 4]
+    for snapshot in (False, True):
+        v = 5 if snapshot else 3
+        if snapshot:
+            compact(spark, feed(landing), table)
+            deliver(landing, 6, ["9,6.0,hot"])
+            assert land(spark, feed(landing), table) == [6]
+        deliver(landing, v, [f"9,{v}.0,hot", f"{v},1.0,own"])
+        assert land(spark, feed(landing), table) == [v]
+    assert rows(bronze(spark, feed(landing), table), "k", "price") == [(1, 1.0), (2, 1.0), (3, 1.0), (4, 1.0), (5, 1.0), (9, 6.0)]
+    assert last_version(spark, table) == 6 and land(spark, feed(landing), table) == []
+
+
+def test_later_file_of_a_taken_version(spark, rows, place):
+    landing, table = place
+    os.makedirs(f"{landing}/listing_1.csv")
+    for part in ("a", "b"):
+        with open(f"{landing}/listing_1.csv/{part} {part}%.csv", "w") as file:
+            file.write(f"k,price,name\n{ord(part)},1.0,{part}\n")
+        assert land(spark, feed(landing), table) == [1]
+        assert land(spark, feed(landing), table) == []
+    assert rows(bronze(spark, feed(landing), table), "k") == [(97,), (98,)]
+
+
+def test_long_versions_and_names_without_one(spark, rows, place):
+    landing, table = place
+    deliver(landing, 20261201120000, ["1,1.0,a"])
+    deliver(landing, 20261201120001, ["1,2.0,a"])
+    assert rows(ingest(spark, feed(landing), table), "price", VERSION) == [(2.0, 20261201120001)]
+    deliver(landing, "final", ["5,1.0,a"])
+    with pytest.raises(ValueError, match="final"):
+        land(spark, feed(landing), table)
+    assert land(spark, feed(landing, on_unnamed="skip"), table) == []
+
+
+def test_stream_and_batch_share_one_sequence(spark, rows, place, tmp_path):
+    """Batch, snapshot, stream, new checkpoint, expiry: every file once, none lost."""
+    landing, table = place
+    f = feed(landing)
+    for v in (1, 2, 3):
+        deliver(landing, v, [f"{v},1.0,own", f"9,{v}.0,hot"])
+    land(spark, f, table)
+    compact(spark, f, table)
+    for v, checkpoint in ((4, "one"), (5, "one"), (6, "two")):
+        deliver(landing, v, [f"{v},1.0,own", f"9,{v}.0,hot"])
+        stream_deliveries(spark, f, table, str(tmp_path / checkpoint)).awaitTermination()
+        if v == 5:
+            compact(spark, f, table)
+            expire(spark, table, keep=1)
+    assert land(spark, f, table) == []
+    expected = [(1, 1.0), (2, 1.0), (3, 1.0), (4, 1.0), (5, 1.0), (6, 1.0), (9, 6.0)]
+    assert rows(bronze(spark, f, table), "k", "price") == expected
+    assert last_version(spark, table) == 6
+
+
+def test_repeated_key_after_expiry_is_refused(spark, place):
+    landing, table = place
+    f = feed(landing)
+    deliver(landing, 1, ["1,1.0,a"])
+    land(spark, f, table)
+    compact(spark, f, table)
+    expire(spark, table, keep=1)
+    deliver(landing, 2, ["2,1.0,a", "2,2.0,b"])
+    with pytest.raises(DuplicateKeys):
+        land(spark, f, table)
+
+
+def test_malformed_update_keeps_the_row(spark, rows, place):
+    landing, table = place
+    deliver(landing, 1, ["1,1.0,a", "2,1.0,b"])
+    ingest(spark, feed(landing), table)
+    deliver(landing, 2, ["1,n/a,a", "1,n/a,a"])
+    out = ingest(spark, feed(landing), table)
+    assert rows(out.filter(F.col(CORRUPT).isNull()), "k", "price") == [(1, 1.0), (2, 1.0)]
+    assert out.filter(F.col(CORRUPT).isNotNull()).count() == 2

@@ -1,6 +1,6 @@
 """Bronze to silver: complete, non-blank, distinct rows."""
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,23 +19,20 @@ def drop_blank(df: DataFrame, trim: bool = False, exclude: Iterable[str] = ()) -
     return df.filter(not_blank(columns_of_type(df, T.StringType, exclude), trim))
 
 
-def distinct_rows(df: DataFrame, lineage: Iterable[str] = ()) -> DataFrame:
+def distinct_rows(df: DataFrame, lineage: Sequence[str] = ()) -> DataFrame:
     """Full-row deduplication. Copies that differ in the lineage columns alone are one row, the latest lineage wins.
 
-    Both forms aggregate, so copies of one hot row collapse on the map side before the shuffle.
+    The first lineage column decides which is latest, the next ones ties: name the version before the path, since as
+    text file 9 comes after file 10. Copies of one hot row collapse on the map side before the shuffle.
     """
-    traced = [c for c in df.columns if c in set(lineage)]
+    traced = [c for c in lineage if c in df.columns]
     if not traced:
         return df.dropDuplicates()
     content = [c for c in df.columns if c not in traced]
-    newest = F.max(F.struct(*traced))
-    if len(traced) == 1:
-        return df.groupBy(*content).agg(F.max(traced[0]).alias(traced[0])).select(*df.columns)
-    return df.groupBy(*content).agg(newest.alias("_newest")).select(
-        *(F.col(f"_newest.{c}").alias(c) if c in traced else F.col(c) for c in df.columns)
-    )
+    newest = df.groupBy(*content).agg(F.max(F.struct(*traced)).alias("_newest"))
+    return newest.select(*(F.col(f"_newest.{c}").alias(c) if c in traced else F.col(c) for c in df.columns))
 
 
-def to_silver(df: DataFrame, lineage: Iterable[str] = (), trim: bool = False) -> DataFrame:
+def to_silver(df: DataFrame, lineage: Sequence[str] = (), trim: bool = False) -> DataFrame:
     """Filters first, so that only good rows are shuffled for the deduplication."""
     return distinct_rows(drop_blank(drop_incomplete(df), trim, exclude=lineage), lineage)

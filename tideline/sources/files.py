@@ -40,11 +40,20 @@ def with_lineage(df: DataFrame, pattern: str = VERSION_PATTERN) -> DataFrame:
     return df.withColumns({LINEAGE: path, VERSION: file_version(path, pattern)})
 
 
-def versions_present(spark: SparkSession, source: str, pattern: str = VERSION_PATTERN) -> list[int]:
-    """Versions in the landing area, ascending. Lists names only; no file is opened."""
+def files_present(spark: SparkSession, source: str, pattern: str = VERSION_PATTERN) -> DataFrame:
+    """(path, version) of every file in the landing area. Lists names only; no file is opened.
+
+    Paths are spelled as in the lineage column. Names that carry no version have a null one.
+    """
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
-    found = listing.select(file_version(F.col("path"), pattern).alias("v")).filter("v IS NOT NULL").distinct()
-    return sorted(row.v for row in found.collect())
+    path = F.col("_metadata.file_path")
+    return listing.select(path.alias("path"), file_version(path, pattern).alias("version"))
+
+
+def versions_present(spark: SparkSession, source: str, pattern: str = VERSION_PATTERN) -> list[int]:
+    """Versions in the landing area, ascending."""
+    found = files_present(spark, source, pattern).select("version").filter("version IS NOT NULL").distinct()
+    return sorted(row.version for row in found.collect())
 
 
 def high_water_mark(df: DataFrame, lineage: str = LINEAGE, pattern: str = VERSION_PATTERN) -> DataFrame:

@@ -2,8 +2,15 @@
 
 Landing appends: each run writes its deliveries, and nothing else, to a new folder of the table, so its cost
 follows the delivery and not the table. The bronze frame is the last snapshot with later deliveries merged in;
-compacting writes it as the next snapshot. A folder counts once its marker file exists, which is created after
-the write and its checks; a run that died before that leaves nothing visible and is simply repeated.
+compacting writes it as the next snapshot.
+
+Commits are numbered in one sequence per table, whoever writes them: a batch run, a stream, or a snapshot, which
+carries the number of the last delivery in it. The ledger names the files of every commit, so a file is pending if the
+ledger does not name it. Deliveries may come late or out of order, in batch or as a stream, also after a snapshot and
+under a new stream checkpoint: each is taken once, and a key keeps the row of its greatest version.
+
+A folder counts once its marker file exists, which is created after the write and its checks; a run that died before
+that leaves nothing visible and is simply repeated under the same number. One writer at a time is assumed.
 """
 
 import re
@@ -17,10 +24,16 @@ from pyspark.sql import types as T
 from tideline.functions.versions import VERSION_PATTERN
 from tideline.operators.upsert import DuplicateKeys, duplicate_keys, is_small, latest_per_key, upsert
 from tideline.schemas import LINEAGE
-from tideline.sources.files import VERSION, scan_csv, versions_present, with_corrupt, with_lineage
+from tideline.sources.files import CORRUPT, VERSION, files_present, scan_csv, with_corrupt, with_lineage
 from tideline.workspace import child_names, delete_folder
 
 _MARKER = "_COMMITTED"
+_LEDGER = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("version", T.LongType()),
+    T.StructField("batch", T.StringType()),
+    T.StructField("commit", T.LongType()),
+])
 
 
 @dataclass(frozen=True)
@@ -29,6 +42,8 @@ class Feed:
 
     on_duplicate says what to do when one delivery repeats a key: "error" refuses the delivery (the very first is
     taken as it is, since it merges into nothing), "latest" keeps the row with the greatest order_by values.
+    Malformed lines are no updates: they are stored and counted, and neither replace a row nor repeat a key.
+    on_unnamed says what to do with a file whose name carries no version: "error" stops the run, "skip" leaves the file.
     """
 
     source: str
@@ -37,10 +52,11 @@ class Feed:
     pattern: str = VERSION_PATTERN
     on_duplicate: str = "error"
     order_by: Sequence[str] = field(default_factory=tuple)
+    on_unnamed: str = "error"
 
     @property
     def stored(self) -> T.StructType:
-        lineage = [T.StructField(LINEAGE, T.StringType()), T.StructField(VERSION, T.IntegerType())]
+        lineage = [T.StructField(LINEAGE, T.StringType()), T.StructField(VERSION, T.LongType())]
         return T.StructType([*with_corrupt(self.schema).fields, *lineage])
 
 
@@ -60,27 +76,47 @@ def _commit(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True).close()
 
 
+def _last_commit(spark: SparkSession, table: str) -> int:
+    """Number of the last commit, 0 before the first."""
+    return max([0, *committed(spark, table, "deliveries"), *committed(spark, table, "snapshots")])
+
+
+def ledger(spark: SparkSession, table: str) -> DataFrame:
+    """(path, version, batch, commit) of every file taken; batch names the micro-batch that a stream took it in."""
+    last = _last_commit(spark, table)
+    if not last:
+        return spark.createDataFrame([], _LEDGER)
+    return spark.read.schema(_LEDGER).parquet(f"{table}/ledger").filter(F.col("commit") <= last)
+
+
 def last_version(spark: SparkSession, table: str) -> int | None:
     """The high-water mark: the greatest version committed so far, as a number."""
-    done = committed(spark, table, "deliveries") + committed(spark, table, "snapshots")
-    return max(done, default=None)
+    return ledger(spark, table).agg(F.max("version").alias("v")).first().v
 
 
-def store_delivery(feed: Feed, rows: DataFrame, table: str, commit: int, first: bool) -> None:
-    """Writes one batch of deliveries as commit number `commit`; writing a number again replaces it."""
+def store_delivery(
+    feed: Feed, rows: DataFrame, table: str, files: DataFrame | None = None, batch: str | None = None
+) -> None:
+    """Writes one batch of deliveries as the next commit. `files` are its (path, version); by default those of the rows."""
     spark = rows.sparkSession
-    folder = f"{table}/deliveries/commit={commit}"
+    last = _last_commit(spark, table)
+    folder = f"{table}/deliveries/commit={last + 1}"
     per_delivery = [*feed.keys, VERSION]
     if feed.on_duplicate == "latest":
-        rows = latest_per_key(rows, per_delivery, feed.order_by)
+        formed = F.col(CORRUPT).isNull()
+        rows = latest_per_key(rows.filter(formed), per_delivery, feed.order_by).unionByName(rows.filter(~formed))
     rows.select(*feed.stored.names).write.mode("overwrite").partitionBy(VERSION).parquet(folder)
+    stored = spark.read.schema(feed.stored).parquet(folder)
     if feed.on_duplicate == "error":
-        stored = spark.read.schema(feed.stored).parquet(folder)
-        if first:
-            stored = stored.filter(F.col(VERSION) > min(_versions_in(spark, folder), default=0))
-        repeated = duplicate_keys(stored, per_delivery).limit(5).collect()
+        keyed = stored.filter(F.col(CORRUPT).isNull())
+        if not last:
+            keyed = keyed.filter(F.col(VERSION) > min(_versions_in(spark, folder), default=0))
+        repeated = duplicate_keys(keyed, per_delivery).limit(5).collect()
         if repeated:
             raise DuplicateKeys(f"deliveries repeat keys, for example {repeated}")
+    if files is None:
+        files = stored.select(F.col(LINEAGE).alias("path"), F.col(VERSION).alias("version")).distinct()
+    files.withColumn("batch", F.lit(batch).cast("string")).write.mode("overwrite").parquet(f"{table}/ledger/commit={last + 1}")
     _commit(spark, folder)
 
 
@@ -88,47 +124,69 @@ def _versions_in(spark: SparkSession, folder: str) -> list[int]:
     return [int(name.rsplit("=", 1)[1]) for name in child_names(spark, f"{folder}/{VERSION}=*")]
 
 
+def pending_files(spark: SparkSession, feed: Feed, table: str) -> DataFrame:
+    """(path, version) of the files in the landing area that no commit has taken."""
+    taken = ledger(spark, table).select("path")
+    return files_present(spark, feed.source, feed.pattern).join(taken, "path", "left_anti")
+
+
 def land(spark: SparkSession, feed: Feed, table: str, max_files: int | None = None) -> list[int]:
-    """Stores the deliveries above the high-water mark, oldest first, and returns their versions."""
-    mark = last_version(spark, table)
-    present = versions_present(spark, feed.source, feed.pattern)
-    if mark is None and not present:
-        raise FileNotFoundError(f"no delivery matches {feed.source}")
-    pending = [v for v in present if mark is None or v > mark][:max_files]
-    if pending:
-        # A predicate on file metadata: files of other versions are not opened.
-        chosen = with_lineage(scan_csv(spark, feed.source, feed.schema), feed.pattern).filter(
-            F.col(VERSION).between(pending[0], pending[-1])
-        )
-        store_delivery(feed, chosen, table, pending[-1], first=mark is None)
-    return pending
+    """Stores the deliveries not taken yet, oldest first, and returns their versions.
+
+    Only pending names come to the driver, which has to list the files of a scan anyway.
+    """
+    files = pending_files(spark, feed, table).collect()
+    unnamed = sorted(f.path for f in files if f.version is None)
+    if unnamed and feed.on_unnamed == "error":
+        raise ValueError(f"{len(unnamed)} files carry no version in their names, for example {unnamed[:5]}")
+    versions = sorted({f.version for f in files if f.version is not None})[:max_files]
+    if not versions:
+        if not _last_commit(spark, table):
+            raise FileNotFoundError(f"no delivery matches {feed.source}")
+        return []
+    chosen = [(f.path, f.version) for f in files if f.version in set(versions)]
+    # A predicate on file metadata: other files are not opened.
+    rows = with_lineage(scan_csv(spark, feed.source, feed.schema), feed.pattern).filter(
+        F.col("_metadata.file_path").isin([path for path, _ in chosen])
+    )
+    store_delivery(feed, rows, table, spark.createDataFrame(chosen, "path string, version long"))
+    return versions
 
 
 def bronze(spark: SparkSession, feed: Feed, table: str) -> DataFrame:
-    """The table's current content: the last snapshot merged with the deliveries committed since."""
+    """The table's current content: the last snapshot merged with the deliveries committed since.
+
+    Malformed lines are beside the merge: they are rows of their own and never replace one.
+    """
     snapshots = committed(spark, table, "snapshots")
     snapshot = snapshots[-1] if snapshots else None
     since = [n for n in committed(spark, table, "deliveries") if snapshot is None or n > snapshot]
-    folders = [f"{table}/deliveries/commit={n}" for n in since]
     columns = feed.stored.names
-    if not folders:
+    if not since:
         if snapshot is None:
             return spark.createDataFrame([], feed.stored)
         return spark.read.schema(feed.stored).parquet(f"{table}/snapshots/commit={snapshot}")
-    tail = (
-        spark.read.schema(feed.stored).option("basePath", f"{table}/deliveries").parquet(*folders).select(*columns)
-    )
+
+    def delivered(numbers: Sequence[int]) -> DataFrame:
+        folders = [f"{table}/deliveries/commit={n}" for n in numbers]
+        return (
+            spark.read.schema(feed.stored).option("basePath", f"{table}/deliveries").parquet(*folders).select(*columns)
+        )
+
+    tail = delivered(since)
     if snapshot is None:
-        versions = {v for folder in folders for v in _versions_in(spark, folder)}
-        base = tail.filter(F.col(VERSION) == min(versions))
-        tail = tail.filter(F.col(VERSION) > min(versions))
-        if len(versions) == 1:
-            return base
+        # What the table began with: the oldest delivery of the first commit.
+        first = min(_versions_in(spark, f"{table}/deliveries/commit={since[0]}"), default=0)
+        base = delivered(since[:1]).filter(F.col(VERSION) == first)
+        rest = delivered(since[:1]).filter(F.col(VERSION) != first)
+        tail = rest.unionByName(delivered(since[1:])) if len(since) > 1 else rest
     else:
         base = spark.read.schema(feed.stored).parquet(f"{table}/snapshots/commit={snapshot}")
+    formed = F.col(CORRUPT).isNull()
     # Later versions of a key replace earlier ones before the merge, so any number of deliveries is one join.
-    updates = latest_per_key(tail, feed.keys, [VERSION])
-    return upsert(base, updates, feed.keys, newer_by=VERSION, small_updates=is_small(tail))
+    updates = latest_per_key(tail.filter(formed), feed.keys, [VERSION])
+    merged = upsert(base.filter(formed), updates, feed.keys, newer_by=VERSION, small_updates=is_small(tail))
+    return merged.unionByName(base.filter(~formed)).unionByName(tail.filter(~formed))
 
 
 def compact(
@@ -147,7 +205,7 @@ def compact(
 
 
 def expire(spark: SparkSession, table: str, keep: int = 2) -> None:
-    """Deletes all but the last `keep` snapshots, and the deliveries the oldest of those contains."""
+    """Deletes all but the last `keep` snapshots, and the deliveries the oldest of those contains. The ledger stays."""
     snapshots = committed(spark, table, "snapshots")
     for n in snapshots[:-keep]:
         delete_folder(spark, f"{table}/snapshots/commit={n}")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators.expectations import ExpectationFailed, Rule, check_observed, observed
 from tideline.operators.upsert import DuplicateKeys, ambiguous_matches, duplicate_keys, is_small, upsert
-from tideline.workspace import delete_folder, new_folder
+from tideline.workspace import delete_folder, new_table_folder
 
 # Providers whose tables Spark can merge into row by row.
 MERGING_PROVIDERS = {"delta", "iceberg", "hudi"}
@@ -21,7 +21,8 @@ def scan_table(spark: SparkSession, name: str, fraction: float = 1.0, seed: int
 
 
 def overwrite_table(df: DataFrame, name: str) -> None:
-    df.write.mode("overwrite").saveAsTable(name)
+    """Replaces the table's content in one step: readers see the old rows or the new ones, never none."""
+    publish(df, name, keep_previous=False)
 
 
 def publish(
@@ -34,11 +35,12 @@ def publish(
 ) -> dict[str, int]:
     """Writes `df` to a new folder, counting rule violations on the way, then points the table at it.
 
-    The frame may read the table it replaces. If a 'fail' rule is violated the table keeps its old content.
+    Tables lie below their database's location unless a folder is given. The frame may read the table it replaces. If a
+    'fail' rule is violated the table keeps its old content.
     The replaced folder stays for readers still on it, unless keep_previous is off. Returns the violations per rule.
     """
     spark = df.sparkSession
-    folder = folder or new_folder(spark, name)
+    folder = folder or new_table_folder(spark, name)
     previous = _detail(spark, name, "Location") if spark.catalog.tableExists(name) else None
     violations: dict[str, int] = {}
     if rules:

@@ -1,12 +1,14 @@
 """Deliveries as a stream: file source, checkpointed, into a table or a keyed upsert."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tideline.functions.versions import VERSION_PATTERN
+from tideline.schemas import LINEAGE
 from tideline.sources.files import CORRUPT, VERSION, with_corrupt, with_lineage
-from tideline.sources.ingest import Feed, committed, store_delivery
+from tideline.sources.ingest import Feed, ledger, store_delivery
 
 
 def file_stream(
@@ -41,12 +43,22 @@ def stream_deliveries(
 ) -> StreamingQuery:
     """Lands new files into the table that `bronze` reads, one commit per micro-batch.
 
-    The commit carries the batch id, so a batch that is replayed after a failure replaces itself.
+    The ledger names the batch, so one that is replayed after its commit is passed over, and one that died before it is
+    done again. Files that the ledger knows from a batch run or another checkpoint are left out.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        first = not [n for n in committed(batch.sparkSession, table, "deliveries") if n != batch_id]
-        store_delivery(feed, batch.filter(f"{VERSION} IS NOT NULL"), table, batch_id, first)
+        name, session = f"{checkpoint}#{batch_id}", batch.sparkSession
+        taken = ledger(session, table)
+        if not taken.filter(F.col("batch") == name).isEmpty():
+            return
+        if feed.on_unnamed == "error" and (stray := batch.filter(F.col(VERSION).isNull()).select(LINEAGE).first()):
+            raise ValueError(f"a file carries no version in its name: {stray[0]}")
+        new = batch.filter(F.col(VERSION).isNotNull()).join(
+            taken.select(F.col("path").alias(LINEAGE)).distinct(), LINEAGE, "left_anti"
+        )
+        if not new.isEmpty():
+            store_delivery(feed, new, table, batch=name)
 
     stream = file_stream(spark, feed.source, feed.schema, pattern=feed.pattern, max_files=max_files)
     return (
