@@ -10,6 +10,8 @@ from tideline.functions.statistics import chi2_p_value, erfc, ks_p_value, normal
 from tideline.operators import drift as D
 from tideline.operators.skew import append_variants, blank_to_null, fit_johnson_su, skew_numeric
 
+P_VALUES = D.DriftSettings(method="p-value")
+
 
 def by_hand(reference, current):
     """KS and Wasserstein distance from the definitions."""
@@ -74,7 +76,7 @@ def test_infinite_values_are_counted(spark):
 
 def test_identical_sides_and_constant_column(spark):
     same = column(spark, [3.0] * 20)
-    report = D.drift_report(same, same, "2024-01-31").first()
+    report = D.drift_report(same, same, "2024-01-31", settings=P_VALUES).first()
     assert report.statistic == 1.0 and not report.drifted
     many = spark.range(2000).selectExpr("cast(id AS double) AS x", "cast(id % 3 AS string) AS s")
     assert {r.drifted for r in D.drift_report(many, many).collect()} == {False}
@@ -97,25 +99,35 @@ def test_empty_current_side_has_drifted(spark):
 
 
 @pytest.mark.parametrize(
-    "values, rows, method",
+    "values, method, by_distance",
     [
-        (2, 100, "z p-value"),
-        (4, 100, "chi-square p-value"),
-        (50, 100, "ks p-value"),
-        (4, 2000, "jensen-shannon"),
-        (50, 2000, "wasserstein normed"),
+        (2, "z p-value", "jensen-shannon"),
+        (4, "chi-square p-value", "jensen-shannon"),
+        (50, "ks p-value", "wasserstein normed"),
     ],
 )
-def test_choice_of_method(spark, values, rows, method):
+@pytest.mark.parametrize("rows", [100, 2000])
+def test_choice_of_method(spark, values, rows, method, by_distance):
+    """The caller's choice, the same at every size."""
     df = spark.range(rows).selectExpr(f"cast(id % {values} AS double) AS x")
-    assert D.drift_report(df, df).first().method == method
+    assert D.drift_report(df, df, settings=P_VALUES).first().method == method
+    assert D.drift_report(df, df).first().method == by_distance
+
+
+def test_unknown_method_and_text_that_is_no_number(spark):
+    df = column(spark, [1.0, 2.0])
+    with pytest.raises(ValueError, match="method"):
+        D.drift_report(df, df, settings=D.DriftSettings(method="guess"))
+    text = df.select(F.when(F.col(df.columns[0]) > 1, "n/a").otherwise("1.0").alias(df.columns[0]))
+    counts = D.numeric_counts(df, text, df.columns)
+    assert sorted((r.value, r.r, r.c) for r in counts.collect()) == [(1.0, 1, 1), (2.0, 1, 0)]
 
 
 def test_z_p_value_of_two_proportions(spark):
     reference = column(spark, ["a"] * 60 + ["b"] * 40, "s", "string")
     current = column(spark, ["a"] * 40 + ["b"] * 60, "s", "string")
     z = (0.6 - 0.4) / math.sqrt(0.5 * 0.5 * (1 / 100 + 1 / 100))
-    report = D.drift_report(reference, current).first()
+    report = D.drift_report(reference, current, settings=P_VALUES).first()
     assert report.statistic == pytest.approx(math.erfc(z / math.sqrt(2)), abs=1e-12)
     assert report.threshold == 0.05 and report.drifted
 
@@ -167,6 +179,12 @@ def test_chi2_tail(spark, x, dof, p, within):
     assert df.select(F.expr(chi2_p_value("x", "dof"))).first()[0] == pytest.approx(p, abs=within)
 
 
+def test_approximate_chi2_tail(spark):
+    df = spark.createDataFrame([(1074.679449, 1000), (124.342113404, 100)], "x double, dof long")
+    found = [r[0] for r in df.select(F.expr(chi2_p_value("x", "dof", approximate=True))).collect()]
+    assert found == pytest.approx([0.05, 0.05], abs=1e-3)
+
+
 def test_erfc_and_normal_tail(spark):
     df = spark.createDataFrame([(i / 8,) for i in range(60)], "y double")
     for r in df.select("y", F.expr(erfc("y")).alias("e"), F.expr(normal_tail("-y")).alias("n")).collect():

@@ -12,6 +12,7 @@ from tideline.operators.model import (
     FOREST_SPACE,
     Quantized,
     candidates,
+    check_categories,
     feature_importance,
     feature_stages,
     forest,
@@ -132,9 +133,35 @@ def test_unseen_rows_agree_with_the_label_filter(gold, model, rows):
 
 def test_long_label_lists_are_joined(gold, model, rows, monkeypatch):
     labels = model_labels(model)
-    short = rows(unscorable_rows(daily_rows(gold), labels))
-    monkeypatch.setattr(unseen, "LABELS_IN_PLAN", 1)
-    assert rows(unscorable_rows(daily_rows(gold), labels)) == short
+    short = [rows(f(daily_rows(gold), labels)) for f in (unscorable_rows, scorable_rows)]
+    monkeypatch.setattr(unseen, "BROADCAST_LABELS", 0)
+    assert [rows(f(daily_rows(gold), labels)) for f in (unscorable_rows, scorable_rows)] == short
+
+
+def test_labels_of_a_numeric_column(spark, rows):
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 1)], "p string, q int")
+    assert scorable_rows(df, {"q": ["1"]}).columns == ["p", "q"]
+    assert rows(scorable_rows(df, {"q": ["1"]})) == [("a", 1), (None, 1)]
+    assert rows(unscorable_rows(df, {"q": ["1"], "p": ["a"]})) == [("b", 2), (None, 1)]
+
+
+def test_a_missing_number_is_captured(spark, gold, model, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS broken LOCATION '{tmp_path}/broken'")
+    names = DailyTables(**{f: f"broken.{f}" for f in DailyTables.__dataclass_fields__})
+    beds = F.when(F.col("latitude") == gold.first()["latitude"], "n/a").otherwise(F.col("beds").cast("string"))
+    predictions = score_daily(gold.withColumn("beds", beds), model, names)
+    assert predictions.count() + spark.table(names.unseen).count() == gold.count()
+    assert spark.table(names.unseen).filter("beds IS NULL").count() >= 1
+
+
+def test_the_model_does_not_depend_on_the_partitioning(gold):
+    found = [train(gold.repartition(n), "price", numTrees=3, maxDepth=3) for n in (1, 7)]
+    assert found[0].stages[-1].featureImportances == found[1].stages[-1].featureImportances
+
+
+def test_too_many_categories_are_refused(gold):
+    with pytest.raises(ValueError, match="categories"):
+        check_categories(gold.withColumn("room_type", F.col("latitude").cast("string")), ["room_type"], most=3)
 
 
 def test_unseen_by_category_counts_rows(gold, rows):

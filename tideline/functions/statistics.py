@@ -5,9 +5,6 @@ Arguments are SQL expressions over the row; results are SQL expressions again, f
 
 import math
 
-# Above this many degrees of freedom the finite sum gives way to a normal approximation.
-MANY_DEGREES = 10_000
-
 
 def ks_p_value(distance: str, n: str, m: str) -> str:
     """Asymptotic two-sample Kolmogorov-Smirnov tail, as the alternating series."""
@@ -32,16 +29,17 @@ def normal_tail(z: str) -> str:
     return f"if({z} >= 0D, {upper}, 1D - {upper})"
 
 
-def chi2_p_value(x: str, dof: str) -> str:
+def chi2_p_value(x: str, dof: str, approximate: bool = False) -> str:
     """P(chi-square with dof degrees > x): finite sums over whole or half orders, logarithmic so none underflows.
 
-    For many degrees, the cube-root normal approximation (Wilson and Hilferty 1931).
+    The sum has a term for every two degrees. `approximate` asks for the cube-root normal approximation instead
+    (Wilson and Hilferty 1931), at every number of degrees.
     """
     odd = f"({dof} % 2 = 1)"
     half = f"({x} / 2D)"
     terms = f"cast({dof} div 2 AS int)"  # (dof - 1) / 2 for odd dof
     log_first = f"if({odd}, 0.5D * ln({half}) + {math.log(2 / math.sqrt(math.pi))}D, 0D) - {half}"
-    summed = f"""aggregate(sequence(0, least(greatest({terms}, 1), {MANY_DEGREES}) - 1),
+    summed = f"""aggregate(sequence(0, greatest({terms}, 1) - 1),
         struct({log_first} AS log_term, 0D AS total),
         (state, k) -> struct(
           state.log_term + ln({half}) - ln(if({odd}, 1.5D, 1D) + k) AS log_term,
@@ -49,8 +47,7 @@ def chi2_p_value(x: str, dof: str) -> str:
         state -> state.total)"""
     exact = f"if({odd}, {erfc(f'sqrt({half})')}, 0D) + if({terms} >= 1, {summed}, 0D)"
     spread = f"try_divide(2D, 9D * {dof})"
-    approximate = normal_tail(f"((cbrt(try_divide({x}, {dof})) - 1D + {spread}) / sqrt({spread}))")
+    normal = normal_tail(f"((cbrt(try_divide({x}, {dof})) - 1D + {spread}) / sqrt({spread}))")
     return f"""CASE WHEN {x} IS NULL OR {dof} IS NULL THEN cast(NULL AS double)
         WHEN {dof} < 1 OR {x} <= 0D THEN 1D
-        WHEN {dof} > {MANY_DEGREES} THEN {approximate}
-        ELSE least(1D, {exact}) END"""
+        ELSE {normal if approximate else f"least(1D, {exact})"} END"""

@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 from tideline.functions.statistics import chi2_p_value, ks_p_value
 
 # --- fixed values: choice of test and thresholds -----------------------------------------------------
-SMALL_REFERENCE = 1000  # up to this many reference rows, tests with p-values; above, distances
 FEW_VALUES = 5  # a numeric column with at most this many distinct reference values is categorical
 P_VALUE_THRESHOLD = 0.05
 DISTANCE_THRESHOLD = 0.1
@@ -30,7 +29,11 @@ SPREAD_FLOOR = 0.001  # least standard deviation the Wasserstein distance is div
 
 @dataclass(frozen=True)
 class DriftSettings:
-    small_reference: int = SMALL_REFERENCE
+    """How columns are compared. The method is the caller's choice and the same at every size: "distance" (normed
+    Wasserstein and Jensen-Shannon) or "p-value" (Kolmogorov-Smirnov, chi-square and z)."""
+
+    method: str = "distance"
+    approximate_tails: bool = False  # normal approximation in place of the exact chi-square sum over all degrees
     few_values: int = FEW_VALUES
     p_value_threshold: float = P_VALUE_THRESHOLD
     distance_threshold: float = DISTANCE_THRESHOLD
@@ -54,8 +57,10 @@ def _quoted(name: str) -> str:
 
 
 def _sides(reference: DataFrame, current: DataFrame, columns: Sequence[str], as_type: str) -> DataFrame:
-    """Both frames, their columns renamed to v0, v1, ..., marked (1, 0) for the reference and (0, 1) for the other."""
-    values = ", ".join(f"cast({_quoted(name)} AS {as_type}) AS v{i}" for i, name in enumerate(columns))
+    """Both frames, their columns renamed to v0, v1, ..., marked (1, 0) for the reference and (0, 1) for the other.
+
+    Text that is no number counts as missing, as null does."""
+    values = ", ".join(f"try_cast({_quoted(name)} AS {as_type}) AS v{i}" for i, name in enumerate(columns))
     return reference.sparkSession.sql(
         f"""SELECT 1L AS _r, 0L AS _c, {values} FROM {{reference}}
         UNION ALL SELECT 0L, 1L, {values} FROM {{current}}""",
@@ -240,7 +245,9 @@ def drift_report(
 ) -> DataFrame:
     """The verdict per column: (date, column, kind, method, statistic, threshold, drifted)."""
     found = drift_statistics(reference, current, columns, exclude, settings)
-    small = f"reference_rows <= {settings.small_reference}"
+    if settings.method not in ("distance", "p-value"):
+        raise ValueError(f"unknown method {settings.method!r}")
+    small = "true" if settings.method == "p-value" else "false"
     ordered = f"kind = 'numeric' AND reference_values > {settings.few_values}"
     # The squared z of two proportions is the chi-square of their table, with the same tail.
     # A column that is empty on one side has no distribution left to agree with.
@@ -255,7 +262,7 @@ def drift_report(
               ELSE 'jensen-shannon' END AS method,
             CASE WHEN reference_rows = 0 OR current_rows = 0 THEN NULL
               WHEN {small} AND {ordered} THEN {ks_p_value("ks", "reference_rows", "current_rows")}
-              WHEN {small} THEN {chi2_p_value("chi2", "(all_values - 1)")}
+              WHEN {small} THEN {chi2_p_value("chi2", "(all_values - 1)", settings.approximate_tails)}
               WHEN {ordered} THEN wasserstein_normed
               ELSE jensen_shannon END AS statistic,
             if({small}, {settings.p_value_threshold}D, {settings.distance_threshold}D) AS threshold

@@ -22,6 +22,8 @@ from tideline.operators.runs import run_rows
 # --- fixed values ------------------------------------------------------------------------------------
 LEAST_MAX_BINS = 40
 SEED = 42
+MOST_CATEGORIES = 10_000
+TRAINING_PARTITIONS = 32
 # -----------------------------------------------------------------------------------------------------
 
 
@@ -48,19 +50,39 @@ def forest(features: PipelineModel, label: str, **params) -> RandomForestRegress
     return RandomForestRegressor(labelCol=label, maxBins=max(LEAST_MAX_BINS, widest), seed=SEED, **params)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan over at least as many partitions as there are cores: fitting passes over its input many times, so
-    input that arrives in few large files is worth one shuffle. Input in many partitions is left alone.
-    For plain scans: asking a frame with shuffles for its partitions would run them."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def check_categories(df: DataFrame, columns: Sequence[str], most: int = MOST_CATEGORIES) -> None:
+    """Raises for a column with clearly more than `most` categories: its labels and bins would not stay small.
+
+    Counted by a sketch, so no label reaches the driver before the check.
+    """
+    if not columns:
+        return
+    counts = df.agg(*(F.approx_count_distinct(c).alias(c) for c in columns)).first().asDict()
+    wide = {c: n for c, n in counts.items() if n > 1.1 * most}
+    if wide:
+        raise ValueError(f"too many categories for a feature (limit {most}): {wide}")
+
+
+def dealt(df: DataFrame, partitions: int = TRAINING_PARTITIONS) -> DataFrame:
+    """Rows dealt by the hash of their columns and sorted: the forest bags by partition and place, so the same rows
+    and the same number of partitions give the same model on any cluster. Raise the number with the data."""
+    return df.repartition(partitions, *df.columns).sortWithinPartitions(*df.columns)
 
 
-def train(df: DataFrame, label: str, **params) -> PipelineModel:
-    """Fits indexer, assembler and forest as one model."""
-    features = feature_stages(df, label).fit(df)
-    prepared = features.transform(df).select("features", label)
-    fitted = forest(features, label, **params).fit(prepared)
+def fitted_features(df: DataFrame, label: str) -> PipelineModel:
+    check_categories(df, columns_of_type(df, T.StringType))
+    return feature_stages(df, label).fit(df)
+
+
+def train(df: DataFrame, label: str, partitions: int = TRAINING_PARTITIONS, **params) -> PipelineModel:
+    """Fits indexer, assembler and forest as one model. Features are prepared once for all passes of the fit."""
+    features = fitted_features(df, label)
+    prepared = features.transform(dealt(df, partitions)).select("features", label)
+    prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = forest(features, label, **params).fit(prepared)
+    finally:
+        prepared.unpersist()
     return PipelineModel(stages=[*features.stages, fitted])
 
 
@@ -131,14 +153,15 @@ def tune(
     model_folder: str | None = None,
     parallelism: int = 2,
     run_name: str = "forest",
+    partitions: int = TRAINING_PARTITIONS,
 ) -> Tuning:
     """Fits `evaluations` forests and keeps the one with the least validation RMSE.
 
     Features are prepared once and shared by all fits; fits overlap on the cluster. Each trial logs its
     parameters and its error on both parts, to show overfitting, and is saved when a folder is given.
     """
-    features = feature_stages(training, label).fit(training)
-    prepared = [features.transform(df).select("features", label) for df in (training, validation)]
+    features = fitted_features(training, label)
+    prepared = [features.transform(df).select("features", label) for df in (dealt(training, partitions), validation)]
     for df in prepared:
         df.persist(StorageLevel.MEMORY_AND_DISK)
     regressor = forest(features, label)

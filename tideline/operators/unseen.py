@@ -1,25 +1,21 @@
 """Rows a model cannot score: capture them and report why."""
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import StringIndexerModel
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A label list is the driver-held state of a fitted indexer, so it is small; above this many labels a set
-# lookup per row stops being cheap and the labels are joined instead.
-LABELS_IN_PLAN = 10_000
-
+#: Labels of a column up to which they are broadcast.
+BROADCAST_LABELS = 100_000
 
 def unseen_rows(incoming: DataFrame, scored: DataFrame) -> DataFrame:
-    """Distinct incoming rows without a counterpart in the scored output, nulls comparing equal."""
-    return incoming.subtract(scored.select(*incoming.columns))
-
+    """Distinct incoming rows without a counterpart in the scored output, nulls comparing equal.
 
-def _known(column: str, labels: Sequence[str]) -> Column:
-    return F.col(column).isNotNull() & F.coalesce(F.col(column).cast("string").isin(list(labels)), F.lit(False))
+    Both sides are made distinct on the map side first, so a row that repeats often loads no task.
+    """
+    return incoming.distinct().subtract(scored.select(*incoming.columns).distinct())
 
 
 def model_labels(model: PipelineModel) -> dict[str, list[str]]:
@@ -32,33 +28,41 @@ def model_labels(model: PipelineModel) -> dict[str, list[str]]:
     return found
 
 
-def scorable(labels: dict[str, list[str]]) -> Column:
-    """True where every categorical column holds a category seen in training."""
-    return reduce(lambda a, b: a & b, (_known(c, values) for c, values in labels.items()), F.lit(True))
+def model_numbers(model: PipelineModel) -> list[str]:
+    """The numeric columns that the model's assemblers read, less those its indexers make."""
+    indexed = {c for s in model.stages if isinstance(s, StringIndexerModel) for c in s.getOutputCols()}
+    return [c for s in model.stages if isinstance(s, VectorAssembler) for c in s.getInputCols() if c not in indexed]
 
 
-def unscorable_rows(incoming: DataFrame, labels: dict[str, list[str]]) -> DataFrame:
+def _marked(incoming: DataFrame, labels: Mapping[str, Sequence[str]]) -> DataFrame:
+    """`incoming` and `_scorable`: whether every categorical column holds a category seen in training.
+
+    Labels are distinct, so the joins add no row. They are what the driver already holds of the fitted model; lists of
+    up to BROADCAST_LABELS are sent to the tasks, longer ones are joined.
+    """
+    spark, columns = incoming.sparkSession, incoming.columns
+    marked = incoming.select("*", F.lit(True).alias("_scorable"))
+    for column, values in labels.items():
+        known = spark.createDataFrame([(v,) for v in dict.fromkeys(values)], "_label string")
+        known = F.broadcast(known) if len(values) <= BROADCAST_LABELS else known
+        found = F.col("_scorable") & F.col("_label").isNotNull()
+        marked = marked.join(known, F.col(column).cast("string") == F.col("_label"), "left").select(
+            *columns, found.alias("_scorable")
+        )
+    return marked
+
+
+def unscorable_rows(incoming: DataFrame, labels: Mapping[str, Sequence[str]]) -> DataFrame:
     """The same rows as `unseen_rows` on the model's output, without scoring or comparing whole rows.
 
-    Whether a row is skipped depends on its categories alone, so a filter finds them and only those few rows are
-    deduplicated.
+    Whether a row is skipped depends on its categories alone, so only those few rows are deduplicated.
     """
-    wide = {c for c, values in labels.items() if len(values) > LABELS_IN_PLAN}
-    if wide:
-        return unseen_rows(incoming, scorable_rows(incoming, labels))
-    return incoming.filter(~scorable(labels)).dropDuplicates()
+    return _marked(incoming, labels).filter(~F.col("_scorable")).drop("_scorable").dropDuplicates()
 
 
-def scorable_rows(incoming: DataFrame, labels: dict[str, list[str]]) -> DataFrame:
-    """Rows the model can score; long label lists are joined, short ones are looked up in place."""
-    spark = incoming.sparkSession
-    for column, values in labels.items():
-        if len(values) <= LABELS_IN_PLAN:
-            incoming = incoming.filter(_known(column, values))
-        else:
-            known = spark.createDataFrame([(v,) for v in values], f"`{column}` string")
-            incoming = incoming.join(F.broadcast(known), column, "left_semi")
-    return incoming
+def scorable_rows(incoming: DataFrame, labels: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Rows the model can score, in their columns."""
+    return _marked(incoming, labels).filter("_scorable").drop("_scorable")
 
 
 def known_categories(training: DataFrame, columns: Sequence[str]) -> DataFrame:

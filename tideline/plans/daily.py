@@ -5,6 +5,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline import schemas
@@ -12,8 +13,9 @@ from tideline.operators.columns import conform
 from tideline.operators.drift import DriftSettings, dataset_flag, drift_report, target_drift_report
 from tideline.operators.gold import correct_score
 from tideline.operators.model import score
-from tideline.operators.unseen import model_labels, unscorable_rows
+from tideline.operators.unseen import model_labels, model_numbers, unscorable_rows
 from tideline.sources.tables import create_or_upsert, overwrite_table
+from tideline.workspace import delete_folder, new_folder
 
 
 @dataclass(frozen=True)
@@ -36,18 +38,30 @@ def score_daily(
 ) -> DataFrame:
     """Writes the predictions and returns the written table; rows the model skips go to the unseen table.
 
+    The prepared rows are written once and read by both. A row without a number that the model needs, as one that was
+    no number in the delivery, can't be scored: it is captured too, and the others go on.
+
     correction = (composite, part) takes a part back out of the composite, for a model trained without it.
     """
     spark = daily.sparkSession
     model = PipelineModel.load(model) if isinstance(model, str) else model
     if correction:
         daily = correct_score(daily, *correction)
-    ready = conform(daily, schema)
-    # Vectors stay in memory; the table keeps what is read later.
-    overwrite_table(score(model, ready).drop("features"), tables.predictions)
-    unseen = unscorable_rows(ready, model_labels(model))
-    if not unseen.isEmpty():
-        create_or_upsert(unseen, tables.unseen, keys)
+    folder = new_folder(spark, "daily")
+    try:
+        conform(daily, schema).write.parquet(folder)
+        ready = spark.read.schema(schema).parquet(folder)
+        complete = F.lit(True)
+        for column in model_numbers(model):
+            complete &= F.col(column).isNotNull() & ~F.isnan(column)
+        # Vectors stay in memory; the table keeps what is read later.
+        overwrite_table(score(model, ready.filter(complete)).drop("features"), tables.predictions)
+        labels = model_labels(model)
+        unseen = unscorable_rows(ready, labels).unionByName(ready.filter(~complete)).distinct()
+        if not unseen.isEmpty():
+            create_or_upsert(unseen, tables.unseen, keys)
+    finally:
+        delete_folder(spark, folder)
     return spark.table(tables.predictions)
 
 
@@ -60,9 +74,16 @@ def monitor(
     tables: DailyTables = DailyTables(),
     run_date: str | None = None,
     settings: DriftSettings = DriftSettings(),
+    correction: tuple[str, str] | None = None,
 ) -> Mapping[str, str]:
-    """Writes the reports per column and the two one-row flag tables, reading each report back for its flag."""
+    """Writes the reports per column and the two one-row flag tables, reading each report back for its flag.
+
+    `correction` is the one given to `score_daily`: a score the model was trained on without a part is compared
+    without it.
+    """
     spark = daily.sparkSession
+    if correction:
+        daily = correct_score(daily, *correction)
     overwrite_table(
         drift_report(reference, daily, run_date, exclude=[target], settings=settings), tables.data_drift_report
     )

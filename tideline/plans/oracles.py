@@ -63,10 +63,10 @@ WHERE place = 1"""
 
 _LANDED = """
 landed AS (
-  SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, (year(o_orderdate) - 1994)::INT AS ingest_version
+  SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, (year(o_orderdate) - 1994)::BIGINT AS ingest_version
   FROM orders
   UNION ALL
-  SELECT o_orderkey, o_custkey, o_totalprice + 100, o_orderpriority, (year(o_orderdate) - 1987)::INT
+  SELECT o_orderkey, o_custkey, o_totalprice + 100, o_orderpriority, (year(o_orderdate) - 1987)::BIGINT
   FROM orders WHERE o_orderpriority = '1-URGENT')"""
 _INGESTED = f"""WITH {_LANDED}
 SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, ingest_version FROM (
@@ -211,6 +211,9 @@ verdicts AS (
 SELECT '2024-01-31' AS "date", col AS "column", 'numeric' AS kind, method, round(p, 6) AS statistic,
   CAST(0.05 AS DOUBLE) AS threshold, p < 0.05 AS drifted FROM verdicts"""
 
+_GOLD_BRONZE = f"WITH {_DIRTY_ORDERS} SELECT * FROM dirty"
+_SILVER_ROWS = "SELECT DISTINCT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM merged"
+
 ORACLES: dict[str, str] = {
     "medallion_flagship": f"WITH {_GOLD} SELECT * FROM gold",
     "medallion_tables": _LAYER_COUNTS,
@@ -277,6 +280,57 @@ WHERE l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY l_orderkey HAVING c
     "create_or_upsert": _LATEST_EVENTS,
     "incremental_ingest": _INGESTED,
     "stream_upsert": _INGESTED,
+    "ingest_late_delivery": _INGESTED,
+    "ingest_long_versions": f"""SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority,
+        ingest_version + 20240000000000 AS ingest_version FROM ({_INGESTED})""",
+    "stream_after_snapshot": _INGESTED,
+    "stream_new_checkpoint": _INGESTED,
+    "malformed_update_keeps_row": """
+        SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, FALSE AS malformed FROM orders
+        UNION ALL
+        SELECT o_orderkey, o_custkey, NULL, o_orderpriority, TRUE FROM orders WHERE o_orderpriority = '2-HIGH'""",
+    "distinct_latest_lineage": f"""
+        SELECT *, CASE WHEN o_orderpriority = '1-URGENT' THEN 'orders_10.csv' ELSE 'orders_9.csv' END AS file,
+          CASE WHEN o_orderpriority = '1-URGENT' THEN 10 ELSE 9 END::BIGINT AS ingest_version
+        FROM ({_ORDER_ROWS})""",
+    "layer_row_verdicts": f"""SELECT layer, row_count, row_count = (SELECT count(*) FROM ({_GOLD_BRONZE})) AS as_expected
+        FROM ({_LAYER_COUNTS})""",
+    "rejected_publish": f"""WITH {_SILVER}, violations AS ({_violations('dirty', 'fail')})
+        SELECT rule, violations, (SELECT count(*) FROM silver) AS rows_kept FROM violations WHERE violations > 0""",
+    "internal_run": _LAYER_COUNTS,
+    "external_run": f"""WITH merged AS ({_INGESTED}), clean AS ({_SILVER_ROWS})
+        SELECT 'bronze' AS layer, count(*) AS row_count FROM merged
+        UNION ALL SELECT 'silver', count(*) FROM clean UNION ALL SELECT 'gold', count(*) FROM clean""",
+    "latest_model_run": """
+        SELECT 'models/' || event_id AS model_path FROM events WHERE event_type = 'click' AND value > 1
+        ORDER BY ts DESC, event_id::VARCHAR DESC LIMIT 1""",
+    "random_split": """
+        SELECT part, TRUE AS near_its_share, (SELECT count(*) FROM events) AS all_rows,
+          (SELECT count(DISTINCT event_id) FROM events) AS distinct_rows
+        FROM (VALUES ('train'), ('validation'), ('test')) AS parts(part)""",
+    "bernoulli_sample": """
+        SELECT count(*) AS all_rows, 0::BIGINT AS strange_rows, 0::BIGINT AS repeated_rows, TRUE AS near_its_share
+        FROM events""",
+    "skew_numeric": """
+        SELECT count(*) AS all_rows, 0::BIGINT AS unfinished_rows, 0::BIGINT AS lost_keys, TRUE AS close_to_the_columns
+        FROM lineitem""",
+    "train_and_score": f"""
+        SELECT {_split(*_LINE_KEYS.split(', '))} AS split, count(*) AS rows_scored, TRUE AS error_in_bounds
+        FROM lineitem GROUP BY 1""",
+    "feature_importance": """
+        SELECT name, TRUE AS in_range, TRUE AS whole, name = 'l_quantity' AS foremost
+        FROM (VALUES ('l_returnflag_Index'), ('l_linestatus_Index'), ('l_quantity'), ('l_discount'), ('l_tax')) AS f(name)""",
+    "tune_forest": """
+        SELECT 'forest' AS run_name, kind, key, entries::BIGINT AS entries, TRUE AS as_declared
+        FROM (VALUES ('param', 'numTrees', 3), ('param', 'maxDepth', 3), ('metric', 'rmse_train', 3),
+          ('metric', 'rmse_validation', 3), ('test', 'rmse_test', 1)) AS log(kind, key, entries)""",
+    "daily_scoring": f"""
+        WITH daily AS (SELECT * FROM lineitem WHERE {_split(*_LINE_KEYS.split(', '))} = 'test')
+        SELECT 'daily' AS item, count(*) AS value FROM daily
+        UNION ALL SELECT 'predicted', count(*) FROM daily WHERE l_returnflag = 'R'
+        UNION ALL SELECT 'unseen', count(*) FROM daily WHERE l_returnflag <> 'R'
+        UNION ALL SELECT 'drift_detected', 1
+        UNION ALL SELECT 'model_drift_detected', 1""",
     "stream_to_parquet": f"WITH {_LANDED} SELECT * FROM landed",
     "csv_scan_malformed": """
 SELECT o_orderkey, o_custkey,
@@ -285,7 +339,7 @@ SELECT o_orderkey, o_custkey,
 FROM orders""",
     "csv_scan_strings": f"""WITH {_LANDED}
 SELECT o_orderpriority, ingest_version, count(*) AS row_count FROM landed GROUP BY ALL""",
-    "ingest_high_water_mark": "SELECT max(day(ts))::INT AS last_version FROM events",
+    "ingest_high_water_mark": "SELECT max(day(ts))::BIGINT AS last_version FROM events",
     "hash_split": f"SELECT event_id, {_split('event_id')} AS split FROM events",
     "hash_sample": f"SELECT event_id, event_type, value FROM events WHERE {_uniform('event_id')} < 0.1",
     "unseen_rows": _UNSEEN,
@@ -319,7 +373,7 @@ UNION ALL SELECT "date", 'model_drift_detected' FROM target_flag WHERE model_dri
     "defect_injection": f"""
 SELECT * FROM ({_ORDER_ROWS})
 UNION ALL
-SELECT o_orderkey, o_custkey, 'Random Status', o_totalprice, 'Random Policy' FROM orders
+SELECT o_orderkey, o_custkey, 'No Such Status', o_totalprice, 'No Such Policy' FROM orders
 WHERE o_orderpriority = '1-URGENT'
 UNION ALL
 SELECT o_orderkey, o_custkey, NULL, o_totalprice, ' ' FROM orders WHERE o_orderpriority = '5-LOW'""",

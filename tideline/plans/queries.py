@@ -2,31 +2,35 @@
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tideline.functions.scoring import register_composite_function
+from tideline.functions.versions import file_version
 from tideline.operators import drift as D
 from tideline.operators.clean import distinct_rows, drop_blank, drop_incomplete, to_silver
 from tideline.operators.columns import conform, predictions_as
-from tideline.operators.expectations import row_count_verdicts, rules, violation_counts
+from tideline.operators.expectations import ExpectationFailed, row_count_verdicts, rules, violation_counts
 from tideline.operators.gold import correct_score, to_gold
 from tideline.operators.metrics import rmse, target_profile
-from tideline.operators.model import feature_importance, indexer, score, spread, train, tune
+from tideline.operators.model import FOREST_SPACE, feature_importance, indexer, score, train, tune
 from tideline.operators.runs import latest_model, newest_per_group
 from tideline.operators.sampling import bernoulli_sample, hash_sample, hash_split, random_split, with_split
 from tideline.operators.skew import append_variants, blank_to_null, skew_numeric
-from tideline.operators.unseen import unscorable_rows, unseen_by_category, unseen_rows
+from tideline.operators.unseen import scorable_rows, unscorable_rows, unseen_by_category, unseen_rows
 from tideline.operators.upsert import ambiguous_matches, is_small, latest_per_key, upsert
 from tideline.plans.daily import DailyTables, monitor, score_daily
-from tideline.plans.medallion import Layers, layers, publish_layers
+from tideline.plans.medallion import Layers, layers, publish_layers, run_external, run_internal
+from tideline.schemas import LINEAGE
 from tideline.sources.files import CORRUPT, VERSION, high_water_mark, scan_csv, with_lineage
-from tideline.sources.ingest import Feed, bronze, compact, land
-from tideline.sources.tables import create_or_upsert
+from tideline.sources.ingest import Feed, bronze, compact, expire, land
+from tideline.sources.tables import create_or_upsert, publish
 from tideline.streaming.files import file_stream, stream_deliveries, stream_to_table
 from tideline.workspace import new_folder
 
@@ -195,6 +199,54 @@ def medallion_tables(spark, sf_dir):
     return done.row_counts(spark).drop("as_expected")
 
 
+def layer_row_verdicts(spark, sf_dir):
+    """Every layer is expected to hold as many rows as bronze: only bronze does."""
+    made = _order_layers(spark, sf_dir)
+    return row_count_verdicts(made, dict.fromkeys(made, made["bronze"].count()))
+
+
+def _namespace(spark) -> str:
+    namespace = f"run_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {namespace} LOCATION '{new_folder(spark, namespace)}'")
+    return namespace
+
+
+def rejected_publish(spark, sf_dir):
+    """A good table is published, then a dirty one that its gate refuses: the violations, and the rows still there."""
+    name = f"{_namespace(spark)}.gold"
+    gate = rules(_ORDER_PREDICATES, action="fail")
+    dirty = dirty_orders(spark, sf_dir)
+    publish(to_silver(dirty), name, gate)
+    try:
+        publish(dirty, name, gate)
+        violations = {}
+    except ExpectationFailed as refused:
+        violations = refused.violations
+    found = spark.createDataFrame(list(violations.items()), "rule string, violations long")
+    return found.crossJoin(spark.table(name).agg(F.count(F.lit(1)).alias("rows_kept")))
+
+
+_ORDER_SETTINGS = Layers(["o_totalprice", "o_custkey"], "composite", "o_totalprice", bronze_rules=[], gold_rules=[])
+
+
+def internal_run(spark, sf_dir):
+    """The whole flow over a catalog table, in test mode."""
+    namespace = _namespace(spark)
+    publish(dirty_orders(spark, sf_dir), f"{namespace}.source")
+    done = run_internal(spark, f"{namespace}.source", settings=_ORDER_SETTINGS, namespace=namespace, test_mode=True)
+    return done.row_counts(spark).drop("as_expected")
+
+
+def external_run(spark, sf_dir):
+    """The whole flow over versioned files: two runs, the second with nothing but new files, then one with none."""
+    feed, namespace = _order_feed(_landed_orders(spark, sf_dir)), _namespace(spark)
+    settings = replace(_ORDER_SETTINGS, lineage=(VERSION, LINEAGE))
+    root = new_folder(spark, "external")
+    for limit in (8, None, None):
+        done = run_external(spark, feed, root, settings=settings, namespace=namespace, max_files=limit)
+    return done.row_counts(spark).drop("as_expected")
+
+
 # --- upsert ----------------------------------------------------------------------------------------
 
 
@@ -304,6 +356,108 @@ def incremental_ingest(spark, sf_dir):
     return bronze(spark, feed, table).select(*_ORDER_FILE.names, VERSION)
 
 
+def _deliver(landed: str, landing: str, spark: SparkSession, where: str) -> None:
+    """Lands the chosen deliveries of another folder, which then are all there is of them."""
+    lines = spark.read.option("basePath", landed).option("header", True).schema(_ORDER_FILE).csv(landed)
+    lines.filter(where).write.mode("append").partitionBy("delivery").option("header", True).csv(landing)
+
+
+def _in_turns(spark, sf_dir, turns) -> DataFrame:
+    """Bronze after the given turns: (condition on the deliveries that arrive, what is run then)."""
+    landed, landing = _landed_orders(spark, sf_dir), new_folder(spark, "landing")
+    feed, table = _order_feed(landing), new_folder(spark, "bronze")
+    for where, run in turns:
+        _deliver(landed, landing, spark, where)
+        run(feed, table)
+    return bronze(spark, feed, table).select(*_ORDER_FILE.names, VERSION)
+
+
+def ingest_late_delivery(spark, sf_dir):
+    """Deliveries 3 and 9 arrive after later ones, the second after a snapshot; nothing is lost, nothing old wins."""
+
+    def lands(feed, table):
+        land(spark, feed, table)
+
+    def lands_and_compacts(feed, table):
+        land(spark, feed, table)
+        compact(spark, feed, table)
+
+    return _in_turns(
+        spark,
+        sf_dir,
+        [
+            ("delivery IN (1, 2, 4)", lands),
+            ("delivery IN (3, 5, 6, 7, 8, 10)", lands_and_compacts),
+            ("delivery IN (9, 11, 12, 13, 14)", lands),
+        ],
+    )
+
+
+def ingest_long_versions(spark, sf_dir):
+    """Versions as timestamps, beyond 32 bits."""
+    landed, landing = _landed_orders(spark, sf_dir), new_folder(spark, "landing")
+    lines = spark.read.option("basePath", landed).option("header", True).schema(_ORDER_FILE).csv(landed)
+    stamped = lines.withColumn("delivery", F.col("delivery").cast("long") + 20_240_000_000_000)
+    stamped.write.partitionBy("delivery").option("header", True).csv(landing)
+    feed, table = _order_feed(landing), new_folder(spark, "bronze")
+    land(spark, feed, table)
+    return bronze(spark, feed, table).select(*_ORDER_FILE.names, VERSION)
+
+
+def _streams(spark, checkpoint: str):
+    return lambda feed, table: stream_deliveries(spark, feed, table, checkpoint).awaitTermination()
+
+
+def stream_after_snapshot(spark, sf_dir):
+    """Batch runs and a snapshot first, the rest as a stream into the same table."""
+
+    def lands_and_compacts(feed, table):
+        land(spark, feed, table, max_files=3)
+        land(spark, feed, table)
+        compact(spark, feed, table)
+
+    stream = _streams(spark, new_folder(spark, "checkpoint"))
+    turns = [("delivery <= 6", lands_and_compacts), ("delivery BETWEEN 7 AND 9", stream), ("delivery > 9", stream)]
+    return _in_turns(spark, sf_dir, turns)
+
+
+def stream_new_checkpoint(spark, sf_dir):
+    """A stream that starts over under a new checkpoint after a snapshot and an expiry: files it knows are passed over."""
+
+    def starts_over(feed, table):
+        compact(spark, feed, table)
+        expire(spark, table, keep=1)
+        _streams(spark, new_folder(spark, "checkpoint"))(feed, table)
+
+    first = _streams(spark, new_folder(spark, "checkpoint"))
+    return _in_turns(spark, sf_dir, [("delivery <= 7", first), ("delivery > 7", starts_over)])
+
+
+def malformed_update_keeps_row(spark, sf_dir):
+    """High-priority orders are delivered again with a price that is no number: the good rows stay."""
+    folder = new_folder(spark, "landing")
+    orders = _table(spark, sf_dir, "orders").select(*_ORDER_FILE.names)
+    broken = orders.filter("o_orderpriority = '2-HIGH'").withColumn("o_totalprice", F.lit("n/a"))
+    text = orders.withColumn("o_totalprice", F.col("o_totalprice").cast("string")).withColumn("delivery", F.lit(1))
+    both = text.unionByName(broken.withColumn("delivery", F.lit(2)))
+    both.write.partitionBy("delivery").option("header", True).csv(folder)
+    feed, table = _order_feed(folder), new_folder(spark, "bronze")
+    land(spark, feed, table, max_files=1)
+    land(spark, feed, table)
+    return bronze(spark, feed, table).select(*_ORDER_FILE.names, F.col(CORRUPT).isNotNull().alias("malformed"))
+
+
+def distinct_latest_lineage(spark, sf_dir):
+    """Copies from files 9 and 10: the tenth is the later one, though not as text."""
+    rows = _order_rows(spark, sf_dir)
+    again = rows.filter("o_orderpriority = '1-URGENT'")
+
+    def from_file(df: DataFrame, n: int) -> DataFrame:
+        return df.withColumns({"file": F.lit(f"orders_{n}.csv"), VERSION: file_version(F.lit(f"orders_{n}.csv"))})
+
+    return distinct_rows(from_file(rows, 9).unionByName(from_file(again, 10)), [VERSION, "file"])
+
+
 def stream_upsert(spark, sf_dir):
     feed = _order_feed(_landed_orders(spark, sf_dir))
     table = new_folder(spark, "bronze")
@@ -356,12 +510,35 @@ def hash_sample_rows(spark, sf_dir):
 
 
 def random_split_counts(spark, sf_dir):
-    parts = random_split(_events(spark, sf_dir).select("event_id"), list(SPLIT.values()), seed=42)
-    return row_count_verdicts(dict(zip(SPLIT, parts))).drop("as_expected")
+    """The parts hold every row once, and each about its share."""
+    events = _events(spark, sf_dir).select("event_id")
+    parts = random_split(events, list(SPLIT.values()), seed=42)
+    named = reduce(
+        DataFrame.unionByName, [df.withColumn("part", F.lit(name)) for name, df in zip(SPLIT, parts, strict=True)]
+    )
+    counted = named.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    wanted = F.create_map(*(F.lit(x) for pair in SPLIT.items() for x in pair))[F.col("part")]
+    total = F.sum("n").over(Window.partitionBy())
+    shares = counted.select("part", (F.abs(F.col("n") / total - wanted) < 0.03).alias("near_its_share"))
+    return shares.crossJoin(named.agg(F.count(F.lit(1)).alias("all_rows"), F.countDistinct("event_id").alias("distinct_rows")))
 
 
 def bernoulli_sample_rows(spark, sf_dir):
-    return bernoulli_sample(_events(spark, sf_dir).select("event_id", "value"), 0.1, seed=3)
+    """A tenth, give or take, of the rows, each at most once and none from elsewhere."""
+    events = _events(spark, sf_dir).select("event_id", "value")
+    sample = bernoulli_sample(events, 0.1, seed=3)
+    strange = sample.join(events, ["event_id", "value"], "left_anti")
+    counted = sample.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("d"))
+    return (
+        counted.crossJoin(strange.agg(F.count(F.lit(1)).alias("strange_rows")))
+        .crossJoin(events.agg(F.count(F.lit(1)).alias("all_rows")))
+        .select(
+            "all_rows",
+            "strange_rows",
+            (F.col("n") - F.col("d")).alias("repeated_rows"),
+            (F.abs(F.col("n") / F.col("all_rows") - 0.1) < 0.03).alias("near_its_share"),
+        )
+    )
 
 
 # --- unseen rows -----------------------------------------------------------------------------------
@@ -392,7 +569,7 @@ def unscorable_row_capture(spark, sf_dir):
 def scorable_row_filter(spark, sf_dir):
     daily = _daily_orders(spark, sf_dir)
     fitted = indexer(daily, _CATEGORIES).fit(_training_orders(spark, sf_dir))
-    return fitted.transform(daily).select(*daily.columns)
+    return scorable_rows(daily, dict(zip(_CATEGORIES, fitted.labelsArray)))
 
 
 def unseen_by_category_report(spark, sf_dir):
@@ -448,7 +625,7 @@ def drift_column_report(spark, sf_dir):
 
 
 def drift_small_reference(spark, sf_dir):
-    """Suppliers against customers: a reference small enough for p-values."""
+    """Suppliers against customers by p-values, as suits a small reference."""
     nations = _table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
 
     def accounts(table: str, prefix: str) -> DataFrame:
@@ -456,7 +633,8 @@ def drift_small_reference(spark, sf_dir):
         placed = rows.join(nations, rows[f"{prefix}_nationkey"] == nations["n_nationkey"])
         return placed.select(F.col(f"{prefix}_acctbal").alias("acctbal"), F.col("n_regionkey").alias("regionkey"))
 
-    report = D.drift_report(accounts("supplier", "s"), accounts("customer", "c"), RUN_DATE)
+    settings = D.DriftSettings(method="p-value")
+    report = D.drift_report(accounts("supplier", "s"), accounts("customer", "c"), RUN_DATE, settings=settings)
     return report.withColumn("statistic", F.round("statistic", 6))
 
 
@@ -485,7 +663,17 @@ def drift_alerts(spark, sf_dir):
 
 
 def skewed_columns(spark, sf_dir):
-    return skew_numeric(_lines(spark, sf_dir).select(*LINE_KEYS, *MEASURES), LINE_KEYS, MEASURES)
+    """Keys stay, every value is replaced by a finite one, and the draws follow the columns they were fitted to."""
+    lines = _lines(spark, sf_dir).select(*LINE_KEYS, *MEASURES)
+    skewed = skew_numeric(lines, LINE_KEYS, MEASURES)
+    keys = lines.select(*LINE_KEYS).exceptAll(skewed.select(*LINE_KEYS))
+    finite = reduce(lambda a, b: a & b, (F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")) for c in MEASURES))
+    close = D.drift_statistics(lines, skewed, columns=MEASURES).agg(F.bool_and(F.col("ks") < 0.3).alias("close_to_the_columns"))
+    return (
+        skewed.agg(F.count(F.lit(1)).alias("all_rows"), F.count_if(~finite).alias("unfinished_rows"))
+        .crossJoin(keys.agg(F.count(F.lit(1)).alias("lost_keys")))
+        .crossJoin(close)
+    )
 
 
 def defect_injection(spark, sf_dir):
@@ -495,7 +683,7 @@ def defect_injection(spark, sf_dir):
     mixed = append_variants(
         orders,
         [
-            (unknown, {"o_orderpriority": F.lit("Random Policy"), "o_orderstatus": F.lit("Random Status")}),
+            (unknown, {"o_orderpriority": F.lit("No Such Policy"), "o_orderstatus": F.lit("No Such Status")}),
             (blank, {"o_orderpriority": F.lit(" "), "o_orderstatus": F.lit(" ")}),
         ],
     )
@@ -537,8 +725,7 @@ _FEATURES = ["l_returnflag", "l_linestatus", *MEASURES]
 
 
 def _feature_lines(spark, sf_dir):
-    """Keys and features over all cores, for the file comes as one row group."""
-    return spread(_lines(spark, sf_dir).select(*LINE_KEYS, *_FEATURES))
+    return _lines(spark, sf_dir).select(*LINE_KEYS, *_FEATURES)
 
 
 def _line_parts(spark, sf_dir):
@@ -549,13 +736,25 @@ def train_and_score(spark, sf_dir):
     lines = with_split(_feature_lines(spark, sf_dir), LINE_KEYS, SPLIT)
     training = lines.filter("split = 'train'").select(*_FEATURES)
     model = train(training, "l_extendedprice", numTrees=5, maxDepth=8)
-    return rmse(score(model, lines.select("split", *_FEATURES)), "l_extendedprice", by=["split"])
+    scored = score(model, lines.select("split", *_FEATURES))
+    spread = F.stddev_pop("l_extendedprice").alias("spread")
+    parts = scored.groupBy("split").agg(F.count(F.lit(1)).alias("rows_scored"), spread)
+    errors = rmse(scored, "l_extendedprice", by=["split"])
+    return parts.join(errors, "split").select("split", "rows_scored", F.col("rmse").between(0, 1.25 * F.col("spread")).alias("error_in_bounds"))
 
 
 def forest_feature_importance(spark, sf_dir):
-    training = _line_parts(spark, sf_dir)["train"].select(*_FEATURES)
-    model = train(training, "l_extendedprice", numTrees=5, maxDepth=8)
-    return feature_importance(model, score(model, training))
+    """Every feature has a score from 0 to 1, they sum to 1, and quantity tells most about the price."""
+    lines = _feature_lines(spark, sf_dir).select(*_FEATURES)
+    model = train(lines, "l_extendedprice", numTrees=10, maxDepth=10)
+    found = feature_importance(model, score(model, lines))
+    everything = Window.partitionBy()
+    return found.select(
+        "name",
+        F.col("score").between(0, 1).alias("in_range"),
+        (F.abs(F.sum("score").over(everything) - 1) < 1e-6).alias("whole"),
+        (F.col("score") == F.max("score").over(everything)).alias("foremost"),
+    )
 
 
 def tune_forest(spark, sf_dir):
@@ -565,10 +764,35 @@ def tune_forest(spark, sf_dir):
         parts["train"], parts["validation"], "l_extendedprice", evaluations=2, model_folder=new_folder(spark, "models")
     )
     newest = PipelineModel.load(latest_model(done.runs, "forest").first().model_path)
-    tested = rmse(score(newest, parts["test"]), "l_extendedprice").select(
-        F.lit("forest").alias("run_name"), F.lit("rmse_test").alias("key"), F.col("rmse").alias("value")
+    scored = score(newest, parts["test"])
+    tested = rmse(scored, "l_extendedprice").crossJoin(scored.agg(F.stddev_pop("l_extendedprice").alias("spread")))
+    bounds = {name: (axis.start, axis.end) for name, axis in FOREST_SPACE.items()}
+    in_space = reduce(
+        lambda a, b: a & b, (F.when(F.col("key") == k, F.col("value").between(*v)).otherwise(True) for k, v in bounds.items())
+    )
+    logged = done.runs.groupBy("run_name", "kind", "key").agg(
+        F.count(F.lit(1)).alias("entries"), F.bool_and(in_space & (F.col("value") > 0)).alias("as_declared")
+    )
+    return logged.unionByName(
+        tested.select(
+            F.lit("forest").alias("run_name"),
+            F.lit("test").alias("kind"),
+            F.lit("rmse_test").alias("key"),
+            F.lit(1).cast("long").alias("entries"),
+            F.col("rmse").between(0, 1.25 * F.col("spread")).alias("as_declared"),
+        )
+    )
+
+
+def latest_model_run(spark, sf_dir):
+    """Every event as a run of its type; clicks above a value saved their model."""
+    runs = _events(spark, sf_dir).select(
+        F.col("event_type").alias("run_name"),
+        F.col("event_id").cast("string").alias("run_id"),
+        F.col("ts").alias("started_at"),
+        F.when(F.col("value") > 1, F.concat(F.lit("models/"), "event_id")).alias("model_path"),
     )
-    return done.runs.select("run_name", "key", "value").unionByName(tested)
+    return latest_model(runs, "click")
 
 
 def newest_run_per_group(spark, sf_dir):
@@ -589,12 +813,13 @@ def daily_scoring(spark, sf_dir):
         **{f: f"{namespace}.{f}" for f in DailyTables.__dataclass_fields__}
     )
     predictions = score_daily(daily, model, names, daily.schema, LINE_KEYS)
-    monitor(training, daily, predictions, "l_extendedprice", tables=names, run_date=RUN_DATE)
+    reference = _feature_lines(spark, sf_dir).select(*_FEATURES)
+    monitor(reference, daily, predictions, "l_extendedprice", tables=names, run_date=RUN_DATE)
     counts = row_count_verdicts({"daily": daily, "predicted": predictions, "unseen": spark.table(names.unseen)})
     report = counts.select(F.col("layer").alias("item"), F.col("row_count").alias("value"))
     for table, flag in ((names.data_drift_flag, "drift_detected"), (names.target_drift_flag, "model_drift_detected")):
-        flags = spark.table(table).select(F.lit(flag).alias("item"), F.col(flag).cast("long").alias("value"))
-        report = report.unionByName(flags)
+        flags = spark.table(table).filter(F.col("date") == RUN_DATE)
+        report = report.unionByName(flags.select(F.lit(flag).alias("item"), F.count(F.lit(1)).over(Window.partitionBy()).alias("value")))
     return report
 
 
@@ -622,6 +847,17 @@ QUERIES: dict[str, Query] = {
     "upsert_latest_wins": upsert_latest_wins,
     "create_or_upsert": create_or_upsert_table,
     "incremental_ingest": incremental_ingest,
+    "ingest_late_delivery": ingest_late_delivery,
+    "ingest_long_versions": ingest_long_versions,
+    "malformed_update_keeps_row": malformed_update_keeps_row,
+    "distinct_latest_lineage": distinct_latest_lineage,
+    "stream_after_snapshot": stream_after_snapshot,
+    "stream_new_checkpoint": stream_new_checkpoint,
+    "layer_row_verdicts": layer_row_verdicts,
+    "rejected_publish": rejected_publish,
+    "internal_run": internal_run,
+    "external_run": external_run,
+    "latest_model_run": latest_model_run,
     "stream_upsert": stream_upsert,
     "stream_to_parquet": stream_to_parquet,
     "csv_scan_malformed": csv_scan_malformed,

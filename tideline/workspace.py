@@ -13,7 +13,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
-        return folder
+        return _reachable(spark, folder)
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="run-")
@@ -21,6 +21,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _reachable(spark: SparkSession, folder: str) -> str:
+    """`folder`, unless it is on this machine's disk while the executors are on others."""
+    local = spark.sparkContext.master.startswith("local")
+    if not local and (folder.startswith("file:") or (folder.startswith("/") and _default_scheme(spark) == "file")):
+        raise ValueError(f"{folder} is a folder of one machine; name one that all executors share")
+    return folder
+
+
+def _default_scheme(spark: SparkSession) -> str:
+    return spark._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(spark._jsc.hadoopConfiguration()).getScheme()
+
+
+def new_table_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path for a table's files, below the location of its database."""
+    *database, table = name.split(".")
+    home = spark.catalog.getDatabase(database[-1] if database else spark.catalog.currentDatabase()).locationUri
+    return f"{_reachable(spark, home).rstrip('/')}/{table}-{uuid.uuid4().hex}"
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
