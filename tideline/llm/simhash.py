@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tideline.llm.common import written
+from tideline.llm.common import if_small, written
 from tideline.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -111,7 +111,7 @@ def fingerprint_links(fingerprints: DataFrame) -> DataFrame:
     links = buckets.filter("n = 2").select("a", "b").filter(_near("a", "b"))
     crowded = buckets.filter("n > 2").select("key", "n")
     if not crowded.isEmpty():
-        members = written(variants.join(crowded, "key"), "simhash-members")
+        members = written(variants.join(if_small(crowded), "key"), "simhash-members")
         few = members.filter(F.col("n") <= PAIR_BUCKET)
         pairs = few.select("key", F.col("fp").alias("a")).join(few.select("key", F.col("fp").alias("b")), "key")
         links = links.unionByName(pairs.filter("a < b").filter(_near("a", "b")).select("a", "b"))
