@@ -33,7 +33,7 @@ def column(spark, values, name="x", kind="double"):
 
 @pytest.mark.parametrize("buckets", [1, 2, 7, 64])
 def test_numeric_statistics_do_not_depend_on_the_buckets(spark, buckets, monkeypatch):
-    monkeypatch.setattr(D, "LAYOUT_SAMPLE", 1.0)
+    monkeypatch.setattr(D, "LAYOUT_ROWS", 10**9)
     rng = random.Random(buckets)
     # A third of the reference is one value; the rest is spread, with values on one side only.
     reference = [5.0] * 300 + [round(rng.gauss(4, 3), 2) for _ in range(600)]
@@ -51,7 +51,7 @@ def test_numeric_statistics_do_not_depend_on_the_buckets(spark, buckets, monkeyp
 
 
 def test_values_are_laid_out_in_several_buckets(spark, monkeypatch):
-    monkeypatch.setattr(D, "LAYOUT_SAMPLE", 1.0)
+    monkeypatch.setattr(D, "LAYOUT_ROWS", 10**9)
     df = spark.range(1000).selectExpr("cast(id AS double) AS x")
     sizes = D.numeric_counts(df, df, ["x"], D.DriftSettings(buckets=10)).groupBy("bucket").count().collect()
     assert len(sizes) == 10 and max(r["count"] for r in sizes) < 150
@@ -225,3 +225,16 @@ def test_defects_are_appended_and_nulled(spark, rows):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, s string")
     out = append_variants(df, [(df, {"s": F.lit("unknown")}), (df.limit(1), {"s": F.lit(" ")})])
     assert rows(blank_to_null(out, ["s"])) == [(1, "a"), (1, "unknown"), (1, None), (2, "b"), (2, "unknown")]
+
+
+def test_quantiles_are_exact_and_meet_in_no_task(spark):
+    data = [float(i * 37 % 1001) for i in range(1001)] + [None, float("nan")]
+    df = spark.createDataFrame([(v, None if i % 2 else 3.0) for i, v in enumerate(data)], "x double, y double").repartition(5)
+    found = {r.column: r for r in D.numeric_quantiles(df, ["x", "y"], [0.25, 0.5, 1.0], D.DriftSettings(buckets=7)).collect()}
+    assert (found["x"].n, found["x"].mean, found["x"].quantiles) == (1001, 500.0, [250.0, 500.0, 1000.0])
+    assert found["x"].sd == pytest.approx(math.sqrt((1001**2 - 1) / 12))
+    assert (found["y"].sd, found["y"].quantiles) == (0.0, [3.0, 3.0, 3.0])
+    empty = df.limit(0)
+    assert D.numeric_quantiles(empty, ["x"], [0.5]).collect() == []
+    plan = D.numeric_quantiles(df, ["x"], [0.5])._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "percentile" not in plan

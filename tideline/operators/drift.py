@@ -22,7 +22,7 @@ P_VALUE_THRESHOLD = 0.05
 DISTANCE_THRESHOLD = 0.1
 DRIFT_SHARE = 0.5  # a data set drifts when at least this share of its columns does
 LEAST_BUCKETS = 256
-LAYOUT_SAMPLE = 0.02  # share of rows that the bucket bounds are read from
+LAYOUT_ROWS = 40  # sampled rows per bucket that the bucket bounds are read from
 SPREAD_FLOOR = 0.001  # least standard deviation the Wasserstein distance is divided by
 # -----------------------------------------------------------------------------------------------------
 
@@ -70,18 +70,23 @@ def _sides(reference: DataFrame, current: DataFrame, columns: Sequence[str], as_
 
 
 def _layout(both: DataFrame, columns: Sequence[str], buckets: int) -> list[list[float]]:
-    """Per column, increasing bucket bounds with open ends. At most `buckets` numbers per column reach the driver.
+    """Per column, increasing bucket bounds with open ends.
 
-    The bounds only have to be about right, so they are taken from a sample, the way a range partitioner does; a
-    frame too small to be sampled needs no buckets.
+    The bounds only have to be about right, and no result depends on them, so they are taken the way a range
+    partitioner does: from about LAYOUT_ROWS rows for each bucket, whatever the table's size. The count that sets the
+    sample's share is one number a task.
     """
-    steps = [i / buckets for i in range(1, buckets)] or [0.5]
-    quantiles = f"array({', '.join(f'{step}D' for step in steps)}), {4 * buckets}"
-    found = both.sample(LAYOUT_SAMPLE, seed=1).selectExpr(
-        *(f"percentile_approx(if(isnan({c}), NULL, {c}), {quantiles}) AS {c}" for c in columns)
-    )
-    inner = (sorted({q for q in (bounds or [0.0]) if abs(q) != float("inf")}) or [0.0] for bounds in found.first())
-    return [[-float("inf"), *bounds, float("inf")] for bounds in inner]
+    wanted = LAYOUT_ROWS * buckets
+    rows = both.count()
+    if not rows:
+        return [[-float("inf"), 0.0, float("inf")] for _ in columns]
+    sample = both.select(*columns).sample(min(1.0, wanted / rows), seed=1).collect()
+    bounds = []
+    for i in range(len(columns)):
+        values = sorted(r[i] for r in sample if r[i] is not None and r[i] == r[i] and abs(r[i]) != float("inf"))
+        inner = sorted({values[len(values) * k // buckets] for k in range(1, buckets)}) if values else []
+        bounds.append([-float("inf"), *(inner or [0.0]), float("inf")])
+    return bounds
 
 
 def numeric_counts(
@@ -192,6 +197,39 @@ def numeric_statistics(
     )
 
 
+def numeric_quantiles(
+    df: DataFrame, columns: Sequence[str], levels: Sequence[float], settings: DriftSettings = DriftSettings()
+) -> DataFrame:
+    """One row per column with a value: (column, n, mean, sd, quantiles), exact, over all rows.
+
+    From the same counts in buckets as the drift statistics, so neither a column nor a sketch of it meets in one task.
+    The quantile at a level is the least value that at least that share of the values does not exceed.
+    """
+    counts = numeric_counts(df, df.filter(F.lit(False)), columns, settings)
+    found = ", ".join(f"min(if(upto >= ceil({level}D * n), value, NULL))" for level in levels)
+    return df.sparkSession.sql(
+        f"""
+        WITH totals AS (SELECT place, bucket, sum(r) AS r, sum(r * value) AS s FROM {{counts}} GROUP BY place, bucket),
+        offsets AS (
+          SELECT place, bucket, (sum(r) OVER in_order) - r AS before,
+            sum(r) OVER whole AS n, (sum(s) OVER whole) / (sum(r) OVER whole) AS mean
+          FROM totals
+          WINDOW whole AS (PARTITION BY place), in_order AS (PARTITION BY place ORDER BY bucket)),
+        running AS (
+          SELECT place, bucket, value, r,
+            sum(r) OVER (PARTITION BY place, bucket ORDER BY value ROWS UNBOUNDED PRECEDING) AS inside
+          FROM {{counts}}),
+        ranked AS (
+          SELECT /*+ BROADCAST(offsets) */ place, value, r, n, mean, before + inside AS upto
+          FROM running JOIN offsets USING (place, bucket))
+        SELECT element_at(:names, place + 1) AS column, max(n) AS n, max(mean) AS mean,
+          sqrt(sum(r * pow(value - mean, 2)) / max(n)) AS sd, array({found}) AS quantiles
+        FROM ranked GROUP BY place""",
+        args={"names": list(columns)},
+        counts=counts,
+    )
+
+
 def categorical_statistics(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per categorical column, with null for the statistics that need an order.
 

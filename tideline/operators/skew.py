@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from tideline.functions.cleaning import columns_of_type, nullify
 from tideline.functions.hashing import hash_normal
 from tideline.operators.columns import overridden
+from tideline.operators.drift import numeric_quantiles
 
 # Normal quantiles at -3z, -z, z, 3z for z = 0.524 (Slifker and Shapiro 1980).
 _Z = 0.524
@@ -30,32 +31,27 @@ def fit_johnson_su(quantiles: Sequence[float]) -> tuple[float, float, float, flo
     return gamma, delta, xi, scale
 
 
-def _draw(fit: Row, column: str, keys: Sequence[str], seed: str) -> Column:
-    z = hash_normal(keys, f"{seed}/{column}")
-    quantiles = fit[f"q_{column}"]
-    johnson = fit_johnson_su(quantiles) if quantiles else None
+def _draw(fit: Row, keys: Sequence[str], seed: str) -> Column:
+    z = hash_normal(keys, f"{seed}/{fit.column}")
+    johnson = fit_johnson_su(fit.quantiles)
     if johnson is None:
-        return F.lit(fit[f"mean_{column}"]) + F.lit(fit[f"sd_{column}"]) * z
+        return F.lit(fit.mean) + F.lit(fit.sd) * z
     gamma, delta, xi, scale = johnson
     return xi + scale * F.sinh((z - gamma) / delta)
 
 
 def skew_numeric(
-    df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None, seed: str = "42", accuracy: int = 10_000
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None, seed: str = "42"
 ) -> DataFrame:
     """Replaces double columns by draws from a Johnson SU distribution fitted to each.
 
-    One pass takes four quantiles, mean and deviation for all columns; the draws come from the row's key, so a
-    recomputed task repeats them. Columns whose quantiles do not fit the family are drawn from a normal.
+    Four exact quantiles, mean and deviation of every column come from counts over all rows; the draws come from the
+    row's key, so a recomputed task repeats them. Columns whose quantiles do not fit the family are drawn from a
+    normal; a column without a value stays as it is.
     """
     columns = list(columns or columns_of_type(df, T.DoubleType, exclude=keys))
-    fit = df.agg(
-        *(F.percentile_approx(c, _LEVELS, accuracy).alias(f"q_{c}") for c in columns),
-        *(F.avg(c).alias(f"mean_{c}") for c in columns),
-        *(F.stddev_pop(c).alias(f"sd_{c}") for c in columns),
-    ).first()
-    drawn = {c: F.when(F.col(c).isNotNull(), _draw(fit, c, keys, seed)) for c in columns if fit[f"mean_{c}"] is not None}
-    return df.withColumns(drawn)
+    fits = numeric_quantiles(df, columns, _LEVELS).collect()
+    return df.withColumns({f.column: F.when(F.col(f.column).isNotNull(), _draw(f, keys, seed)) for f in fits})
 
 
 def append_variants(df: DataFrame, variants: Iterable[tuple[DataFrame, Mapping[str, Column]]]) -> DataFrame:
