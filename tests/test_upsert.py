@@ -177,3 +177,21 @@ def test_overwrite_table(spark):
     overwrite_table(spark.range(3), "default.plain")
     overwrite_table(spark.range(2), "default.plain")
     assert spark.table("default.plain").count() == 2
+
+
+@pytest.mark.parametrize("newer_by", [None, "version"])
+@pytest.mark.parametrize("fewer", [False, True])
+def test_unique_target_is_merged_in_one_join(spark, rows, newer_by, fewer):
+    target = spark.createDataFrame(
+        [(i if i % 7 else None, f"old{i}", i % 5, None if i % 3 else "x") for i in range(60)], "k long, v string, version int, w string"
+    )
+    updates = spark.createDataFrame(
+        [(i if i % 11 else None, f"new{i}", i % 4, "y") for i in range(30, 90)], "k long, v string, version int, w string"
+    )
+    updates = updates.drop("w") if fewer else updates
+    general = upsert(target, updates, ["k"], newer_by=newer_by)
+    one = upsert(target, updates, ["k"], newer_by=newer_by, unique_target=True)
+    assert rows(one) == rows(general) and one.columns == target.columns
+    assert rows(upsert(target, updates, ["k"], newer_by=newer_by, unique_target=True, small_updates=True)) == rows(general)
+    plan = one._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "FullOuter" in plan

@@ -6,7 +6,7 @@ key matches nothing, so null-keyed rows of both sides pass through without being
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.cleaning import all_not_null
@@ -65,7 +65,7 @@ def upsert(
 
     Updates may lack target columns: matched rows keep theirs, inserted rows get null. Keys have to be unique in
     the updates (see `ambiguous_matches`, `latest_per_key`), not in the target; a caller who knows the target
-    keys to be unique can say so and saves a pass over them. With newer_by, a matched row is replaced only where
+    keys to be unique can say so, and the merge is one outer join. With newer_by, a matched row is replaced only where
     the update's value of that column is not below its own, for updates that may arrive out of order.
 
     small_updates (see `is_small`) broadcasts the updates, and no target row is shuffled. Without it large updates
@@ -79,20 +79,40 @@ def upsert(
     keyed = all_not_null(keys)
     keyed_target, keyed_updates = target.filter(keyed), updates.filter(keyed)
 
-    if unique_target and not newer_by and len(updates.columns) == len(target.columns):
-        touched = keyed_updates.select(*keys)
-        untouched = keyed_target.join(F.broadcast(touched) if small_updates else touched, keys, "left_anti")
-        return untouched.unionByName(target.filter(~keyed)).unionByName(updates).select(*target.columns)
+    replaced = set(updates.columns) - set(keys)
+
+    def replaces(current: str) -> Column:
+        taken = F.col("_update").isNotNull()
+        if newer_by:
+            taken &= F.coalesce(F.col(f"_update.{newer_by}") >= F.col(current), F.lit(True))
+        return taken
 
-    sent = F.broadcast if small_updates else lambda df: df
     packed = keyed_updates.select(*keys, F.struct(*updates.columns).alias("_update"))
-    replaced = set(updates.columns) - set(keys)
-    replaces = F.col("_update").isNotNull()
-    if newer_by:
-        replaces &= F.coalesce(F.col(f"_update.{newer_by}") >= F.col(newer_by), F.lit(True))
+    if unique_target and not small_updates:
+        # Every key has at most one row on either side: one outer join, each side shuffled once, no key is hot.
+        found = keyed_target.select(*keys, F.struct(*target.columns).alias("_row")).join(packed, keys, "full_outer")
+        taken = replaces(f"_row.{newer_by}") if newer_by else replaces("")
+        merged = found.select(
+            *(
+                F.col(c)
+                if c in keys
+                else F.when(taken, F.col(f"_update.{c}")).otherwise(F.col(f"_row.{c}")).alias(c)
+                if c in replaced
+                else F.col(f"_row.{c}").alias(c)
+                for c in target.columns
+            )
+        )
+        return (
+            merged.unionByName(target.filter(~keyed))
+            .unionByName(updates.filter(~keyed), allowMissingColumns=True)
+            .select(*target.columns)
+        )
+
+    sent = F.broadcast if small_updates else lambda df: df
+    taken = replaces(newer_by or "")
     merged = keyed_target.join(sent(packed), keys, "left").select(
         *(
-            F.when(replaces, F.col(f"_update.{c}")).otherwise(F.col(c)).alias(c)
+            F.when(taken, F.col(f"_update.{c}")).otherwise(F.col(c)).alias(c)
             if c in replaced
             else F.col(c)
             for c in target.columns
