@@ -1,7 +1,7 @@
 """Toxicity by the difference in compressed length under a dictionary of toxic and one of ordinary text."""
 
-from collections import Counter
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -23,7 +23,7 @@ WINDOW, CODE, STEM, SHARED_WORDS = 16, 16, 4, 1500
 LOG_ODDS, SURE, MOST_WORDS = 3.0, 9.0, 4000
 COPY_WORDS = 5
 THRESHOLD = 0.7
-_REMEMBERED, _WORDS_AT_ONCE = 500_000, 1 << 20
+_REMEMBERED, _WORDS_AT_ONCE = 100_000, 1 << 18
 _TO_SPACE = bytes(b if chr(b).isalnum() or b >= 128 else 32 for b in range(256))
 
 
@@ -154,51 +154,54 @@ def _signature(words: Sequence[bytes]) -> int:
     return min(xxhash.xxh64_intdigest(b" ".join(words[i : i + COPY_WORDS])) for i in range(last))
 
 
-def _parts(text: str) -> tuple[int, frozenset[bytes]]:
-    """Signature, words and stems of a text."""
+def _parts(text: str, number: dict[bytes, int]) -> tuple[int, np.ndarray]:
+    """Signature of a text and the numbers of its words and stems; new ones are added to `number`."""
     words = words_of(text)
-    return (_signature(words), frozenset([*words, *map(stem_of, words)])) if words else (0, frozenset())
+    if not words:
+        return 0, np.zeros(0, np.int32)
+    parts = {*words, *map(stem_of, words)}
+    return _signature(words), np.fromiter((number.setdefault(p, len(number)) for p in sorted(parts)), np.int32, len(parts))
 
 
-def _documents_with(parts: Sequence[tuple[int, frozenset[bytes]]]) -> tuple[Counter, int]:
+def _documents_with(parts: Sequence[tuple[int, np.ndarray]], size: int) -> tuple[np.ndarray, int]:
     """In how many documents each word and stem is, and how many there are. Documents of one signature count once: near
     copies of one text would make its rare words look telling."""
-    seen: dict[int, set[bytes]] = {}
+    seen: dict[int, np.ndarray] = {}
     for signature, own in parts:
-        if own:
-            seen.setdefault(signature, set()).update(own)
-    return Counter(w for words in seen.values() for w in words), len(seen)
+        if len(own):
+            seen[signature] = np.union1d(seen[signature], own) if signature in seen else own
+    return np.bincount(np.concatenate([np.zeros(0, np.int32), *seen.values()]), minlength=size), len(seen)
 
 
-def _dictionaries(toxic: Sequence[tuple], ordinary: Sequence[tuple]) -> CompressionScore:
-    (bad, bads), (good, goods) = _documents_with(toxic), _documents_with(ordinary)
+def _dictionaries(toxic: Sequence[tuple], ordinary: Sequence[tuple], names: Sequence[bytes]) -> CompressionScore:
+    (bad, bads), (good, goods) = _documents_with(toxic, len(names)), _documents_with(ordinary, len(names))
 
-    def telling(own: Counter, n: int, other: Counter, m: int) -> list[bytes]:
-        least = SURE / np.log((n + m) / n) if n and m else np.inf
-        odds = {
-            w: np.log((c + 0.1) / (n + 0.2)) - np.log((other[w] + 0.1) / (m + 0.2))
-            for w, c in own.items()
-            if c >= least
-        }
-        some = sorted((w for w, o in odds.items() if o >= LOG_ODDS), key=lambda w: (-own[w], w))[:MOST_WORDS]
-        return some[::-1]  # the commonest last, where a match costs least
+    def telling(own: np.ndarray, n: int, other: np.ndarray, m: int) -> list[bytes]:
+        if not n or not m:
+            return []
+        odds = np.log((own + 0.1) / (n + 0.2)) - np.log((other + 0.1) / (m + 0.2))
+        some = np.flatnonzero((own >= SURE / np.log((n + m) / n)) & (odds >= LOG_ODDS))
+        some = sorted(some.tolist(), key=lambda i: (-own[i], names[i]))[:MOST_WORDS]
+        return [names[i] for i in reversed(some)]  # the commonest last, where a match costs least
 
     toxic_words, ordinary_words = telling(bad, bads, good, goods), telling(good, goods, bad, bads)
     apart = {*toxic_words, *ordinary_words}
-    plain = (w for w in good if w not in apart and stem_of(w) not in apart and not w.endswith(b"-"))
-    common = sorted(plain, key=lambda w: (-good[w], w))[:SHARED_WORDS][::-1]
-    return CompressionScore(common, toxic_words, ordinary_words)
+    plain = (names[i] for i in np.argsort(-good, kind="stable").tolist() if good[i])
+    plain = (w for w in plain if w not in apart and stem_of(w) not in apart and not w.endswith(b"-"))
+    return CompressionScore(list(islice(plain, SHARED_WORDS))[::-1], toxic_words, ordinary_words)
 
 
 def train(texts: Sequence[str], toxic: Sequence[int]) -> CompressionScore:
     """Dictionaries from all texts. The curve is fitted to features of texts that the dictionaries did not see: each
     third of the texts under dictionaries of the other two."""
     order = sorted(range(len(texts)), key=lambda i: (toxic[i], texts[i]))
-    parts = [_parts(texts[i]) for i in order]
+    number: dict[bytes, int] = {}
+    parts = [_parts(texts[i], number) for i in order]
+    names = list(number)
     label = np.array([int(bool(toxic[i])) for i in order], dtype=int)
 
     def learned(use: np.ndarray) -> CompressionScore:
-        return _dictionaries(*([parts[i] for i in np.flatnonzero(use & (label == c))] for c in (1, 0)))
+        return _dictionaries(*([parts[i] for i in np.flatnonzero(use & (label == c))] for c in (1, 0)), names)
 
     third = np.arange(len(order)) % 3
     features = np.zeros((len(order), 4))
