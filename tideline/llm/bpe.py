@@ -17,7 +17,7 @@ from tideline.llm.common import HashIndex
 #: Rows longer than this are merged one by one.
 LONGEST_ROW = 512
 #: Words whose ids a task remembers, and bytes of text it works on at once.
-REMEMBERED_WORDS, TEXT_BLOCK = 150_000, 1 << 20
+REMEMBERED_WORDS, TEXT_BLOCK = 100_000, 1 << 19
 _NONE = np.int32(2**31 - 1)
 _NO_IDS = np.zeros(0, np.int32)
 
