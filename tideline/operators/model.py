@@ -23,7 +23,7 @@ from tideline.operators.runs import run_rows
 LEAST_MAX_BINS = 40
 SEED = 42
 MOST_CATEGORIES = 10_000
-TRAINING_PARTITIONS = 32
+TRAINING_PARTITIONS = 16
 # -----------------------------------------------------------------------------------------------------
 
 
