@@ -140,12 +140,16 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents, in their columns, whose id is their component's; of rows that repeat it, one stays.
+    """The documents, in their columns, whose id is their component's; of rows that repeat it, one stays."""
+    return smallest_of_each(docs, near_duplicates(docs, id_column, text), id_column, text)
+
+
+def smallest_of_each(docs: DataFrame, found: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents whose id is the component_id that `found` gives it; of rows that repeat it, one stays.
 
     Of rows with the same id the one with the smallest md5 of its text stays. In a component of null ids only, one
     row stays: null ids are kept by the same rule.
     """
-    found = near_duplicates(docs, id_column, text)
     kept = found.filter(F.col(id_column).eqNullSafe(F.col("component_id"))).select(F.col(id_column).alias("__id"))
     rows = docs.join(kept.distinct(), F.col(id_column).eqNullSafe(F.col("__id")), "left_semi")
     order = Window.partitionBy(id_column).orderBy(
