@@ -139,3 +139,18 @@ def test_estimates_are_unbiased_and_bounded():
         inside += abs(errors[-1]) <= bound[0]
     assert abs(np.mean(errors)) < 4 * np.std(errors) / np.sqrt(len(errors))
     assert inside >= 299
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_dedup_finds_links_just_above_the_threshold(spark, kind):
+    """Planted pairs at cosines of 0.90 to 0.92."""
+    rng = np.random.default_rng(4)
+    data = []
+    for at in np.linspace(0.9001, 0.92, 600):
+        a, b = rng.standard_normal((2, 64))
+        a /= np.linalg.norm(a)
+        b -= (a @ b) * a
+        data += [a, at * a + np.sqrt(1 - at**2) * b / np.linalg.norm(b)]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], f"vec_id long, embedding array<{kind}>")
+    found = embedding_dedup.near_duplicates(table).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found) == [(i, 1, i // 2 * 2) for i in range(1200)]
