@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import bpe, embedding_dedup, html_extract, langid, mixing, neighbours, sharding, simhash, toxicity, warc
+from tideline.llm import (
+    bpe,
+    embedding_dedup,
+    html_extract,
+    langid,
+    lm_scoring,
+    mixing,
+    neighbours,
+    sharding,
+    simhash,
+    toxicity,
+    warc,
+)
 from tideline.llm.common import id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +104,13 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_scoring.score_documents(table(spark, sf_dir, "documents"), id_crc("doc_id") % 7 != 2)
+    return scored.select(
+        "doc_id", (~F.col("learns")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_neighbours": op1_neighbours,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -103,4 +122,5 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_bpe": op9_bpe,
     "op10_language": op10_language,
+    "op11_lm_scoring": op11_lm_scoring,
 }
