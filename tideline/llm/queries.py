@@ -14,8 +14,10 @@ from tideline.llm import (
     lm_scoring,
     mixing,
     neighbours,
+    prefix_trie,
     sharding,
     simhash,
+    spelling,
     toxicity,
     warc,
 )
@@ -111,6 +113,14 @@ def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_neighbours": op1_neighbours,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -123,4 +133,6 @@ QUERIES: dict[str, Query] = {
     "op9_bpe": op9_bpe,
     "op10_language": op10_language,
     "op11_lm_scoring": op11_lm_scoring,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_spelling": op13_spelling,
 }
