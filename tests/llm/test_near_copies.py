@@ -1,6 +1,7 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 import pytest
 
 from tideline.llm import near_copies, simhash
@@ -56,13 +57,40 @@ def planted():
 def test_against_brute_force(spark, monkeypatch, part):
     """Also with crowded buckets dealt to parts of a few rows, small chunks and a small list of common shingles."""
     monkeypatch.setattr(near_copies, "PART_ROWS", part)
-    monkeypatch.setattr(near_copies, "CHUNK_ROWS", 50 if part == 7 else 1 << 12)
+    monkeypatch.setattr(near_copies, "CHUNK_BYTES", 50_000 if part == 7 else 1 << 23)
     monkeypatch.setattr(near_copies, "COMMON_ROWS", 5 if part == 7 else 50_000)
     rows = planted()
     found = near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(tuple(r) for r in found) == brute_components(rows)
 
 
+def test_vectors_rule_out_no_near_copies():
+    """The bound leaves every pair of the similarity connected, and tears most of the others apart."""
+    rng = np.random.default_rng(4)
+    like, sets = Likeness(), []
+    for size in (1, 5, 40, 300, 900, 5000):
+        base = rng.integers(-(1 << 63), 1 << 63, size)
+        for share in (0, 0.05, 0.1, 0.11, 0.12, 0.3, 1):
+            changed = base.copy()
+            changed[: int(share * size)] = rng.integers(-(1 << 63), 1 << 63, int(share * size))
+            sets.append(np.unique(changed))
+    sizes = np.array([len(s) for s in sets])
+    left = near_copies._may_link(like, sizes, [near_copies.count_vector(s) for s in sets])
+    root = list(range(len(sets)))
+    for a, b in left:
+        x, y = near_copies_root(root, a), near_copies_root(root, b)
+        root[max(x, y)] = min(x, y)
+    for a, b in near_copies._linked(like, sets):
+        assert near_copies_root(root, a) == near_copies_root(root, b)
+    assert len(left) < len(sets) - 6
+
+
+def near_copies_root(root, a):
+    while root[a] != a:
+        a = root[a]
+    return a
+
+
 def test_prefixes_reach_the_threshold():
     for n in range(1, 400):
         assert Likeness().prefix(n) == n - (4 * n + 4) // 5 + 1
@@ -87,6 +115,12 @@ def test_stage_drops_copies_with_scattered_edits(spark):
     assert simhash.one_of_each(docs).count() > 75
 
 
+def test_clashing_names(spark):
+    rows = [(1, "a b c d e f g", "en", "a", 1), (2, "a b c d e f g", "en", "b", 1)]
+    docs = spark.createDataFrame([(*r, 1, "x", 3) for r in rows], SCHEMA + ", c long, class string, least long")
+    assert [tuple(r) for r in near_copies.one_of_each(docs).collect()] == [(*rows[0], 1, "x", 3)]
+
+
 def test_empty_and_null_ids(spark):
     assert near_copies.one_of_each(spark.createDataFrame([], SCHEMA)).collect() == []
     rows = [(None, "a b c", "en", "a", 1), (None, "a b c", "en", "a", 1), (4, "d e f", "en", "a", 1), (4, "d e f", "en", "a", 1)]

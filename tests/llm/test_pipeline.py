@@ -5,7 +5,8 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tideline.llm import bpe, mixing, simhash
+from tests.llm.test_near_copies import brute_components
+from tideline.llm import bpe, mixing
 
 SF = "/root/testdata/sf0.01"
 
@@ -39,10 +40,46 @@ def test_language_and_toxicity_keep_clean_documents(spark, stages):
 
 
 def test_one_of_each_group_stays(stages):
+    """Against brute-force Jaccard similarities of five-word shingles."""
     _, before, after = stages[2]
-    found = simhash.near_duplicates(before)
-    kept = {r["doc_id"] for r in after.collect()}
-    assert kept == {r["component_id"] for r in found.collect()} and after.count() == len(kept)
+    rows = sorted((r["doc_id"], r["text"]) for r in before.select("doc_id", "text").collect())
+    least = {component for _, component in brute_components(rows)}
+    assert sorted(r["doc_id"] for r in after.collect()) == sorted(least)
+
+
+PLAIN = "the quiet river ran past the old mill and the children of the village went there to swim every summer"
+
+
+def planted(spark, tmp_path):
+    """Documents of the small table with toxic ones, copies and a near copy among them, written as the driver's are."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 300")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    whole = spark.read.parquet(f"{SF}/documents.parquet")
+    toxic = whole.join(labels.filter("toxic = 1"), "doc_id", "left_semi").limit(20)
+    words = [f"{w}{k}" for k in range(20) for w in PLAIN.split()]
+    edited = [*words[:100], "changed", *words[101:]]
+    rows = [(10_000, " ".join(words)), (10_001, " ".join(words)), (10_002, " ".join(edited)), (10_003, "12 34"), (10_004, None)]
+    more = spark.createDataFrame([(i, t, "en", "planted", 0) for i, t in rows], docs.schema)
+    folder = str(tmp_path)
+    docs.unionByName(toxic).unionByName(more).dropDuplicates(["doc_id"]).write.parquet(f"{folder}/documents.parquet")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    return folder, {r["doc_id"] for r in toxic.collect()}
+
+
+def test_run_on_planted_documents(spark, tmp_path):
+    """run() chains the stages: most toxic documents go, copies and near copies leave one, the rest comes out encoded."""
+    folder, toxic = planted(spark, tmp_path)
+    out = corpus_pipeline.run(spark, folder)
+    ids = {r["doc_id"] for r in out.select("doc_id").distinct().collect()}
+    assert not ids & {10_001, 10_002, 10_003, 10_004}
+    docs = spark.read.parquet(f"{folder}/documents.parquet").filter("doc_id < 9000")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] not in toxic and r["text"])
+    clean = {component for _, component in brute_components(rows)}
+    assert len(ids & clean) >= 0.8 * len(clean) and len(toxic & ids) <= 0.5 * len(toxic)
+    back = bpe.decode(out, corpus_pipeline.RANK_FILE).select("doc_id", F.col("decoded").cast("string").alias("text"))
+    whole = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    for r in back.collect():
+        assert whole[r["doc_id"]].startswith(r["text"].rstrip())
 
 
 def test_mixture_and_tokens(stages):
