@@ -72,3 +72,16 @@ def test_held_out_accuracy(spark):
     assert held.filter(id_crc("doc_id") % 4 != 2).count() == 0
     right, n = held.select(F.sum((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
     assert n > 200 and right >= 0.97 * n
+
+
+def test_long_texts_teach(spark):
+    """Windows of a long text are learned from; trees of no language name nothing, and the pipeline's stage keeps letters."""
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(k, word * 20_000, lang, "a", 0) for k, (word, lang) in enumerate([("the house ", "en"), ("das haus ist ", "de")] * 4)]
+    docs = spark.createDataFrame(rows, schema)
+    trees = langid.fit(docs)
+    assert langid.predict(trees, ["the house the house", "das haus ist das"])[0] == ["en", "de"]
+    unnamed = docs.withColumn("lang", F.lit(None).cast("string")).unionByName(spark.createDataFrame([(99, "12", None, None, 0)], schema))
+    assert corpus_pipeline.known_language(spark, unnamed, "").count() == len(rows)

@@ -13,7 +13,7 @@ from tideline.llm.common import HashIndex, sampled_per_class
 
 ORDER = 4
 UNKNOWN = "und"
-#: The fit reads about this many documents of each language, none longer than this many characters.
+#: The fit reads about this many documents of each language; longer ones than this many characters as windows of so many.
 FIT_ROWS, FIT_CHARS = 300, 30_000
 _BLOCK = 1 << 19
 _LETTER = regex.compile(r"\p{L}")
@@ -166,20 +166,31 @@ def fit(
     rows: int = FIT_ROWS,
     chars: int = FIT_CHARS,
 ) -> ByteTrees:
-    """Trees of the languages named in `lang`, from about `rows` documents of each of at most `chars` characters.
+    """Trees of the languages named in `lang`, from about `rows` documents of each, chosen by the hash of `keys`.
 
-    Rows with a null language or text are not learned from. The documents are chosen by the hash of `keys`.
+    A text of more than `chars` characters counts as several documents, its windows, so long texts teach as others do
+    and what is read stays bounded. Rows with a null language or text and empty texts are not learned from. Repeated
+    rows are chosen together. An empty table gives trees of no language. Only the columns named are read.
     """
-    usable = docs.filter(F.col(lang).isNotNull() & (F.length(text) > 0) & (F.length(text) <= chars))
-    chosen = sampled_per_class(usable.select(lang, text, *keys), lang, keys, rows)
+    usable = docs.filter(F.col(lang).isNotNull() & (F.length(text) > 0))
+    named = [F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)]
+    windows = usable.select(
+        F.col(lang).alias("__lang"), F.col(text).alias("__text"), *named,
+        F.explode(F.sequence(F.lit(0), F.floor((F.length(text) - 1) / chars).cast("int"))).alias("__at"),
+    )
+    # The first window has a null number, which the hash passes over: a short text is chosen by its keys alone.
+    windows = windows.withColumn("__window", F.when(F.col("__at") > 0, F.col("__at")))
+    chosen = sampled_per_class(windows, "__lang", [*(f"__key{i}" for i in range(len(keys))), "__window"], rows)
     by_language: dict[str, list[bytes]] = {}
-    for row in chosen.select(F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text")).toLocalIterator():
+    read = F.substring("__text", F.col("__at") * chars + 1, F.lit(chars)).cast("binary").alias("text")
+    for row in chosen.select(F.col("__lang").alias("lang"), read).toLocalIterator():
         by_language.setdefault(row["lang"], []).append(bytes(row["text"]))
     return ByteTrees({k: sorted(v) for k, v in by_language.items()})
 
 
 def language(trees: ByteTrees, docs: DataFrame, text: str = "text") -> Column:
-    """A struct of lang and score for the whole text of each row of `docs`."""
+    """A struct of lang and score for the whole text of each row of `docs`, however long; see `predict` for null and empty
+    texts and ties. Repeated rows get the same; an empty table gives no row. Only the text is read."""
     model = docs.sparkSession.sparkContext.broadcast(trees)  # bounded by the fit's sample
     kind = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())])
 
