@@ -214,6 +214,14 @@ SELECT '2024-01-31' AS "date", col AS "column", 'numeric' AS kind, method, round
 _GOLD_BRONZE = f"WITH {_DIRTY_ORDERS} SELECT * FROM dirty"
 _SILVER_ROWS = "SELECT DISTINCT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM merged"
 
+_UPSERTED = f"""WITH {_REPRICED}
+SELECT t.o_orderkey, t.o_custkey, coalesce(u.o_orderstatus, t.o_orderstatus) AS o_orderstatus,
+  coalesce(u.o_totalprice, t.o_totalprice) AS o_totalprice, t.o_orderpriority
+FROM orders t LEFT JOIN updates u USING (o_orderkey, o_custkey)
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, NULL FROM updates u
+WHERE NOT EXISTS (FROM orders t WHERE t.o_orderkey = u.o_orderkey AND t.o_custkey = u.o_custkey)"""
+
 ORACLES: dict[str, str] = {
     "medallion_flagship": f"WITH {_GOLD} SELECT * FROM gold",
     "medallion_tables": _LAYER_COUNTS,
@@ -244,13 +252,8 @@ FROM orders""",
     + "\nUNION ALL "
     + _violations("silver", "fail", label="'silver' AS dataset, "),
     "layer_row_counts": _LAYER_COUNTS,
-    "upsert_composite_key": f"""WITH {_REPRICED}
-SELECT t.o_orderkey, t.o_custkey, coalesce(u.o_orderstatus, t.o_orderstatus) AS o_orderstatus,
-  coalesce(u.o_totalprice, t.o_totalprice) AS o_totalprice, t.o_orderpriority
-FROM orders t LEFT JOIN updates u USING (o_orderkey, o_custkey)
-UNION ALL
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, NULL FROM updates u
-WHERE NOT EXISTS (FROM orders t WHERE t.o_orderkey = u.o_orderkey AND t.o_custkey = u.o_custkey)""",
+    "upsert_composite_key": _UPSERTED,
+    "bucketed_merge": _UPSERTED,
     "upsert_unique_target": f"""WITH {_REPRICED}
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders t
 WHERE NOT EXISTS (FROM updates u WHERE t.o_orderkey = u.o_orderkey AND t.o_custkey = u.o_custkey)
@@ -279,6 +282,7 @@ WHERE l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY l_orderkey HAVING c
     "upsert_latest_wins": _LATEST_EVENTS,
     "create_or_upsert": _LATEST_EVENTS,
     "incremental_ingest": _INGESTED,
+    "bucketed_ingest": _INGESTED,
     "stream_upsert": _INGESTED,
     "ingest_late_delivery": _INGESTED,
     "ingest_long_versions": f"""SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority,

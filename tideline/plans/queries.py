@@ -28,6 +28,7 @@ from tideline.operators.upsert import ambiguous_matches, is_small, latest_per_ke
 from tideline.plans.daily import DailyTables, monitor, score_daily
 from tideline.plans.medallion import Layers, layers, publish_layers, run_external, run_internal
 from tideline.schemas import LINEAGE
+from tideline.sources.buckets import BucketedTable, maintain_bronze
 from tideline.sources.files import CORRUPT, VERSION, high_water_mark, scan_csv, with_lineage
 from tideline.sources.ingest import Feed, bronze, compact, expire, land
 from tideline.sources.tables import create_or_upsert, publish
@@ -356,6 +357,25 @@ def incremental_ingest(spark, sf_dir):
     return bronze(spark, feed, table).select(*_ORDER_FILE.names, VERSION)
 
 
+def bucketed_ingest(spark, sf_dir):
+    """The same deliveries in three runs, each merged into the key buckets it hits."""
+    feed = _order_feed(_landed_orders(spark, sf_dir))
+    table = new_folder(spark, "bronze")
+    for files in (5, 4, None):
+        land(spark, feed, table, max_files=files)
+        kept = maintain_bronze(spark, feed, table, buckets=16)
+    return kept.select(*_ORDER_FILE.names, VERSION)
+
+
+def bucketed_merge(spark, sf_dir):
+    """A table of orders in key buckets, repriced ones and new keys merged in."""
+    orders = _order_rows(spark, sf_dir)
+    kept = BucketedTable(new_folder(spark, "orders"), ["o_orderkey", "o_custkey"], buckets=16)
+    kept.create(orders)
+    kept.merge(_repriced(orders), 2)
+    return kept.read(spark)
+
+
 def _deliver(landed: str, landing: str, spark: SparkSession, where: str) -> None:
     """Lands the chosen deliveries of another folder, which then are all there is of them."""
     lines = spark.read.option("basePath", landed).option("header", True).schema(_ORDER_FILE).csv(landed)
@@ -847,6 +867,8 @@ QUERIES: dict[str, Query] = {
     "upsert_latest_wins": upsert_latest_wins,
     "create_or_upsert": create_or_upsert_table,
     "incremental_ingest": incremental_ingest,
+    "bucketed_ingest": bucketed_ingest,
+    "bucketed_merge": bucketed_merge,
     "ingest_late_delivery": ingest_late_delivery,
     "ingest_long_versions": ingest_long_versions,
     "malformed_update_keeps_row": malformed_update_keeps_row,

@@ -66,12 +66,13 @@ def table_folder(root: str, name: str, test_mode: bool = False) -> str:
 
 
 def committed(spark: SparkSession, table: str, kind: str) -> list[int]:
-    """Numbers of the committed folders of a kind ("deliveries" or "snapshots"), ascending."""
+    """Numbers of the committed folders of a kind ("deliveries", "snapshots" or "bucketed"), ascending."""
     marks = child_names(spark, f"{table}/{kind}/commit=*/{_MARKER}")
     return sorted(int(re.search(r"commit=(\d+)/", mark).group(1)) for mark in marks)
 
 
-def _commit(spark: SparkSession, folder: str) -> None:
+def commit_marker(spark: SparkSession, folder: str) -> None:
+    """Makes a folder count."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{_MARKER}")
     path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True).close()
 
@@ -117,7 +118,7 @@ def store_delivery(
     if files is None:
         files = stored.select(F.col(LINEAGE).alias("path"), F.col(VERSION).alias("version")).distinct()
     files.withColumn("batch", F.lit(batch).cast("string")).write.mode("overwrite").parquet(f"{table}/ledger/commit={last + 1}")
-    _commit(spark, folder)
+    commit_marker(spark, folder)
 
 
 def _versions_in(spark: SparkSession, folder: str) -> list[int]:
@@ -153,6 +154,18 @@ def land(spark: SparkSession, feed: Feed, table: str, max_files: int | None = No
     return versions
 
 
+def delivered(spark: SparkSession, feed: Feed, table: str, numbers: Sequence[int]) -> DataFrame:
+    """The rows of some commits, as they were delivered."""
+    folders = [f"{table}/deliveries/commit={n}" for n in numbers]
+    rows = spark.read.schema(feed.stored).option("basePath", f"{table}/deliveries").parquet(*folders)
+    return rows.select(*feed.stored.names)
+
+
+def first_version(spark: SparkSession, table: str, number: int) -> int:
+    """The least version in a commit."""
+    return min(_versions_in(spark, f"{table}/deliveries/commit={number}"), default=0)
+
+
 def bronze(spark: SparkSession, feed: Feed, table: str) -> DataFrame:
     """The table's current content: the last snapshot merged with the deliveries committed since.
 
@@ -161,25 +174,17 @@ def bronze(spark: SparkSession, feed: Feed, table: str) -> DataFrame:
     snapshots = committed(spark, table, "snapshots")
     snapshot = snapshots[-1] if snapshots else None
     since = [n for n in committed(spark, table, "deliveries") if snapshot is None or n > snapshot]
-    columns = feed.stored.names
     if not since:
         if snapshot is None:
             return spark.createDataFrame([], feed.stored)
         return spark.read.schema(feed.stored).parquet(f"{table}/snapshots/commit={snapshot}")
 
-    def delivered(numbers: Sequence[int]) -> DataFrame:
-        folders = [f"{table}/deliveries/commit={n}" for n in numbers]
-        return (
-            spark.read.schema(feed.stored).option("basePath", f"{table}/deliveries").parquet(*folders).select(*columns)
-        )
-
-    tail = delivered(since)
+    tail = delivered(spark, feed, table, since)
     if snapshot is None:
         # What the table began with: the oldest delivery of the first commit.
-        first = min(_versions_in(spark, f"{table}/deliveries/commit={since[0]}"), default=0)
-        base = delivered(since[:1]).filter(F.col(VERSION) == first)
-        rest = delivered(since[:1]).filter(F.col(VERSION) != first)
-        tail = rest.unionByName(delivered(since[1:])) if len(since) > 1 else rest
+        first, begun = first_version(spark, table, since[0]), delivered(spark, feed, table, since[:1])
+        base, rest = begun.filter(F.col(VERSION) == first), begun.filter(F.col(VERSION) != first)
+        tail = rest.unionByName(delivered(spark, feed, table, since[1:])) if len(since) > 1 else rest
     else:
         base = spark.read.schema(feed.stored).parquet(f"{table}/snapshots/commit={snapshot}")
     formed = F.col(CORRUPT).isNull()
@@ -201,7 +206,7 @@ def compact(
         folder = f"{table}/snapshots/commit={done[-1]}"
         write = write or (lambda df, path: df.write.mode("overwrite").parquet(path))
         write(bronze(spark, feed, table), folder)
-        _commit(spark, folder)
+        commit_marker(spark, folder)
 
 
 def expire(spark: SparkSession, table: str, keep: int = 2) -> None:
