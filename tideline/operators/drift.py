@@ -13,6 +13,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tideline.functions.statistics import chi2_p_value, ks_p_value
 
@@ -52,15 +53,21 @@ def comparable_columns(
     return numeric, categorical
 
 
-def _quoted(name: str) -> str:
+def quoted(name: str) -> str:
+    """A column name as SQL text."""
     return "`" + name.replace("`", "``") + "`"
 
 
+def cell(name: str, as_type: str) -> str:
+    """A column's value as SQL text. Zero has one sign, or a bucket bound at zero would tell two of them apart."""
+    return f"try_cast({quoted(name)} AS {as_type})" + (" + 0D" if as_type == "double" else "")
+
+
 def _sides(reference: DataFrame, current: DataFrame, columns: Sequence[str], as_type: str) -> DataFrame:
     """Both frames, their columns renamed to v0, v1, ..., marked (1, 0) for the reference and (0, 1) for the other.
 
     Text that is no number counts as missing, as null does."""
-    values = ", ".join(f"try_cast({_quoted(name)} AS {as_type}) AS v{i}" for i, name in enumerate(columns))
+    values = ", ".join(f"{cell(name, as_type)} AS v{i}" for i, name in enumerate(columns))
     return reference.sparkSession.sql(
         f"""SELECT 1L AS _r, 0L AS _c, {values} FROM {{reference}}
         UNION ALL SELECT 0L, 1L, {values} FROM {{current}}""",
@@ -89,6 +96,18 @@ def _layout(both: DataFrame, columns: Sequence[str], buckets: int) -> list[list[
     return bounds
 
 
+def bucket_bounds(df: DataFrame, columns: Sequence[str], settings: DriftSettings = DriftSettings()) -> list[list[float]]:
+    """Bucket bounds of numeric columns, as laid out from one frame."""
+    values = [f"v{i}" for i in range(len(columns))]
+    cells = df.selectExpr(*(f"{cell(c, 'double')} AS {v}" for c, v in zip(columns, values, strict=True)))
+    return _layout(cells, values, _bucket_count(df, settings))
+
+
+def _bucket_count(df: DataFrame, settings: DriftSettings) -> int:
+    """Several buckets per task, so that tasks even out."""
+    return settings.buckets or max(LEAST_BUCKETS, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def numeric_counts(
     reference: DataFrame, current: DataFrame, columns: Sequence[str], settings: DriftSettings = DriftSettings()
 ) -> DataFrame:
@@ -97,12 +116,10 @@ def numeric_counts(
     Null and NaN are left out.
     """
     spark = reference.sparkSession
-    # Several buckets per task, so that tasks even out.
-    buckets = settings.buckets or max(LEAST_BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     both = _sides(reference, current, columns, "double")
     values = [f"v{i}" for i in range(len(columns))]
     placed = Bucketizer(
-        splitsArray=_layout(both, values, buckets),
+        splitsArray=_layout(both, values, _bucket_count(both, settings)),
         inputCols=values,
         outputCols=[f"bucket_of_{v}" for v in values],
         handleInvalid="keep",
@@ -282,7 +299,11 @@ def drift_report(
     settings: DriftSettings = DriftSettings(),
 ) -> DataFrame:
     """The verdict per column: (date, column, kind, method, statistic, threshold, drifted)."""
-    found = drift_statistics(reference, current, columns, exclude, settings)
+    return judged(drift_statistics(reference, current, columns, exclude, settings), run_date, settings)
+
+
+def judged(found: DataFrame, run_date: str | None = None, settings: DriftSettings = DriftSettings()) -> DataFrame:
+    """The verdict per column from its statistics."""
     if settings.method not in ("distance", "p-value"):
         raise ValueError(f"unknown method {settings.method!r}")
     small = "true" if settings.method == "p-value" else "false"
@@ -351,3 +372,31 @@ def alerts(*flags: DataFrame) -> DataFrame:
     for other in feeds[1:]:
         feed = feed.unionByName(other)
     return feed
+
+
+def flag_rows(*flags: DataFrame) -> DataFrame:
+    """(date, alert, is_on): the flags of one-row tables as rows, to be kept in a history by date and alert."""
+    rows = [
+        df.select(F.col("date"), F.lit(name).alias("alert"), F.col(name).alias("is_on"))
+        for df in flags
+        for name in df.columns
+        if name != "date"
+    ]
+    found = rows[0]
+    for other in rows[1:]:
+        found = found.unionByName(other)
+    return found
+
+
+def turned_on(history: DataFrame) -> DataFrame:
+    """(date, alert) of the dates on which a flag turns true: it is set, and was not on the date before in the history.
+
+    A flag that stays set alerts once. The first date of a history counts as a turn, and an unknown flag as not set. A
+    history has a row per day and alert, so the window over one alert stays small.
+    """
+    before = F.lag("is_on", 1, False).over(Window.partitionBy("alert").orderBy("date"))
+    return (
+        history.withColumn("_before", F.coalesce(before, F.lit(False)))
+        .filter(F.coalesce("is_on", F.lit(False)) & ~F.col("_before"))
+        .select("date", "alert")
+    )

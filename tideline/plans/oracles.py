@@ -222,6 +222,25 @@ UNION ALL
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, NULL FROM updates u
 WHERE NOT EXISTS (FROM orders t WHERE t.o_orderkey = u.o_orderkey AND t.o_custkey = u.o_custkey)"""
 
+_REPORTED = f"""WITH {_LINE_REPORT}
+SELECT "date", "column", kind, method, round(statistic, 6) AS statistic, threshold, drifted FROM report"""
+
+_TURNS = """
+WITH e AS (SELECT event_type AS t, CAST(ts AS DATE) AS d, ts < TIMESTAMP '2024-01-16' AS early FROM events),
+days AS (SELECT unnest([DATE '2024-01-18', DATE '2024-01-19', DATE '2024-01-21', DATE '2024-01-23', DATE '2024-01-25']) AS d),
+r AS (SELECT t, count(*) AS n FROM e WHERE early GROUP BY t),
+c AS (SELECT d, t, count(*) AS n FROM e JOIN days USING (d) GROUP BY d, t),
+cells AS (
+  SELECT days.d, k.t, coalesce(r.n, 0) / sum(coalesce(r.n, 0)) OVER (PARTITION BY days.d) AS p,
+    coalesce(c.n, 0) / sum(coalesce(c.n, 0)) OVER (PARTITION BY days.d) AS q
+  FROM days CROSS JOIN (SELECT DISTINCT t FROM e) k LEFT JOIN r ON r.t = k.t LEFT JOIN c ON c.t = k.t AND c.d = days.d),
+flags AS (
+  SELECT d, sqrt(sum(CASE WHEN p > 0 THEN p * ln(2 * p / (p + q)) ELSE 0 END
+      + CASE WHEN q > 0 THEN q * ln(2 * q / (p + q)) ELSE 0 END) / 2) >= 0.045 AS is_on
+  FROM cells GROUP BY d),
+turns AS (SELECT *, lag(is_on, 1, false) OVER (ORDER BY d) AS was_on FROM flags)
+SELECT CAST(d AS VARCHAR) AS "date", 'drift_detected' AS alert FROM turns WHERE is_on AND NOT was_on"""
+
 ORACLES: dict[str, str] = {
     "medallion_flagship": f"WITH {_GOLD} SELECT * FROM gold",
     "medallion_tables": _LAYER_COUNTS,
@@ -366,8 +385,9 @@ SELECT col AS "column", round(w, 6) AS wasserstein, round(normed, 6) AS wasserst
 SELECT col AS "column", round(js, 6) AS jensen_shannon FROM category_stats""",
     "drift_chi2": f"""WITH {_categorical(_CATEGORICAL)}
 SELECT col AS "column", round(chi2, 6) AS chi2 FROM category_stats""",
-    "drift_report": f"""WITH {_LINE_REPORT}
-SELECT "date", "column", kind, method, round(statistic, 6) AS statistic, threshold, drifted FROM report""",
+    "drift_report": _REPORTED,
+    "drift_profile_report": _REPORTED,
+    "drift_turns": _TURNS,
     "drift_small_reference": _SMALL,
     "drift_dataset_flag": f"WITH {_LINE_REPORT},{_DATA_FLAG} SELECT * FROM data_flag",
     "target_drift_flag": f"WITH {_TARGET_FLAG} SELECT * FROM target_flag",

@@ -20,6 +20,7 @@ from tideline.operators.expectations import ExpectationFailed, row_count_verdict
 from tideline.operators.gold import correct_score, to_gold
 from tideline.operators.metrics import rmse, target_profile
 from tideline.operators.model import FOREST_SPACE, feature_importance, indexer, score, train, tune
+from tideline.operators.profile import add_to_profile, report_against, write_profile
 from tideline.operators.runs import latest_model, newest_per_group
 from tideline.operators.sampling import bernoulli_sample, hash_sample, hash_split, random_split, with_split
 from tideline.operators.skew import append_variants, blank_to_null, skew_numeric
@@ -644,6 +645,15 @@ def drift_column_report(spark, sf_dir):
     return _line_report(spark, sf_dir).withColumn("statistic", F.round("statistic", 6))
 
 
+def drift_profile_report(spark, sf_dir):
+    """The same report from a profile of the reference, stored in two parts, and a scan of the current rows."""
+    reference, current = _line_sides(spark, sf_dir)
+    returned = F.col("l_returnflag") == "R"
+    profile = write_profile(reference.filter(returned), new_folder(spark, "profile"))
+    profile = add_to_profile(profile, reference.filter(~returned), new_folder(spark, "profile"))
+    return report_against(profile, current, RUN_DATE).withColumn("statistic", F.round("statistic", 6))
+
+
 def drift_small_reference(spark, sf_dir):
     """Suppliers against customers by p-values, as suits a small reference."""
     nations = _table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
@@ -682,6 +692,19 @@ def drift_alerts(spark, sf_dir):
     return D.alerts(drift_dataset_flag(spark, sf_dir), _target_flag(spark, sf_dir))
 
 
+def drift_turns(spark, sf_dir):
+    """Flags of five days against a stored profile, kept in a table by date, and the days on which one turns true."""
+    events = _events(spark, sf_dir).select("ts", "event_type")
+    profile = write_profile(events.filter(_MIDDLE).drop("ts"), new_folder(spark, "profile"))
+    settings = D.DriftSettings(distance_threshold=0.045)
+    name = f"default.flag_history_{uuid.uuid4().hex}"
+    for day in ("2024-01-18", "2024-01-19", "2024-01-21", "2024-01-23", "2024-01-25"):
+        current = events.filter(F.to_date("ts") == F.lit(day)).drop("ts")
+        report = report_against(profile, current, day, settings=settings)
+        create_or_upsert(D.flag_rows(D.dataset_flag(report, settings=settings)), name, ["date", "alert"])
+    return D.turned_on(spark.table(name))
+
+
 def skewed_columns(spark, sf_dir):
     """Keys stay, every value is replaced by a finite one, and the draws follow the columns they were fitted to."""
     lines = _lines(spark, sf_dir).select(*LINE_KEYS, *MEASURES)
@@ -898,6 +921,8 @@ QUERIES: dict[str, Query] = {
     "drift_js": drift_js,
     "drift_chi2": drift_chi2,
     "drift_report": drift_column_report,
+    "drift_profile_report": drift_profile_report,
+    "drift_turns": drift_turns,
     "drift_small_reference": drift_small_reference,
     "drift_dataset_flag": drift_dataset_flag,
     "target_drift_flag": target_drift_flag,
