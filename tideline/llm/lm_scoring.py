@@ -106,8 +106,7 @@ def count_tokens(docs: DataFrame, text: str = "text", settings: Settings = Setti
 
     pairs = docs.select(F.col(text).cast("binary").alias("text")).mapInArrow(counted, "token string, n long")
     counts = written(pairs.groupBy("token").agg(F.sum("n").alias("n")), "lm-counts")
-    top = counts.orderBy(F.desc("n"), "token").limit(settings.dictionary).collect()
-    known = {r["token"].encode(): r["n"] for r in top}
+    known = {r["token"].encode(): r["n"] for r in _most_frequent(counts, settings.dictionary).collect()}
     ends = docs.count()
     tail_tokens, tail_types = np.zeros(settings.tails), np.zeros(settings.tails)
     total, types = ends, int(ends > 0)
@@ -121,6 +120,20 @@ def count_tokens(docs: DataFrame, text: str = "text", settings: Settings = Setti
     return Lexicon(settings, counts, known, ends, total, types, tail_tokens, tail_types)
 
 
+def _most_frequent(counts: DataFrame, rows: int) -> DataFrame:
+    """The `rows` tokens of the largest counts, ties by token. A histogram of the counts, a few hundred rows, first says
+    which counts cannot be among them, so that no task sends on tokens of others."""
+    bucket = F.floor(F.log2("n") * 8)
+    sizes = {r["b"]: r["size"] for r in counts.groupBy(bucket.alias("b")).agg(F.count("*").alias("size")).collect()}
+    least, held = None, 0
+    for b in sorted(sizes, reverse=True):
+        least, held = b, held + sizes[b]
+        if held >= rows:
+            break
+    some = counts if least is None else counts.filter(bucket >= least)
+    return some.orderBy(F.desc("n"), "token").limit(rows)
+
+
 _ENCODED = (
     "row long, id {id}, learns boolean, ids array<short>, n_tokens long, n_known long, base double, fixed double, "
     "outside array<string>, times array<int>"
