@@ -19,6 +19,7 @@ def test_blocks():
     assert texts("<div>x</b></i></div>&amp; cut &a <p") == ["x", "& cut &a"]
     assert texts("<style>p{}</style><title>T</title><textarea>no</textarea>y<!-- open") == ["y"]
     assert parse("<title>a\n b</title>").title == "a b"
+    assert texts("<p>a</p><noscript><p>Enable JavaScript.</p></noscript>b") == ["a", "b"]
     assert texts("<div>" * 5000 + "deep" + "</div>" * 5000) == ["deep"]
     assert len(texts("<p>w w w</p>" * 20_000)) == 20_000
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 _ATTRIBUTES = r"""((?:[^>"']|"[^"]*"|'[^']*')*+)"""
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(script|style|template|svg|math|iframe|object|textarea|select|title)\b{_ATTRIBUTES}>(.*?)(?:</\1\s*>|\Z)"
+    rf"|<(script|style|template|svg|math|iframe|object|noscript|textarea|select|title)\b{_ATTRIBUTES}>(.*?)(?:</\1\s*>|\Z)"
     rf"|<(/?)([a-zA-Z][^\s/>]*+){_ATTRIBUTES}>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>"
     r"|<[!?/][^>]*(?:>|\Z)"
