@@ -1,7 +1,7 @@
 """Toxicity by the difference in compressed length under a dictionary of toxic and one of ordinary text."""
 
 from collections.abc import Iterator, Sequence
-from itertools import islice
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -13,18 +13,28 @@ from pyspark.sql import types as T
 
 from tideline.llm.common import hash_fraction
 
-#: The fit reads about this many toxic and ordinary documents, none longer than this many characters.
-FIT_TOXIC, FIT_ORDINARY, FIT_CHARS = 1500, 3000, 30_000
-#: Words of a window, bytes that stand for a word in it, and the words of the part that both dictionaries share. Half
-#: of the bytes stand for the word's first STEM bytes, half for the whole word.
-WINDOW, CODE, STEM, SHARED_WORDS = 16, 16, 4, 1500
-#: A word goes to a dictionary if it is this much likelier there (log odds), and if chance would put all documents that
-#: have it into that class with a probability below exp(-SURE). Copies of a document count once.
-LOG_ODDS, SURE, MOST_WORDS = 3.0, 9.0, 4000
+#: The fit reads about this many toxic and ordinary documents. Of a text of more than this many characters it reads
+#: that many at most, in pieces from all over it.
+FIT_TOXIC, FIT_ORDINARY, FIT_CHARS, FIT_PIECES = 1500, 3000, 30_000, 10
+#: Words of a window that is compressed; words of the segments that a dictionary is made of (one, and sums of what there
+#: is), and the bytes of a word's beginning that is a segment too. Bytes of the parts of a dictionary: common text, ordinary
+#: words that a part of the toxic text could stand for, and what only its class has.
+WINDOW, SPANS, STEM, COMMON_BYTES, LIKE_BYTES, OWN_BYTES = 6, ((1, 1), (2, 1), (3, 3)), 5, 32768, 32768, 8192
+#: Bytes that a match costs, how many standard deviations a class' count of a segment is taken to be wrong, and how much
+#: more its use in the other class weighs than that in its own.
+MATCH, LEAST_MATCH, SURE, OTHER = 3, 6, 2.5, 2.0
+#: Share of the ordinary documents of the fit that may score THRESHOLD or more under dictionaries that don't know them.
+FALSE_ALARMS = 0.004
 COPY_WORDS = 5
 THRESHOLD = 0.7
-_REMEMBERED, _WORDS_AT_ONCE = 100_000, 1 << 18
+#: Parts of the fit's texts that are scored by dictionaries of the other parts.
+FOLDS = 8
+_BYTES_AT_ONCE, _HASH_BITS = 1 << 22, 24
 _TO_SPACE = bytes(b if chr(b).isalnum() or b >= 128 else 32 for b in range(256))
+#: Starts every window and ends both dictionaries, so that no window is too short to be compressed at all; and ends
+#: every window, as matches don't begin in the last bytes.
+_START = b"\0\1\2\3\4\5\6\7\x0e\x0f\x10\x11\x12\x13\x14\x15\x16\x17\x18\x19\x1a\x1b\x1c\x1d"
+_END = b"\x1e\x1f\x0b\x0c\x7f\x1a\x02\x11"
 
 
 def words_of(text: str) -> list[bytes]:
@@ -32,32 +42,27 @@ def words_of(text: str) -> list[bytes]:
     return text.lower().encode("utf-8", "surrogatepass").translate(_TO_SPACE).split()
 
 
-def stem_of(word: bytes) -> bytes:
-    return word[:STEM] + b"-"
+def windows_of(words: Sequence[bytes]) -> list[bytes]:
+    """The text of WINDOW words each, between blanks."""
+    return [b" %b " % b" ".join(words[i : i + WINDOW]) for i in range(0, len(words), WINDOW)]
 
 
-def _half(part: bytes) -> bytes:
-    return xxhash.xxh64_digest(part)
-
-
-def _code(word: bytes) -> bytes:
-    return _half(stem_of(word)) + _half(word)
+def _signature(words: Sequence[bytes]) -> int:
+    """The least hash of a run of COPY_WORDS words: near copies mostly agree in it, other documents hardly ever."""
+    last = max(1, len(words) - COPY_WORDS + 1)
+    return min(xxhash.xxh64_intdigest(b" ".join(words[i : i + COPY_WORDS])) for i in range(last))
 
 
 class CompressionScore:
-    """Two zstandard dictionaries and the logistic curve that turns their differences into a score.
+    """Two zstandard dictionaries of raw text and the logistic curve that turns their differences into a score.
 
-    Windows are written in codes of CODE bytes a word before they are compressed. Codes are incompressible but for
-    words and word stems the dictionary holds, so a window's length tells how many of them the dictionary knows, and no
-    chance match of a few letters blurs it. Both dictionaries begin with the same common words. What follows was
-    learned apart: words and stems much likelier in toxic documents, and those much likelier in ordinary ones.
+    Both end with the same segments of common text, where a match costs least, so common text is as short under either.
+    What stands before was taken from toxic documents in one and from ordinary documents in the other.
     """
 
-    def __init__(self, shared: Sequence[bytes], toxic: Sequence[bytes], ordinary: Sequence[bytes]):
-        base = b"".join(map(_code, shared))
-        toxic, ordinary = (b"".join(map(_half, parts)) for parts in (toxic, ordinary))
+    def __init__(self, common: bytes, toxic: bytes, ordinary: bytes):
         size = max(len(toxic), len(ordinary))
-        self._content = tuple(base + b"\0" * (size - len(own)) + own for own in (toxic, ordinary))
+        self._content = tuple(b" " * (size - len(own)) + own + common + _START for own in (toxic, ordinary))
         self.weights = np.zeros(4)
         self._open()
 
@@ -69,16 +74,12 @@ class CompressionScore:
         self._open()
 
     def _open(self) -> None:
-        self._codes: dict[bytes, bytes] = {}
+        settings = zstandard.ZstdCompressionParameters(
+            window_log=17, hash_log=16, chain_log=16, search_log=5, min_match=LEAST_MATCH, target_length=16,
+            strategy=zstandard.STRATEGY_LAZY2, write_content_size=False, write_dict_id=False,
+        )
         self._compressors = []
         for content in self._content:
-            settings = zstandard.ZstdCompressionParameters(
-                window_log=17, hash_log=15, chain_log=15, search_log=3, min_match=6, target_length=16,
-                strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_dict_id=False,
-            )
-            if len(content) < 8:
-                self._compressors.append(zstandard.ZstdCompressor(compression_params=settings))
-                continue
             known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self._compressors.append(zstandard.ZstdCompressor(compression_params=settings, dict_data=known))
 
@@ -86,37 +87,26 @@ class CompressionScore:
         """For each text, by how many bytes each window is shorter under the toxic dictionary."""
         block, size = [], 0
         for text in texts:
-            block.append(words_of(text) if text else [])
-            size += len(block[-1])
-            if size >= _WORDS_AT_ONCE:
+            block.append(windows_of(words_of(text)) if text else [])
+            size += len(text or "")
+            if size >= _BYTES_AT_ONCE:
                 yield from self._block(block)
                 block, size = [], 0
         yield from self._block(block)
 
     def _block(self, docs: list[list[bytes]]) -> Iterator[np.ndarray]:
-        if len(self._codes) > _REMEMBERED:
-            self._codes.clear()
-        codes = self._codes
-        for words in docs:
-            for word in set(words):
-                if word not in codes:
-                    codes[word] = _code(word)
-        count = np.fromiter((-(-len(words) // WINDOW) for words in docs), np.int64, len(docs))
-        data = b"".join(codes[w] for words in docs for w in words)
-        length = np.full(int(count.sum()), WINDOW * CODE, np.uint64)
-        for i, last in enumerate((np.cumsum(count) - 1).tolist()):
-            if len(docs[i]) % WINDOW:
-                length[last] = len(docs[i]) % WINDOW * CODE
-        if not len(length):
+        windows = [_START + w + _END for doc in docs for w in doc]
+        if not windows:
             yield from (np.zeros(0, np.int64) for _ in docs)
             return
-        start = np.cumsum(length) - length
-        windows = zstandard.BufferWithSegments(data, np.stack([start, length], axis=1).astype("<u8").tobytes())
+        length = np.fromiter(map(len, windows), np.uint64, len(windows))
+        place = np.stack([np.cumsum(length) - length, length], axis=1).astype("<u8")
+        data = zstandard.BufferWithSegments(b"".join(windows), place.tobytes())
         sizes = []
         for compressor in self._compressors:
-            out = compressor.multi_compress_to_buffer(windows, threads=0)
+            out = compressor.multi_compress_to_buffer(data, threads=0)
             sizes.append(np.fromiter((len(out[i]) for i in range(len(out))), np.int64, len(out)))
-        yield from np.split(sizes[1] - sizes[0], np.cumsum(count)[:-1])
+        yield from np.split(sizes[1] - sizes[0], np.cumsum([len(doc) for doc in docs])[:-1])
 
     def features(self, texts: Sequence[str | None]) -> np.ndarray:
         """Per text: 1, the greatest gain of a window, the gain of all windows (log), and that gain per window."""
@@ -127,7 +117,11 @@ class CompressionScore:
         return np.array(rows).reshape(-1, 4)
 
     def calibrate(self, features: np.ndarray, toxic: np.ndarray) -> None:
-        """Ridge logistic regression of the labels on the features, by Newton's method; both classes weigh the same."""
+        """Ridge logistic regression of the labels on the features, by Newton's method; both classes weigh the same.
+
+        The curve is then moved so that THRESHOLD leaves FALSE_ALARMS of the ordinary texts above it, and no text
+        without a gain.
+        """
         x, y = features, np.asarray(toxic, dtype=float)
         if not len(y):
             self.weights = np.zeros(4)
@@ -142,73 +136,139 @@ class CompressionScore:
             w += step
             if np.abs(step).max() < 1e-8:
                 break
+        no_gain = w[0]
+        scores = np.sort(x[y == 0] @ w)[::-1]
+        if len(scores) and np.abs(w[1:]).max() > 0:
+            w[0] += np.log(THRESHOLD / (1 - THRESHOLD)) - max(no_gain, scores[int(FALSE_ALARMS * len(scores))]) - 1e-6
         self.weights = w
 
     def score(self, texts: Sequence[str | None]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.features(texts) @ self.weights, -30, 30)))
 
 
-def _signature(words: Sequence[bytes]) -> int:
-    """The least hash of a run of COPY_WORDS words: near copies mostly agree in it, other documents hardly ever."""
-    last = max(1, len(words) - COPY_WORDS + 1)
-    return min(xxhash.xxh64_intdigest(b" ".join(words[i : i + COPY_WORDS])) for i in range(last))
+@dataclass
+class _Segments:
+    """Keys of the segments of documents, in how many documents of each cell a segment is, and one place of each.
+
+    A cell is a class and a fold of the documents. Documents of one class and signature count once: near
+    copies of one text would make its rare words look telling.
+    """
 
+    count: np.ndarray
+    documents: np.ndarray
+    place: np.ndarray
+    words: list[list[bytes]]
 
-def _parts(text: str, number: dict[bytes, int]) -> tuple[int, np.ndarray]:
-    """Signature of a text and the numbers of its words and stems; new ones are added to `number`."""
-    words = words_of(text)
-    if not words:
-        return 0, np.zeros(0, np.int32)
-    parts = {*words, *map(stem_of, words)}
-    return _signature(words), np.fromiter((number.setdefault(p, len(number)) for p in sorted(parts)), np.int32, len(parts))
+    def text(self, i: int) -> bytes:
+        doc, start, span = self.place[i].tolist()
+        if span:
+            return b" %b " % b" ".join(self.words[doc][start : start + span])
+        return b" " + self.words[doc][start][:STEM]
 
 
-def _documents_with(parts: Sequence[tuple[int, np.ndarray]], size: int) -> tuple[np.ndarray, int]:
-    """In how many documents each word and stem is, and how many there are. Documents of one signature count once: near
-    copies of one text would make its rare words look telling."""
-    seen: dict[int, np.ndarray] = {}
-    for signature, own in parts:
-        if len(own):
-            seen[signature] = np.union1d(seen[signature], own) if signature in seen else own
-    return np.bincount(np.concatenate([np.zeros(0, np.int32), *seen.values()]), minlength=size), len(seen)
+def _mixed(a: np.ndarray) -> np.ndarray:
+    a = (a ^ (a >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return a ^ (a >> np.uint64(29))
 
 
-def _dictionaries(toxic: Sequence[tuple], ordinary: Sequence[tuple], names: Sequence[bytes]) -> CompressionScore:
-    (bad, bads), (good, goods) = _documents_with(toxic, len(names)), _documents_with(ordinary, len(names))
+def _keys(words: list[bytes], number: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and places (first word, words; 0 words: the beginning of one) of the distinct segments of a text."""
+    at = [np.fromiter((number.setdefault(part, len(number)) for part in parts), np.uint64, len(words))
+          for parts in (words, (b" " + w[:STEM] for w in words))]
+    span = {1: _mixed(at[0] + np.uint64(1))}
+    for left, right in SPANS:
+        first, then = span[left][: len(words) - left - right + 1], span[right][left:]
+        span[left + right] = _mixed(first[: len(then)] * np.uint64(0xD6E8FEB86659FD93) + then)
+    found = [(0, _mixed(at[1] + np.uint64(1))), *span.items()]
+    keys = np.concatenate([k for _, k in found])
+    place = np.concatenate([np.stack([np.arange(len(k)), np.full(len(k), w)], axis=1) for w, k in found])
+    keys, first = np.unique(keys, return_index=True)
+    return keys, place[first]
 
-    def telling(own: np.ndarray, n: int, other: np.ndarray, m: int) -> list[bytes]:
-        if not n or not m:
-            return []
-        odds = np.log((own + 0.1) / (n + 0.2)) - np.log((other + 0.1) / (m + 0.2))
-        some = np.flatnonzero((own >= SURE / np.log((n + m) / n)) & (odds >= LOG_ODDS))
-        some = sorted(some.tolist(), key=lambda i: (-own[i], names[i]))[:MOST_WORDS]
-        return [names[i] for i in reversed(some)]  # the commonest last, where a match costs least
 
-    toxic_words, ordinary_words = telling(bad, bads, good, goods), telling(good, goods, bad, bads)
-    apart = {*toxic_words, *ordinary_words}
-    plain = (names[i] for i in np.argsort(-good, kind="stable").tolist() if good[i])
-    plain = (w for w in plain if w not in apart and stem_of(w) not in apart and not w.endswith(b"-"))
-    return CompressionScore(list(islice(plain, SHARED_WORDS))[::-1], toxic_words, ordinary_words)
+def _segments(words: list[list[bytes]], cell: np.ndarray, cells: int) -> _Segments:
+    number: dict[bytes, int] = {}
+    seen, single = set(), []
+    for i, own in enumerate(words):
+        signature = (_signature(own), int(cell[i]) * 2 // cells) if own else None
+        if signature is not None and signature not in seen:
+            seen.add(signature)
+            single.append(i)
+    # By key hash, in how many documents a segment is at most: most segments are rare, and are not kept.
+    at_most = np.zeros(1 << _HASH_BITS, dtype=np.uint16)
+    for i in single:
+        at_most[np.unique(_keys(words[i], number)[0] >> np.uint64(64 - _HASH_BITS))] += 1
+    keys, places = [np.zeros(0, np.uint64)], [np.zeros((0, 3), np.int32)]
+    for i in single:
+        key, place = _keys(words[i], number)
+        often = at_most[key >> np.uint64(64 - _HASH_BITS)] > SURE**2
+        keys.append(key[often])
+        places.append(np.insert(place[often], 0, i, axis=1).astype(np.int32))
+    of = cell[single]
+    key, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    code = inverse * cells + np.repeat(of, [len(k) for k in keys[1:]])
+    count = np.bincount(code, minlength=len(key) * cells).reshape(-1, cells)
+    often = count.sum(axis=1) > SURE**2  # others are not told from chance
+    return _Segments(count[often], np.bincount(of, minlength=cells), np.concatenate(places)[first[often]], words)
+
+
+def _content(segments: _Segments, worth: np.ndarray, size: int) -> bytes:
+    """The segments of the greatest worth times bytes saved, up to `size` bytes; the best last, where a match costs
+    least. A segment within one that is already there is not repeated."""
+    some = np.flatnonzero(worth > 0)
+    texts = [segments.text(i) for i in some]
+    order = sorted(range(len(some)), key=lambda j: (-worth[some[j]] * max(0, len(texts[j]) - MATCH), texts[j]))
+    content = b""
+    for j in order:
+        if len(content) + len(texts[j]) > size:
+            break
+        if texts[j] not in content:
+            content = texts[j] + content
+    return content
+
+
+def _resembling(segments: _Segments, some: np.ndarray, content: bytes) -> np.ndarray:
+    """Which of `some` are words that a part of `content` could stand for, as they have as many bytes in common as a
+    match takes."""
+    parts = {content[i : i + LEAST_MATCH] for i in range(len(content) - LEAST_MATCH + 1)}
+    found = np.zeros(len(some), dtype=bool)
+    for i in np.flatnonzero(some & (segments.place[:, 2] == 1)):
+        word = segments.text(i)
+        found[i] = any(word[j : j + LEAST_MATCH] in parts for j in range(len(word) - LEAST_MATCH + 1))
+    return found
+
+
+def _dictionaries(segments: _Segments, use: np.ndarray) -> CompressionScore:
+    """Dictionaries of the documents of the cells in `use`, an array of (class, fold).
+
+    A segment of a class is worth the bytes that it saves in a document of that class, less those that it saves in
+    the other one. The first are taken at their least and the others at their most, so that chance finds save nothing.
+    """
+    count = (segments.count.reshape(-1, *use.shape) * use).sum(axis=2)
+    documents = (segments.documents.reshape(use.shape) * use).sum(axis=1)
+    least = (count - SURE * np.sqrt(count)) / np.maximum(1, documents)
+    most = (count + SURE * np.sqrt(count) + SURE) / np.maximum(1, documents)
+    own = [_content(segments, least[:, c] - OTHER * most[:, 1 - c], OWN_BYTES) for c in (0, 1)]
+    ordinary, toxic = own if documents.all() else (b"", b"")
+    rate = count[:, 0] / max(1, documents[0])
+    like = _content(segments, rate * _resembling(segments, rate > 0, toxic), LIKE_BYTES)
+    return CompressionScore(_content(segments, rate, COMMON_BYTES) + like, toxic, ordinary)
 
 
 def train(texts: Sequence[str], toxic: Sequence[int]) -> CompressionScore:
     """Dictionaries from all texts. The curve is fitted to features of texts that the dictionaries did not see: each
-    third of the texts under dictionaries of the other two."""
+    fold of the texts under dictionaries of the others."""
     order = sorted(range(len(texts)), key=lambda i: (toxic[i], texts[i]))
-    number: dict[bytes, int] = {}
-    parts = [_parts(texts[i], number) for i in order]
-    names = list(number)
     label = np.array([int(bool(toxic[i])) for i in order], dtype=int)
-
-    def learned(use: np.ndarray) -> CompressionScore:
-        return _dictionaries(*([parts[i] for i in np.flatnonzero(use & (label == c))] for c in (1, 0)), names)
-
-    third = np.arange(len(order)) % 3
+    fold = np.arange(len(order)) % FOLDS
+    segments = _segments([words_of(texts[i]) for i in order], label * FOLDS + fold, 2 * FOLDS)
     features = np.zeros((len(order), 4))
-    for t in range(3):
-        own = np.flatnonzero(third == t)
-        features[own] = learned(third != t).features([texts[order[i]] for i in own])
-    model = learned(np.ones(len(order), dtype=bool))
+    for f in range(FOLDS):
+        own = np.flatnonzero(fold == f)
+        use = np.ones((2, FOLDS), dtype=int)
+        use[:, f] = 0
+        features[own] = _dictionaries(segments, use).features([texts[order[i]] for i in own])
+    model = _dictionaries(segments, np.ones((2, FOLDS), dtype=int))
     model.calibrate(features, label)
     return model
 
@@ -222,9 +282,11 @@ def fit(
     rows: tuple[int, int] = (FIT_TOXIC, FIT_ORDINARY),
     chars: int = FIT_CHARS,
 ) -> CompressionScore:
-    """A model from about rows[0] toxic and rows[1] ordinary documents of at most `chars` characters.
+    """A model from about rows[0] toxic and rows[1] ordinary documents. A longer text than `chars` characters teaches by
+    FIT_PIECES pieces from all over it that add up to `chars`.
 
-    Labels that are null are passed over; where a document has several, toxic wins. The ids are drawn first, by hash;
+    Null and empty texts and null ids teach nothing; a repeated row or copy counts once. No row gives a model that scores
+    every text alike. Labels that are null are passed over; where a document has several, toxic wins. The ids are drawn first, by hash;
     their number is bounded, so they are broadcast to the scan of the texts.
     """
     named = (
@@ -237,17 +299,24 @@ def fit(
         min(1.0, rows[1] / max(1, count.get(0, 0)))
     )
     drawn = named.filter(hash_fraction(["__id"], "toxic") < share)
+    size = chars // FIT_PIECES
+    step = ((F.length(text) - size) / (FIT_PIECES - 1)).cast("int")
+    pieces = F.concat_ws(" ", *(F.substring(F.col(text), step * i + 1, F.lit(size)) for i in range(FIT_PIECES)))
     read = (
-        docs.filter((F.length(text) > 0) & (F.length(text) <= chars))
+        docs.filter(F.length(text) > 0)
         .join(F.broadcast(drawn), F.col(id_column) == F.col("__id"))
-        .select(F.col(text).alias("text"), "__toxic")
+        .select(F.when(F.length(text) <= chars, F.col(text)).otherwise(pieces).alias("text"), "__toxic")
     )
     found = sorted((r["text"], r["__toxic"]) for r in read.toLocalIterator())
     return train([t for t, _ in found], [y for _, y in found])
 
 
 def toxicity(model: CompressionScore, docs: DataFrame, text: str = "text") -> Column:
-    """Score of the whole text of each row, from 0 to 1. Null, empty and wordless texts get the score of no gain."""
+    """Score of the whole text of each row, from 0 to 1. Null, empty and wordless texts get the score of no gain.
+
+    Every window of a text of any length is compressed. Equal texts get equal scores; an empty table gives no row. Only
+    the column `text` is read, so other columns may have any name.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of bounded size
 
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
