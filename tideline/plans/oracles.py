@@ -335,25 +335,38 @@ WHERE l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY l_orderkey HAVING c
         SELECT count(*) AS all_rows, 0::BIGINT AS strange_rows, 0::BIGINT AS repeated_rows, TRUE AS near_its_share
         FROM events""",
     "skew_numeric": """
-        SELECT count(*) AS all_rows, 0::BIGINT AS unfinished_rows, 0::BIGINT AS lost_keys, TRUE AS close_to_the_columns
+        SELECT count(*) AS all_rows, 0::BIGINT AS unfinished_rows, 0::BIGINT AS lost_keys, TRUE AS close_to_the_columns,
+          4::BIGINT AS columns_that_fire
         FROM lineitem""",
     "train_and_score": f"""
         SELECT {_split(*_LINE_KEYS.split(', '))} AS split, count(*) AS rows_scored, TRUE AS error_in_bounds
         FROM lineitem GROUP BY 1""",
     "feature_importance": """
-        SELECT name, TRUE AS in_range, TRUE AS whole, name = 'l_quantity' AS foremost
-        FROM (VALUES ('l_returnflag_Index'), ('l_linestatus_Index'), ('l_quantity'), ('l_discount'), ('l_tax')) AS f(name)""",
+        SELECT name, idx, TRUE AS in_order, TRUE AS in_range, TRUE AS whole, name = 'l_quantity' AS foremost
+        FROM (VALUES ('l_returnflag_Index', 0), ('l_linestatus_Index', 1), ('l_quantity', 2), ('l_discount', 3),
+          ('l_tax', 4)) AS f(name, idx)""",
     "tune_forest": """
-        SELECT 'forest' AS run_name, kind, key, entries::BIGINT AS entries, TRUE AS as_declared
-        FROM (VALUES ('param', 'numTrees', 3), ('param', 'maxDepth', 3), ('metric', 'rmse_train', 3),
-          ('metric', 'rmse_validation', 3), ('test', 'rmse_test', 1)) AS log(kind, key, entries)""",
+        SELECT 'forest' AS run_name, kind, key, entries::BIGINT AS entries, TRUE AS as_declared, value::DOUBLE AS value
+        FROM (VALUES ('param', 'numTrees', 3, 1), ('param', 'numTrees', 6, 1), ('param', 'maxDepth', 10, 1),
+          ('param', 'maxDepth', 17, 1), ('metric', 'rmse_train', NULL, 2), ('metric', 'rmse_validation', NULL, 2),
+          ('test', 'rmse_test', NULL, 1)) AS log(kind, key, value, entries)""",
     "daily_scoring": f"""
-        WITH daily AS (SELECT * FROM lineitem WHERE {_split(*_LINE_KEYS.split(', '))} = 'test')
-        SELECT 'daily' AS item, count(*) AS value FROM daily
+        WITH daily AS (SELECT * FROM lineitem WHERE {_split(*_LINE_KEYS.split(', '))} = 'test'),
+        daily_sides AS (
+          SELECT l_returnflag, l_linestatus, l_quantity, l_discount, l_tax, TRUE AS of_reference FROM lineitem
+          UNION ALL
+          SELECT CASE l_returnflag WHEN 'A' THEN 'X' WHEN 'N' THEN NULL ELSE l_returnflag END, l_linestatus, l_quantity,
+            l_discount, l_tax, FALSE FROM daily),
+        {_numeric({"daily_sides": (["l_quantity", "l_discount", "l_tax"], "of_reference")})},
+        {_categorical({"daily_sides": (["l_returnflag", "l_linestatus"], "of_reference")})}
+        SELECT 'daily' AS item, count(*)::DOUBLE AS value FROM daily
         UNION ALL SELECT 'predicted', count(*) FROM daily WHERE l_returnflag = 'R'
         UNION ALL SELECT 'unseen', count(*) FROM daily WHERE l_returnflag <> 'R'
-        UNION ALL SELECT 'drift_detected', 1
-        UNION ALL SELECT 'model_drift_detected', 1""",
+        UNION ALL SELECT col, round(normed, 6) FROM numeric_stats
+        UNION ALL SELECT col, round(js, 6) FROM category_stats
+        UNION ALL SELECT 'drift_detected', (avg(drifted::INT) >= 0.5)::INT FROM (
+          SELECT normed >= 0.1 AS drifted FROM numeric_stats UNION ALL SELECT js >= 0.1 FROM category_stats)
+        UNION ALL SELECT 'target_verdicts', 1""",
     "stream_to_parquet": f"WITH {_LANDED} SELECT * FROM landed",
     "csv_scan_malformed": """
 SELECT o_orderkey, o_custkey,

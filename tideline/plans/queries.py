@@ -706,16 +706,22 @@ def drift_turns(spark, sf_dir):
 
 
 def skewed_columns(spark, sf_dir):
-    """Keys stay, every value is replaced by a finite one, and the draws follow the columns they were fitted to."""
+    """Keys stay, every value is replaced by a finite one, and the draws follow the columns they were fitted to.
+
+    Drift does not fire between a column and its draws, and does between a column and the draws of another one."""
     lines = _lines(spark, sf_dir).select(*LINE_KEYS, *MEASURES)
     skewed = skew_numeric(lines, LINE_KEYS, MEASURES)
     keys = lines.select(*LINE_KEYS).exceptAll(skewed.select(*LINE_KEYS))
     finite = reduce(lambda a, b: a & b, (F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")) for c in MEASURES))
     close = D.drift_statistics(lines, skewed, columns=MEASURES).agg(F.bool_and(F.col("ks") < 0.3).alias("close_to_the_columns"))
+    turned = skewed.select(*LINE_KEYS, *(F.col(c).alias(n) for c, n in zip(MEASURES[1:] + MEASURES[:1], MEASURES)))
+    fired = D.drift_report(lines.select(*MEASURES), turned.select(*MEASURES), RUN_DATE)
+    fired = fired.agg(F.count_if("drifted").alias("columns_that_fire"))
     return (
         skewed.agg(F.count(F.lit(1)).alias("all_rows"), F.count_if(~finite).alias("unfinished_rows"))
         .crossJoin(keys.agg(F.count(F.lit(1)).alias("lost_keys")))
         .crossJoin(close)
+        .crossJoin(fired)
     )
 
 
@@ -771,29 +777,44 @@ def _feature_lines(spark, sf_dir):
     return _lines(spark, sf_dir).select(*LINE_KEYS, *_FEATURES)
 
 
+def _charged_lines(spark, sf_dir):
+    """Lines with a price that follows from quantity, discount and tax; that of the table follows from none of them."""
+    charge = F.col("l_quantity") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    return _feature_lines(spark, sf_dir).withColumn("l_extendedprice", charge)
+
+
 def _line_parts(spark, sf_dir):
     return hash_split(_feature_lines(spark, sf_dir), LINE_KEYS, SPLIT)
 
 
+#: A forest that learned nothing has an error of one standard deviation of the target.
+ERROR_SHARE = 1 / 3
+
+
 def train_and_score(spark, sf_dir):
-    lines = with_split(_feature_lines(spark, sf_dir), LINE_KEYS, SPLIT)
+    """Rows scored of each part, and whether the error is below a third of the target's deviation."""
+    lines = with_split(_charged_lines(spark, sf_dir), LINE_KEYS, SPLIT)
     training = lines.filter("split = 'train'").select(*_FEATURES)
     model = train(training, "l_extendedprice", numTrees=5, maxDepth=8)
     scored = score(model, lines.select("split", *_FEATURES))
     spread = F.stddev_pop("l_extendedprice").alias("spread")
     parts = scored.groupBy("split").agg(F.count(F.lit(1)).alias("rows_scored"), spread)
     errors = rmse(scored, "l_extendedprice", by=["split"])
-    return parts.join(errors, "split").select("split", "rows_scored", F.col("rmse").between(0, 1.25 * F.col("spread")).alias("error_in_bounds"))
+    return parts.join(errors, "split").select("split", "rows_scored", F.col("rmse").between(0, ERROR_SHARE * F.col("spread")).alias("error_in_bounds"))
 
 
 def forest_feature_importance(spark, sf_dir):
     """Every feature has a score from 0 to 1, they sum to 1, and quantity tells most about the price."""
-    lines = _feature_lines(spark, sf_dir).select(*_FEATURES)
+    lines = _charged_lines(spark, sf_dir).select(*_FEATURES)
     model = train(lines, "l_extendedprice", numTrees=10, maxDepth=10)
     found = feature_importance(model, score(model, lines))
     everything = Window.partitionBy()
+    kept = Window.partitionBy().orderBy("place")
+    found = found.withColumn("place", F.monotonically_increasing_id())
     return found.select(
         "name",
+        "idx",
+        (F.coalesce(F.lag("score").over(kept), F.lit(1.0)) >= F.col("score")).alias("in_order"),
         F.col("score").between(0, 1).alias("in_range"),
         (F.abs(F.sum("score").over(everything) - 1) < 1e-6).alias("whole"),
         (F.col("score") == F.max("score").over(everything)).alias("foremost"),
@@ -801,8 +822,9 @@ def forest_feature_importance(spark, sf_dir):
 
 
 def tune_forest(spark, sf_dir):
-    """Two candidates from the full search space, their log, and the newest saved model scoring the test part."""
-    parts = {name: df.select(*_FEATURES) for name, df in _line_parts(spark, sf_dir).items()}
+    """Two candidates from the full search space with the values drawn, their log, and the newest saved model scoring
+    the test part."""
+    parts = {name: df.select(*_FEATURES) for name, df in hash_split(_charged_lines(spark, sf_dir), LINE_KEYS, SPLIT).items()}
     done = tune(
         parts["train"], parts["validation"], "l_extendedprice", evaluations=2, model_folder=new_folder(spark, "models")
     )
@@ -813,16 +835,19 @@ def tune_forest(spark, sf_dir):
     in_space = reduce(
         lambda a, b: a & b, (F.when(F.col("key") == k, F.col("value").between(*v)).otherwise(True) for k, v in bounds.items())
     )
-    logged = done.runs.groupBy("run_name", "kind", "key").agg(
+    trials = done.runs.filter("parent_id is not null").withColumn("drawn", F.when(F.col("kind") == "param", F.col("value")))
+    logged = trials.groupBy("run_name", "kind", "key", "drawn").agg(
         F.count(F.lit(1)).alias("entries"), F.bool_and(in_space & (F.col("value") > 0)).alias("as_declared")
     )
+    logged = logged.withColumnRenamed("drawn", "value")
     return logged.unionByName(
         tested.select(
             F.lit("forest").alias("run_name"),
             F.lit("test").alias("kind"),
             F.lit("rmse_test").alias("key"),
             F.lit(1).cast("long").alias("entries"),
-            F.col("rmse").between(0, 1.25 * F.col("spread")).alias("as_declared"),
+            F.col("rmse").between(0, ERROR_SHARE * F.col("spread")).alias("as_declared"),
+            F.lit(None).cast("double").alias("value"),
         )
     )
 
@@ -844,7 +869,9 @@ def newest_run_per_group(spark, sf_dir):
 
 
 def daily_scoring(spark, sf_dir):
-    """Train on one part, score another with unknown and null flags in it, capture those rows, flag drift."""
+    """Train on one part, score another with unknown and null flags in it, capture those rows, flag drift.
+
+    Row counts, the drift statistic of every column, the data set's flag, and the number of verdicts on the target."""
     parts = _line_parts(spark, sf_dir)
     training = parts["train"].select(*_FEATURES)
     model = train(training, "l_extendedprice", numTrees=5, maxDepth=8)
@@ -859,11 +886,17 @@ def daily_scoring(spark, sf_dir):
     reference = _feature_lines(spark, sf_dir).select(*_FEATURES)
     monitor(reference, daily, predictions, "l_extendedprice", tables=names, run_date=RUN_DATE)
     counts = row_count_verdicts({"daily": daily, "predicted": predictions, "unseen": spark.table(names.unseen)})
-    report = counts.select(F.col("layer").alias("item"), F.col("row_count").alias("value"))
-    for table, flag in ((names.data_drift_flag, "drift_detected"), (names.target_drift_flag, "model_drift_detected")):
-        flags = spark.table(table).filter(F.col("date") == RUN_DATE)
-        report = report.unionByName(flags.select(F.lit(flag).alias("item"), F.count(F.lit(1)).over(Window.partitionBy()).alias("value")))
-    return report
+    report = counts.select(F.col("layer").alias("item"), F.col("row_count").cast("double").alias("value"))
+    columns = spark.table(names.data_drift_report).filter(F.col("date") == RUN_DATE)
+    report = report.unionByName(columns.select(F.col("column").alias("item"), F.round("statistic", 6).alias("value")))
+    flags = spark.table(names.data_drift_flag).filter(F.col("date") == RUN_DATE)
+    report = report.unionByName(
+        flags.select(F.lit("drift_detected").alias("item"), F.col("drift_detected").cast("double").alias("value"))
+    )
+    judged = spark.table(names.target_drift_flag).filter(F.col("date") == RUN_DATE)
+    return report.unionByName(
+        judged.agg(F.count("model_drift_detected").cast("double").alias("value")).select(F.lit("target_verdicts").alias("item"), "value")
+    )
 
 
 QUERIES: dict[str, Query] = {
