@@ -66,3 +66,23 @@ def test_refined_summary_finds_the_exact_capacity(seed):
         sizes[rng.integers(len(sizes))] = 1000
     single = np.ones(len(sizes), bool)
     assert sharding.smallest_capacity(sizes, single, 5) == brute_capacity(sizes, 5)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_even_cuts_keep_the_capacity(seed):
+    rng = np.random.default_rng(seed)
+    sizes = rng.integers(1, 50, rng.integers(1, 60))
+    if seed % 3 == 0:
+        sizes[rng.integers(len(sizes))] = 1000
+    capacity = sharding.smallest_capacity(sizes, np.ones(len(sizes), bool), 8)
+    cuts = sharding.even_cuts(sizes, capacity, 8)
+    assert cuts[-1] == sizes.sum() and max(np.diff([0, *cuts])) == capacity == brute_capacity(sizes, 8)
+    assert set(cuts) <= {0, *np.cumsum(sizes).tolist()}
+
+
+@pytest.mark.parametrize("place", [0, 40, 100])
+def test_no_shard_is_empty_beside_a_heavy_group(place):
+    sizes = np.full(101, 7)
+    sizes[place] = 300
+    loads = np.diff([0, *sharding.even_cuts(sizes, 300, 8)])
+    assert loads.max() == 300 and loads.min() >= 80

@@ -62,6 +62,39 @@ def smallest_capacity(size: np.ndarray, single: np.ndarray, shards: int, divisib
     return low
 
 
+def _level(size: np.ndarray, shards: int) -> float:
+    """Mean of what shards get, those apart that a group above the mean takes by itself."""
+    while shards > 1 and len(size) and size.max() > (mean := size.sum() / shards):
+        heavy = size > mean
+        size, shards = size[~heavy], shards - int(heavy.sum())
+    return float(size.sum()) / max(1, shards)
+
+
+def even_cuts(size: np.ndarray, capacity: int, shards: int) -> list[int]:
+    """Where shards of at most `capacity` end, each as near as can be to the mean of what is left for it and the rest.
+
+    A cut is no earlier than the rest allows: filled from the end, the later shards must hold what follows.
+    """
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    starts = ends - size
+    least = [total]
+    for _ in range(shards - 1):
+        i = int(np.searchsorted(starts, least[-1] - capacity))
+        least.append(int(starts[i]) if i < len(starts) else total)
+    at, out = 0, []
+    for left in range(shards, 0, -1):
+        wanted = at + _level(size[starts >= at], left)
+        i = int(np.searchsorted(ends, wanted))
+        near = [int(e) for e in ends[max(0, i - 1) : i + 1] if e > at]
+        most = int(np.searchsorted(ends, at + capacity, side="right"))
+        reach = int(ends[most - 1]) if most else at
+        cut = min(near, key=lambda e: abs(e - wanted)) if near else at
+        at = max(at, min(max(cut, least[left - 1]), reach))
+        out.append(at)
+    return out
+
+
 def _to_split(s: Summary, shards: int) -> list[str]:
     """Bins that a cut may fall into, as far as the summary tells."""
     ends = np.cumsum(s.size)
@@ -113,7 +146,7 @@ def shard_starts(groups: DataFrame, shards: int) -> list[str]:
     ends = np.cumsum(s.size)
     capacity = smallest_capacity(s.size, s.single, shards)
     starts = []
-    for cut in _cuts(ends, s.single, capacity, shards, divisible=False)[:-1]:
+    for cut in even_cuts(s.size, capacity, shards)[:-1]:
         i = int(np.searchsorted(ends, cut, side="right")) if cut else 0
         starts.append(s.prefix[i] if i < len(ends) else "g")  # above every hex digit: the shard is empty
     return starts
@@ -127,8 +160,8 @@ def shard_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     """One row per document: the id, size, text_crc32, shard and slot.
 
     Documents of equal text form a group that stays together; groups are ordered by the md5 of their text. Shards are
-    contiguous in that order and of the smallest capacity that holds everything, so sizes are as equal as the groups
-    allow: a group heavier than the mean sets the capacity. Slots number a shard's documents from 0 without gaps, by
+    contiguous in that order and none is above the smallest capacity that holds everything; below it, each is cut near
+    the mean of what is left. A group heavier than the mean sets the capacity, and the others share the rest. Slots number a shard's documents from 0 without gaps, by
     (md5, id).
 
     Null text: size 1, CRC 0, a group of its own beside the empty text. Null ids come first within a group; equal rows
