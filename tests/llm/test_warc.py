@@ -85,3 +85,14 @@ def test_query_and_empty_table(spark):
     assert warc.derive(warc.response_records(pages.limit(0), "page_id", "url", "html", CRAWL_DATE), "page_id").collect() == []
     twice = warc.derive(warc.response_records(pages.limit(1).union(pages.limit(1)), "page_id", "url", "html", CRAWL_DATE), "page_id")
     assert twice.count() == 4 and twice.distinct().count() == 2
+
+
+def test_headers_are_preserved():
+    block = b"HTTP/1.1 200 OK\r\nSet-Cookie: a=1\r\nContent-Type: text/plain\r\nSet-Cookie: b=2;\r\n path=/\r\n\r\nx"
+    lines = ["WARC/1.1", "WARC-Type: response", "WARC-Record-ID: <urn:x>", "WARC-IP-Address: 1.2.3.4", "WARC-Concurrent-To: <urn:y>",
+             "WARC-Concurrent-To: <urn:z>", f"Content-Length: {len(block)}", "", ""]
+    meta, _ = warc.derivatives("\r\n".join(lines).encode() + block + b"\r\n\r\n")
+    fields = meta["record"].partition(b"\r\n\r\n")[2].decode().split("\r\n")
+    kept = [f for f in fields if f.startswith(("http-set-cookie", "source-warc"))]
+    assert kept == ["source-warc-ip-address: 1.2.3.4", "source-warc-concurrent-to: <urn:y>", "source-warc-concurrent-to: <urn:z>",
+                    "http-set-cookie: a=1", "http-set-cookie: b=2; path=/"]

@@ -18,6 +18,9 @@ _SCHEMA = (
     "record_type string, record_id string, refers_to string, target_uri string, date string, content_type string, "
     "content_length long, block_digest string, source_block_digest string, source_payload_digest string, record binary"
 )
+#: Source headers that the metadata record has under names of its own.
+_CARRIED = {"warc-type", "warc-record-id", "warc-target-uri", "warc-date", "warc-block-digest", "warc-payload-digest",
+            "content-type", "content-length"}
 _FIELDS = [part.split(" ")[0] for part in _SCHEMA.split(", ")]
 
 
@@ -36,28 +39,32 @@ def serialized(headers: Mapping[str, str | None], block: bytes) -> bytes:
     return "\r\n".join([VERSION, *lines, "", ""]).encode() + block + b"\r\n\r\n"
 
 
-def _headers(text: str) -> dict[str, str]:
-    """Header lines by lower-case name; a line that starts with white space goes on with the one before."""
-    found: dict[str, str] = {}
-    last = ""
+def _headers(text: str) -> list[tuple[str, str]]:
+    """Header lines in their order, names in lower case; a line that starts with white space goes on with the one before."""
+    found: list[tuple[str, str]] = []
     for line in text.split("\r\n"):
-        if line[:1] in (" ", "\t") and last:
-            found[last] += " " + line.strip()
+        if line[:1] in (" ", "\t") and found:
+            name, value = found.pop()
+            found.append((name, f"{value} {line.strip()}"))
         elif ":" in line:
-            last, _, value = line.partition(":")
-            last = last.strip().lower()
-            found.setdefault(last, value.strip())
+            name, _, value = line.partition(":")
+            found.append((name.strip().lower(), value.strip()))
     return found
 
 
-def read_record(record: bytes | None) -> tuple[dict[str, str], bytes] | None:
+def _firsts(headers: list[tuple[str, str]]) -> dict[str, str]:
+    """The first value of each name."""
+    return dict(reversed(headers))
+
+
+def read_record(record: bytes | None) -> tuple[list[tuple[str, str]], bytes] | None:
     """(headers, block) of a record, or None if it isn't a whole one."""
     head, blank, rest = (record or b"").partition(b"\r\n\r\n")
     text = head.decode("utf-8", "replace")
     if not blank or not text.startswith("WARC/"):
         return None
     headers = _headers(text.partition("\r\n")[2])
-    size = headers.get("content-length", "")
+    size = _firsts(headers).get("content-length", "")
     if not size.isdecimal() or int(size) > len(rest):
         return None
     return headers, rest[: int(size)]
@@ -76,17 +83,19 @@ def derivatives(record: bytes | None) -> list[dict]:
     """The records derived from a response: metadata, and for HTML and plain text a conversion.
 
     Both name the response in WARC-Refers-To and repeat its target URI and date. The metadata block keeps the
-    response's digests, computed if its headers have none, and its HTTP status and headers. The conversion is the text
+    response's digests, computed if its headers have none, all its other headers, and its HTTP status and headers, each
+    in their order and repeated ones as often as they are there. The conversion is the text
     of all blocks of the page, one per line. Anything but a whole response record gives none.
     """
     read = read_record(record)
-    if read is None or read[0].get("warc-type") != "response":
+    if read is None or _firsts(read[0]).get("warc-type") != "response":
         return []
-    headers, block = read
+    every, block = read
+    headers = _firsts(every)
     head, _, payload = block.partition(b"\r\n\r\n")
     status, _, lines = head.decode("latin-1").partition("\r\n")
     http = _headers(lines)
-    kind = http.get("content-type", "application/octet-stream")
+    kind = _firsts(http).get("content-type", "application/octet-stream")
     source = headers.get("warc-record-id") or record_id("response", digest(block))
     uri, date = headers.get("warc-target-uri"), headers.get("warc-date")
     own_digest = headers.get("warc-block-digest") or digest(block)
@@ -98,7 +107,8 @@ def derivatives(record: bytes | None) -> list[dict]:
         ("source-content-length", str(len(block))),
         ("payload-length", str(len(payload))),
         ("http-status", status),
-        *((f"http-{name}", value) for name, value in http.items()),
+        *((f"source-{name}", value) for name, value in every if name not in _CARRIED),
+        *((f"http-{name}", value) for name, value in http),
     ]
     if "html" in kind.lower():
         page = parse(payload.decode(_charset(kind), "replace"))
