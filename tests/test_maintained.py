@@ -1,0 +1,161 @@
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.test_ingest import deliver, feed
+from tideline.operators.clean import to_silver
+from tideline.operators.expectations import ExpectationFailed, rules
+from tideline.operators.upsert import row_changes, upsert
+from tideline.plans import maintained as M
+from tideline.plans.medallion import Layers, layers
+from tideline.schemas import LINEAGE
+from tideline.sources import buckets as B
+from tideline.sources import counted as C
+from tideline.sources.files import VERSION
+from tideline.sources.ingest import bronze, committed, land
+from tideline.workspace import delete_folder
+
+SETTINGS = Layers(["price", "k"], "composite", "price", (VERSION, LINEAGE), [], [])
+
+
+def content(df):
+    return sorted((tuple(r) for r in df.select(*sorted(df.columns)).collect()), key=repr)
+
+
+def same_as_recomputed(spark, f, folder, settings=SETTINGS):
+    made, wanted = M.maintain_layers(spark, f, folder, settings, 4), layers(bronze(spark, f, folder), settings)
+    for layer in ("bronze", "silver", "gold"):
+        assert content(made[layer]) == content(wanted[layer]), layer
+    return made
+
+
+def files(folder):
+    return {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{folder}/*/*.parquet")}
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_changes_are_what_the_upsert_does(spark, small):
+    target = spark.createDataFrame([(1, 5, "a"), (1, 5, "a"), (2, 5, "b"), (3, 9, "c"), (None, 1, "n")], "k int, v int, t string")
+    updates = spark.createDataFrame([(1, 6), (2, 4), (3, 9), (7, 1), (None, 2)], "k int, v int")
+    for newer in (None, "v"):
+        changes = row_changes(target, updates, ["k"], newer, small)
+        counts = target.withColumn("_change", F.lit(1)).unionByName(changes).groupBy("k", "v", "t").agg(F.sum("_change").alias("n"))
+        result = upsert(target, updates, ["k"], newer_by=newer, small_updates=small).groupBy("k", "v", "t").agg(F.count("*").alias("n"))
+        assert content(counts.filter("n != 0")) == content(result)
+
+
+def test_layers_follow_the_deliveries(spark, tmp_path):
+    """Rows that become incomplete, blank or malformed leave; copies that differ in lineage alone; late deliveries."""
+    landing, folder = str(tmp_path / "landing"), str(tmp_path / "table")
+    f = feed(landing)
+    deliver(landing, 1, ["1,1.0,a", "1,1.0,a", "2,2.0,b", "3,-0.0,z", ",3.0,none", "x,4.0,bad", "5,5.0, "])
+    land(spark, f, folder)
+    same_as_recomputed(spark, f, folder)
+    deliver(landing, 5, ["1,1.0,a", "2,,b", "4,4.0,d", "5,5.0,e", "9,oops,bad"])
+    deliver(landing, 6, ["3,0.0,z", "4,4.0, "])
+    land(spark, f, folder)
+    made = same_as_recomputed(spark, f, folder)
+    assert {r.k: r[VERSION] for r in made["silver"].collect()} == {1: 5, 3: 6, 5: 5}
+    deliver(landing, 4, ["2,2.5,late", "6,6.0,f"])
+    land(spark, f, folder)
+    same_as_recomputed(spark, f, folder)
+    deliver(landing, 7, [f"{k},,gone" for k in range(1, 7)])
+    land(spark, f, folder)
+    assert same_as_recomputed(spark, f, folder)["gold"].collect() == []
+    deliver(landing, 8, ["2,8.0,back"])
+    land(spark, f, folder)
+    same_as_recomputed(spark, f, folder)
+    assert committed(spark, folder, "changes") == []
+    assert len(committed(spark, folder, "gold")) == 5
+    same_as_recomputed(spark, f, folder)
+
+
+def test_only_buckets_of_changed_rows_are_written(spark, tmp_path):
+    landing, folder = str(tmp_path / "landing"), str(tmp_path / "table")
+    f = feed(landing)
+    deliver(landing, 1, [f"{k},{k}.5,name" for k in range(200)])
+    land(spark, f, folder)
+    M.maintain_layers(spark, f, folder, SETTINGS, 16)
+    parts = {name: f"{folder}/{name}" for name in ("silver/counted", "silver/rows", "gold/rows")}
+    before = {name: files(path) for name, path in parts.items()}
+    deliver(landing, 2, ["7,70.0,name"])
+    land(spark, f, folder)
+    B.maintain_bronze(spark, f, folder, 16)
+    # The rest needs the changed rows, not bronze.
+    delete_folder(spark, f"{folder}/bucketed/rows")
+    M.maintain_silver(spark, f, folder, SETTINGS, 16)
+    M.maintain_gold(spark, f, folder, SETTINGS, 16)
+    for name, path in parts.items():
+        kept = before[name].items() & files(path).items()
+        assert len(before[name]) == 16 and 14 <= len(kept) < 16, name
+    gold = M.maintained(spark, f, folder, "gold", SETTINGS)
+    assert gold.count() == 200 and content(gold.filter("k = 7").select("price", "composite")) == [(77.0, 70.0)]
+
+
+@pytest.mark.parametrize("at", ["bucketed", "silver", "gold"])
+def test_a_run_that_dies_is_taken_up(spark, tmp_path, monkeypatch, at):
+    """It dies before a marker, then another delivery lands: nothing is counted twice, null keys neither."""
+    landing, folder = str(tmp_path / "landing"), str(tmp_path / "table")
+    f = feed(landing)
+    deliver(landing, 1, ["1,1.0,a", "1,1.0,a", "2,2.0,b"])
+    land(spark, f, folder)
+    same_as_recomputed(spark, f, folder)
+    deliver(landing, 2, ["1,1.0,a", "2,5.0,b", ",1.0,none", "3,3.0,c"])
+    land(spark, f, folder)
+    marker = B.commit_marker
+
+    def dies(session, path):
+        if f"/{at}/" in path:
+            raise RuntimeError("lost driver")
+        marker(session, path)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(B, "commit_marker", dies)
+        patched.setattr(M, "commit_marker", dies)
+        with pytest.raises(RuntimeError):
+            M.maintain_layers(spark, f, folder, SETTINGS, 4)
+    deliver(landing, 3, ["2,2.0,b", "1,9.0,a", ",7.0,none"])
+    land(spark, f, folder)
+    same_as_recomputed(spark, f, folder)
+    counted = spark.read.parquet(f"{folder}/silver/counted")
+    assert content(counted.filter("_copies != 0").select("k", "_copies")) == [(1, 2), (1, 3), (2, 1)]
+
+
+def test_counts_of_a_bucket_are_not_added_twice(spark, tmp_path):
+    state = C.CountedRows(str(tmp_path / "rows"), ["a"], 3)
+    rows = spark.createDataFrame([(a, 1, 1) for a in range(20)] + [(3, 1, 1)] * 50, "a int, _change int, commit long")
+    rows = rows.withColumn("commit", F.lit(2).cast("long"))
+    assert state.apply(rows, 2) == [0, 1, 2]
+    state.apply(rows, 2)
+    later = rows.withColumns({"commit": F.lit(3).cast("long"), "_change": F.lit(-1)})
+    state.apply(rows.filter("a = 3").unionByName(later.filter("a = 3").limit(50)), 3)
+    counts = {r.a: r._copies for r in spark.read.parquet(state.path).collect()}
+    assert counts == {a: 1 for a in range(20)}
+    assert state.apply(rows.limit(0), 4) == []
+
+
+def test_a_gate_leaves_gold_until_a_delivery_mends_it(spark, tmp_path):
+    landing, folder = str(tmp_path / "landing"), str(tmp_path / "table")
+    f = feed(landing)
+    gated = Layers(["price"], "composite", None, (VERSION, LINEAGE), [], rules({"price": "price < 100"}, action="fail"))
+    deliver(landing, 1, ["1,1.0,a", "2,2.0,b"])
+    land(spark, f, folder)
+    before = content(same_as_recomputed(spark, f, folder, gated)["gold"])
+    deliver(landing, 2, ["2,200.0,b", "3,3.0,c"])
+    land(spark, f, folder)
+    for _ in range(2):
+        with pytest.raises(ExpectationFailed):
+            M.maintain_layers(spark, f, folder, gated, 4)
+        assert content(M.maintained(spark, f, folder, "gold", gated)) == before
+    assert M.maintained(spark, f, folder, "silver", gated).count() == 3
+    deliver(landing, 3, ["2,20.0,b"])
+    land(spark, f, folder)
+    same_as_recomputed(spark, f, folder, gated)
+
+
+def test_before_the_first_delivery(spark, tmp_path):
+    made = M.maintain_layers(spark, feed(str(tmp_path)), str(tmp_path / "table"), SETTINGS)
+    assert all(df.collect() == [] for df in made.values())
+    assert made["gold"].columns[-1] == "price" and to_silver(made["silver"]).count() == 0

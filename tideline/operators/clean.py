@@ -33,6 +33,11 @@ def distinct_rows(df: DataFrame, lineage: Sequence[str] = ()) -> DataFrame:
     return newest.select(*(F.col(f"_newest.{c}").alias(c) if c in traced else F.col(c) for c in df.columns))
 
 
+def complete_rows(df: DataFrame, lineage: Sequence[str] = (), trim: bool = False) -> DataFrame:
+    """Rows without a null, NaN or blank."""
+    return drop_blank(drop_incomplete(df), trim, exclude=lineage)
+
+
 def to_silver(df: DataFrame, lineage: Sequence[str] = (), trim: bool = False) -> DataFrame:
     """Filters first, so that only good rows are shuffled for the deduplication."""
-    return distinct_rows(drop_blank(drop_incomplete(df), trim, exclude=lineage), lineage)
+    return distinct_rows(complete_rows(df, lineage, trim), lineage)

@@ -128,3 +128,34 @@ def upsert(
         .unionByName(updates.filter(~keyed), allowMissingColumns=True)
         .select(*target.columns)
     )
+
+
+def row_changes(
+    target: DataFrame,
+    updates: DataFrame,
+    keys: Sequence[str],
+    newer_by: str | None = None,
+    small_updates: bool = False,
+    change: str = "_change",
+) -> DataFrame:
+    """What `upsert` does to the target, row by row: those that go with -1 in `change`, those that come with 1.
+
+    The target's columns and `change`. Adding the changes to the copies of the target's rows gives the copies of the
+    result's rows. An update that replaces several rows of one key comes as often as it replaces.
+    """
+    keys = list(keys)
+    keyed, replaced = all_not_null(keys), set(updates.columns) - set(keys)
+    keyed_target, keyed_updates = target.filter(keyed), updates.filter(keyed)
+    sent = F.broadcast if small_updates else lambda df: df
+    packed = keyed_updates.select(*keys, F.struct(*updates.columns).alias("_update"))
+    met = keyed_target.join(sent(packed), keys)
+    if newer_by:
+        met = met.filter(F.coalesce(F.col(f"_update.{newer_by}") >= F.col(newer_by), F.lit(True)))
+    old = [F.col(c) for c in target.columns]
+    new = [F.col(f"_update.{c}").alias(c) if c in replaced else F.col(c) for c in target.columns]
+    both = F.array(F.struct(*old, F.lit(-1).alias(change)), F.struct(*new, F.lit(1).alias(change)))
+    present = keyed_target.select(*keys)
+    if small_updates:
+        present = present.join(F.broadcast(keyed_updates.select(*keys)), keys, "left_semi")
+    come = keyed_updates.join(sent(present.distinct()), keys, "left_anti").unionByName(updates.filter(~keyed))
+    return met.select(F.inline(both)).unionByName(come.withColumn(change, F.lit(1)), allowMissingColumns=True)

@@ -60,14 +60,14 @@ class Layers:
     gold_rules: Sequence[Rule] = field(default_factory=lambda: list(GOLD_RULES))
 
 
-def _well_formed(bronze: DataFrame) -> DataFrame:
+def well_formed(bronze: DataFrame) -> DataFrame:
     """Bronze from files keeps malformed lines for inspection; they end there."""
     return bronze.filter(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in bronze.columns else bronze
 
 
 def layers(bronze: DataFrame, settings: Layers = Layers()) -> dict[str, DataFrame]:
     """Silver and gold as pure transformations of bronze."""
-    silver = to_silver(_well_formed(bronze), settings.lineage)
+    silver = to_silver(well_formed(bronze), settings.lineage)
     gold = to_gold(silver, settings.scores, settings.composite, settings.target)
     return {"bronze": bronze, "silver": silver, "gold": gold}
 
@@ -102,7 +102,7 @@ def _refine(
     def folder(layer: str) -> str | None:
         return f"{root.rstrip('/')}/{tables[layer].split('.')[-1]}-{uuid.uuid4().hex}" if root else None
 
-    silver = to_silver(_well_formed(spark.table(tables["bronze"])), settings.lineage)
+    silver = to_silver(well_formed(spark.table(tables["bronze"])), settings.lineage)
     publish(silver, tables["silver"], (), "complete, non-blank, distinct rows", folder("silver"), root is None)
     gold = to_gold(spark.table(tables["silver"]), settings.scores, settings.composite, settings.target)
     return publish(

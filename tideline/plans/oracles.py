@@ -302,6 +302,9 @@ WHERE l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY l_orderkey HAVING c
     "create_or_upsert": _LATEST_EVENTS,
     "incremental_ingest": _INGESTED,
     "bucketed_ingest": _INGESTED,
+    "maintained_gold": f"""SELECT o_orderkey, o_custkey, o_orderpriority, ingest_version,
+        o_totalprice + o_custkey::DOUBLE AS composite, o_totalprice
+        FROM ({_INGESTED}) WHERE o_orderpriority != '1-URGENT' OR o_orderkey % 3 != 0""",
     "stream_upsert": _INGESTED,
     "ingest_late_delivery": _INGESTED,
     "ingest_long_versions": f"""SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority,

@@ -27,6 +27,7 @@ from tideline.operators.skew import append_variants, blank_to_null, skew_numeric
 from tideline.operators.unseen import scorable_rows, unscorable_rows, unseen_by_category, unseen_rows
 from tideline.operators.upsert import ambiguous_matches, is_small, latest_per_key, upsert
 from tideline.plans.daily import DailyTables, monitor, score_daily
+from tideline.plans.maintained import maintain_layers
 from tideline.plans.medallion import Layers, layers, publish_layers, run_external, run_internal
 from tideline.schemas import LINEAGE
 from tideline.sources.buckets import BucketedTable, maintain_bronze
@@ -330,13 +331,16 @@ _ORDER_FILE = T.StructType(
 )
 
 
-def _landed_orders(spark, sf_dir) -> str:
+def _landed_orders(spark, sf_dir, price: Column | None = None) -> str:
     """One delivery per order year, then urgent orders of each year again at a new price: versions 1 to 14."""
     orders = _table(spark, sf_dir, "orders").select(
         *_ORDER_FILE.names, (F.year("o_orderdate") - 1994).alias("delivery")
     )
     again = orders.filter("o_orderpriority = '1-URGENT'").withColumns(
-        {"delivery": F.col("delivery") + 7, "o_totalprice": F.col("o_totalprice") + 100}
+        {
+            "delivery": F.col("delivery") + 7,
+            "o_totalprice": F.col("o_totalprice") + 100 if price is None else price,
+        }
     )
     folder = new_folder(spark, "landing")
     orders.unionByName(again).write.partitionBy("delivery").option("header", True).csv(folder)
@@ -368,6 +372,17 @@ def bucketed_ingest(spark, sf_dir):
     return kept.select(*_ORDER_FILE.names, VERSION)
 
 
+def maintained_gold(spark, sf_dir):
+    """Gold kept up over three runs of deliveries, some of which take the price away from rows that were in it."""
+    price = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice") + 100)
+    feed = _order_feed(_landed_orders(spark, sf_dir, price))
+    table, settings = new_folder(spark, "maintained"), replace(_ORDER_SETTINGS, lineage=(VERSION, LINEAGE))
+    for files in (8, 3, None):
+        land(spark, feed, table, max_files=files)
+        made = maintain_layers(spark, feed, table, settings, buckets=16)
+    return made["gold"].drop(LINEAGE)
+
+
 def bucketed_merge(spark, sf_dir):
     """A table of orders in key buckets, repriced ones and new keys merged in."""
     orders = _order_rows(spark, sf_dir)
@@ -925,6 +940,7 @@ QUERIES: dict[str, Query] = {
     "incremental_ingest": incremental_ingest,
     "bucketed_ingest": bucketed_ingest,
     "bucketed_merge": bucketed_merge,
+    "maintained_gold": maintained_gold,
     "ingest_late_delivery": ingest_late_delivery,
     "ingest_long_versions": ingest_long_versions,
     "malformed_update_keeps_row": malformed_update_keeps_row,

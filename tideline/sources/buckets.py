@@ -11,12 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.cleaning import all_not_null
-from tideline.operators.upsert import DuplicateKeys, ambiguous_matches, is_small, latest_per_key, upsert
+from tideline.operators.upsert import DuplicateKeys, ambiguous_matches, is_small, latest_per_key, row_changes, upsert
 from tideline.sources.files import CORRUPT, VERSION
 from tideline.sources.ingest import Feed, commit_marker, committed, delivered, first_version
 from tideline.workspace import child_names, delete_folder
 
 BUCKET = "_bucket"
+CHANGE = "_change"
 
 
 @dataclass(frozen=True)
@@ -61,12 +62,7 @@ class BucketedTable:
         """
         if number < 2:
             raise ValueError("merges are numbered from 2")
-        stored = updates.sparkSession.read.parquet(self.path)
-        # In the table's types, which the files and the hashes of the keys are of.
-        typed = {c: F.col(c).cast(stored.schema[c].dataType) for c in updates.columns if c in stored.columns}
-        placed = self._placed(updates.withColumns(typed), number, self._keyed(unkeyed))
-        hit = sorted(r[BUCKET] for r in placed.select(BUCKET).distinct().collect())
-        target = stored.filter(F.col(BUCKET).isin([b for b in hit if b >= 0]))
+        hit, target, placed = self._sides(updates, number, unkeyed)
         keyed = placed.filter(F.col(BUCKET) >= 0)
         clash = ambiguous_matches(target, keyed, self.keys).limit(5).collect()
         if clash:
@@ -75,6 +71,27 @@ class BucketedTable:
         self._write(merged.unionByName(placed.filter(F.col(BUCKET) < 0), allowMissingColumns=True))
         return hit
 
+    def changes(self, updates: DataFrame, unkeyed: Column | None = None, newer_by: str | None = None) -> DataFrame:
+        """The rows that a merge of these updates will take out and put in, with -1 and 1 in `_change`.
+
+        Reads the buckets the updates fall into. To be asked for, and written, before the merge.
+        """
+        _, target, placed = self._sides(updates, 1, unkeyed)
+        keyed, loose = placed.filter(F.col(BUCKET) >= 0), placed.filter(F.col(BUCKET) < 0)
+        found = row_changes(target, keyed, self.keys, newer_by, is_small(keyed), CHANGE)
+        return found.unionByName(loose.withColumn(CHANGE, F.lit(1)), allowMissingColumns=True).drop(BUCKET)
+
+    def _sides(
+        self, updates: DataFrame, number: int, unkeyed: Column | None
+    ) -> tuple[list[int], DataFrame, DataFrame]:
+        """The buckets hit, their rows, and the updates in the table's types with their buckets."""
+        stored = updates.sparkSession.read.parquet(self.path)
+        # In the table's types, which the files and the hashes of the keys are of.
+        typed = {c: F.col(c).cast(stored.schema[c].dataType) for c in updates.columns if c in stored.columns}
+        placed = self._placed(updates.withColumns(typed), number, self._keyed(unkeyed))
+        hit = sorted(r[BUCKET] for r in placed.select(BUCKET).distinct().collect())
+        return hit, stored.filter(F.col(BUCKET).isin([b for b in hit if b >= 0])), placed
+
     def _keyed(self, unkeyed: Column | None) -> Column:
         keyed = all_not_null(self.keys)
         return keyed if unkeyed is None else keyed & ~unkeyed
@@ -91,23 +108,46 @@ def maintain_bronze(spark: SparkSession, feed: Feed, table: str, buckets: int =
     holds the rows that `bronze` computes from the snapshot and the deliveries. The number of the last delivery merged
     is a marker file beside the buckets, created after the merge; a run that died before it is repeated. Once merged,
     a delivery's folder is not read again.
+
+    Before a merge moves anything, the rows it takes out and puts in are written as a change set under its number, for
+    what is maintained from bronze. A merge whose change set is complete is finished as it was begun, with the same
+    deliveries, before later ones are taken.
     """
     kept = BucketedTable(f"{table}/bucketed/rows", feed.keys, buckets)
-    merged = committed(spark, table, "bucketed")
-    since = [n for n in committed(spark, table, "deliveries") if n > max(merged, default=0)]
-    malformed = F.col(CORRUPT).isNotNull()
-    if since:
-        tail = delivered(spark, feed, table, since)
-        if not merged:
-            first = first_version(spark, table, since[0])
-            kept.create(delivered(spark, feed, table, since[:1]).filter(F.col(VERSION) == first), malformed)
-            begun = delivered(spark, feed, table, since[:1]).filter(F.col(VERSION) != first)
-            tail = begun if len(since) == 1 else begun.unionByName(delivered(spark, feed, table, since[1:]))
-        # Later versions of a key replace earlier ones first, so any number of deliveries is one merge.
-        updates = latest_per_key(tail.filter(~malformed), feed.keys, [VERSION]).unionByName(tail.filter(malformed))
-        if not tail.isEmpty():
-            kept.merge(updates, since[-1] + 1, malformed, newer_by=VERSION)
-        commit_marker(spark, f"{table}/bucketed/commit={since[-1]}")
+    done = max(committed(spark, table, "bucketed"), default=0)
+    for begun in [n for n in committed(spark, table, "changes") if n > done]:
+        _merge_since(spark, feed, table, kept, begun)
+    _merge_since(spark, feed, table, kept)
     if not kept.exists(spark):
         return spark.createDataFrame([], feed.stored)
     return kept.read(spark).select(*feed.stored.names)
+
+
+def _merge_since(spark: SparkSession, feed: Feed, table: str, kept: BucketedTable, upto: int | None = None) -> None:
+    """Merges the deliveries committed since the last merge, at most those up to a number."""
+    done = max(committed(spark, table, "bucketed"), default=0)
+    since = [n for n in committed(spark, table, "deliveries") if n > done and (upto is None or n <= upto)]
+    if not since:
+        return
+    tail, malformed = delivered(spark, feed, table, since), F.col(CORRUPT).isNotNull()
+    if not done:
+        first, begun = first_version(spark, table, since[0]), delivered(spark, feed, table, since[:1])
+        kept.create(begun.filter(F.col(VERSION) == first), malformed)
+        tail = begun.filter(F.col(VERSION) != first)
+        tail = tail if len(since) == 1 else tail.unionByName(delivered(spark, feed, table, since[1:]))
+    # Later versions of a key replace earlier ones first, so any number of deliveries is one merge.
+    updates = latest_per_key(tail.filter(~malformed), feed.keys, [VERSION]).unionByName(tail.filter(malformed))
+    changes, said = f"{table}/changes/commit={since[-1]}", since[-1] in committed(spark, table, "changes")
+    if done and not said:
+        kept.changes(updates, malformed, VERSION).write.mode("overwrite").parquet(changes)
+        commit_marker(spark, changes)
+    if not tail.isEmpty():
+        kept.merge(updates, since[-1] + 1, malformed, newer_by=VERSION)
+    if not done:
+        # The table began here, so all of it has come.
+        if kept.exists(spark):
+            kept.read(spark).withColumn(CHANGE, F.lit(1)).write.mode("overwrite").parquet(changes)
+        else:
+            spark.createDataFrame([], feed.stored).withColumn(CHANGE, F.lit(1)).write.mode("overwrite").parquet(changes)
+        commit_marker(spark, changes)
+    commit_marker(spark, f"{table}/bucketed/commit={since[-1]}")

@@ -66,7 +66,7 @@ def table_folder(root: str, name: str, test_mode: bool = False) -> str:
 
 
 def committed(spark: SparkSession, table: str, kind: str) -> list[int]:
-    """Numbers of the committed folders of a kind ("deliveries", "snapshots" or "bucketed"), ascending."""
+    """Numbers of the committed folders of a kind, such as "deliveries" or "snapshots", ascending."""
     marks = child_names(spark, f"{table}/{kind}/commit=*/{_MARKER}")
     return sorted(int(re.search(r"commit=(\d+)/", mark).group(1)) for mark in marks)
 
