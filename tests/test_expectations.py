@@ -12,6 +12,7 @@ from tideline.operators.expectations import (
     violation_counts,
 )
 from tideline.plans.medallion import BRONZE_RULES, DEV_GOLD_RULES, GOLD_RULES
+from tideline.sources.tables import publish_passing
 
 
 def test_bronze_counts_under_both_readings_of_null(spark):
@@ -71,3 +72,20 @@ def test_row_count_verdicts(spark, rows):
         ("silver", 1, False),
     ]
     assert row_count_verdicts(layers).filter(F.col("as_expected").isNull()).count() == 2
+
+
+def test_refused_rows_are_kept_beside_the_table(spark, rows):
+    df = spark.createDataFrame([(1, "a"), (2, None), (-3, None), (-4, "b"), (5, "a")], "v int, t string")
+    gate = [*rules({"positive": "v > 0", "named": "t IS NOT NULL"}, action="drop"), *rules({"small": "v < 5"})]
+    violations, refused = publish_passing(df, "passing_rows", gate)
+    assert violations == {"positive": 2, "named": 2, "small": 1}
+    assert rows(spark.table("passing_rows")) == [(1, "a"), (5, "a")] and spark.table("passing_rows").columns == ["v", "t"]
+    assert rows(refused) == [(-3, None, ["positive", "named"]), (-4, "b", ["positive"]), (2, None, ["named"])]
+    with pytest.raises(ExpectationFailed):
+        publish_passing(df, "passing_rows", rules({"large": "v > 3"}, action="fail"))
+    assert spark.table("passing_rows").count() == 2
+    for none, counts in ((df.filter("v < 0"), (0, 2)), (df.limit(0), (0, 0)), (df.filter("v = 1"), (1, 0))):
+        _, refused = publish_passing(none, "passing_rows", gate)
+        assert (spark.table("passing_rows").count(), refused.count()) == counts
+    with pytest.raises(ValueError):
+        publish_passing(df.withColumn("_refused", df.v), "passing_rows", gate)

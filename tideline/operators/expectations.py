@@ -73,6 +73,12 @@ def row_count_verdicts(layers: Mapping[str, DataFrame], expected: Mapping[str, i
     return report
 
 
+def with_violated(df: DataFrame, rule_list: list[Rule], name: str = "_violated", null_passes: bool = False) -> DataFrame:
+    """`df` with the names of the 'drop' rules that each row violates."""
+    names = (F.when(violates(r.predicate, null_passes), F.lit(r.name)) for r in rule_list if r.action == "drop")
+    return df.withColumn(name, F.array_compact(F.array(F.lit(None).cast("string"), *names)))
+
+
 def require(df: DataFrame, rule_list: list[Rule], null_passes: bool = False) -> DataFrame:
     """Counts now, and returns `df` only if no 'fail' rule is violated.
 

@@ -323,6 +323,14 @@ WHERE l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY l_orderkey HAVING c
         FROM ({_LAYER_COUNTS})""",
     "rejected_publish": f"""WITH {_SILVER}, violations AS ({_violations('dirty', 'fail')})
         SELECT rule, violations, (SELECT count(*) FROM silver) AS rows_kept FROM violations WHERE violations > 0""",
+    "refused_rows": f"""WITH {_DIRTY_ORDERS} SELECT *, concat_ws(',', {", ".join(
+        f"CASE WHEN NOT coalesce({predicate}, FALSE) THEN '{name}' END" for name, predicate in _RULES.items())})
+        AS violated FROM dirty""",
+    "stream_evolving": """SELECT o_orderkey, o_custkey, o_orderpriority,
+        CASE WHEN o_orderstatus != 'P' THEN o_totalprice END AS o_totalprice,
+        CASE WHEN o_orderstatus != 'F' THEN o_orderstatus END AS o_orderstatus,
+        CASE WHEN o_orderstatus = 'P' THEN '{"o_totalprice":"unknown"}' END AS _rescued_data,
+        CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END::BIGINT AS ingest_version FROM orders""",
     "internal_run": _LAYER_COUNTS,
     "external_run": f"""WITH merged AS ({_INGESTED}), clean AS ({_SILVER_ROWS})
         SELECT 'bronze' AS layer, count(*) AS row_count FROM merged

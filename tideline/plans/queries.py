@@ -33,7 +33,8 @@ from tideline.schemas import LINEAGE
 from tideline.sources.buckets import BucketedTable, maintain_bronze
 from tideline.sources.files import CORRUPT, VERSION, high_water_mark, scan_csv, with_lineage
 from tideline.sources.ingest import Feed, bronze, compact, expire, land
-from tideline.sources.tables import create_or_upsert, publish
+from tideline.sources.tables import create_or_upsert, publish, publish_passing
+from tideline.streaming.evolving import read_evolving, stream_evolving
 from tideline.streaming.files import file_stream, stream_deliveries, stream_to_table
 from tideline.workspace import new_folder
 
@@ -229,6 +230,14 @@ def rejected_publish(spark, sf_dir):
     return found.crossJoin(spark.table(name).agg(F.count(F.lit(1)).alias("rows_kept")))
 
 
+def refused_rows(spark, sf_dir):
+    """Orders behind rules that drop: the published rows, and the refused ones with the rules they violate."""
+    name = f"{_namespace(spark)}.orders"
+    _, refused = publish_passing(dirty_orders(spark, sf_dir), name, rules(_ORDER_PREDICATES, action="drop"))
+    named = refused.withColumn("violated", F.concat_ws(",", "_violated")).drop("_violated")
+    return spark.table(name).withColumn("violated", F.lit("")).unionByName(named)
+
+
 _ORDER_SETTINGS = Layers(["o_totalprice", "o_custkey"], "composite", "o_totalprice", bronze_rules=[], gold_rules=[])
 
 
@@ -509,6 +518,19 @@ def stream_to_parquet(spark, sf_dir):
     return spark.table(name).select(*_ORDER_FILE.names, VERSION)
 
 
+def stream_evolving_schema(spark, sf_dir):
+    """Two deliveries as a stream: the second has one more column, and prices that are no numbers."""
+    orders, landing, work = _table(spark, sf_dir, "orders"), new_folder(spark, "landing"), new_folder(spark, "evolving")
+    late = orders.filter("o_orderstatus != 'F'").select(*_ORDER_FILE.names, "o_orderstatus")
+    price = F.when(F.col("o_orderstatus") == "P", "unknown").otherwise(F.col("o_totalprice").cast("string"))
+    turns = [orders.filter("o_orderstatus = 'F'").select(*_ORDER_FILE.names), late.withColumn("o_totalprice", price)]
+    for number, rows in enumerate(turns, 1):
+        rows.write.option("header", True).csv(f"{landing}/delivery={number}")
+        places = f"{work}/rows", f"{work}/checkpoint"
+        stream_evolving(spark, landing, _ORDER_FILE, *places, pattern=DELIVERY_PATTERN).awaitTermination()
+    return read_evolving(spark, *places, _ORDER_FILE).drop(LINEAGE)
+
+
 def csv_scan_malformed(spark, sf_dir):
     folder = new_folder(spark, "malformed")
     _table(spark, sf_dir, "orders").select(
@@ -949,11 +971,13 @@ QUERIES: dict[str, Query] = {
     "stream_new_checkpoint": stream_new_checkpoint,
     "layer_row_verdicts": layer_row_verdicts,
     "rejected_publish": rejected_publish,
+    "refused_rows": refused_rows,
     "internal_run": internal_run,
     "external_run": external_run,
     "latest_model_run": latest_model_run,
     "stream_upsert": stream_upsert,
     "stream_to_parquet": stream_to_parquet,
+    "stream_evolving": stream_evolving_schema,
     "csv_scan_malformed": csv_scan_malformed,
     "csv_scan_strings": csv_scan_strings,
     "ingest_high_water_mark": ingest_high_water_mark,

@@ -137,6 +137,11 @@ def _merge_since(spark: SparkSession, feed: Feed, table: str, kept: BucketedTabl
         tail = tail if len(since) == 1 else tail.unionByName(delivered(spark, feed, table, since[1:]))
     # Later versions of a key replace earlier ones first, so any number of deliveries is one merge.
     updates = latest_per_key(tail.filter(~malformed), feed.keys, [VERSION]).unionByName(tail.filter(malformed))
+    if not tail.isEmpty():
+        # A merge reads its updates several times.
+        reduced = f"{table}/updates/commit={since[-1]}"
+        updates.write.mode("overwrite").parquet(reduced)
+        updates = spark.read.schema(feed.stored).parquet(reduced)
     changes, said = f"{table}/changes/commit={since[-1]}", since[-1] in committed(spark, table, "changes")
     if done and not said:
         kept.changes(updates, malformed, VERSION).write.mode("overwrite").parquet(changes)
@@ -151,3 +156,4 @@ def _merge_since(spark: SparkSession, feed: Feed, table: str, kept: BucketedTabl
             spark.createDataFrame([], feed.stored).withColumn(CHANGE, F.lit(1)).write.mode("overwrite").parquet(changes)
         commit_marker(spark, changes)
     commit_marker(spark, f"{table}/bucketed/commit={since[-1]}")
+    delete_folder(spark, f"{table}/updates")

@@ -6,9 +6,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.operators.expectations import ExpectationFailed, Rule, check_observed, observed
+from tideline.operators.expectations import ExpectationFailed, Rule, check_observed, observed, with_violated
 from tideline.operators.upsert import DuplicateKeys, ambiguous_matches, duplicate_keys, is_small, upsert
-from tideline.workspace import delete_folder, new_table_folder
+from tideline.workspace import create_folder, delete_folder, new_table_folder
 
 # Providers whose tables Spark can merge into row by row.
 MERGING_PROVIDERS = {"delta", "iceberg", "hudi"}
@@ -59,6 +59,35 @@ def publish(
     return violations
 
 
+VIOLATED = "_violated"
+
+
+def publish_passing(df: DataFrame, name: str, rules: Sequence[Rule]) -> tuple[dict[str, int], DataFrame]:
+    """Publishes the rows that violate no 'drop' rule, and keeps the others, with the names of those they violate.
+
+    One pass writes both, to two partitions of one folder, and counts every rule; the table is pointed at the one of
+    the passing rows. A violated 'fail' rule, over all rows, leaves the table as it was. Returns the violations per rule
+    and the refused rows with `_violated`. The replaced folder stays.
+    """
+    spark, rule_list = df.sparkSession, list(rules)
+    if clash := {VIOLATED, "_refused"} & set(df.columns):
+        raise ValueError(f"columns are kept for the refused rows: {sorted(clash)}")
+    folder = new_table_folder(spark, name)
+    watched, observation = observed(df, rule_list)
+    marked = with_violated(watched, rule_list, VIOLATED).withColumn("_refused", F.size(VIOLATED) > 0)
+    marked.write.mode("overwrite").partitionBy("_refused").parquet(folder)
+    try:
+        violations = check_observed(observation, rule_list)
+    except ExpectationFailed:
+        delete_folder(spark, folder)
+        raise
+    for part in ("true", "false"):
+        create_folder(spark, f"{folder}/_refused={part}")
+    _point_at(spark, name, f"{folder}/_refused=false", df, None)
+    refused = spark.read.schema(marked.drop("_refused").schema).parquet(f"{folder}/_refused=true")
+    return violations, refused
+
+
 def _detail(spark: SparkSession, name: str, key: str) -> str | None:
     found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(F.col("col_name") == key).first()
     return found.data_type if found else None
@@ -71,7 +100,7 @@ def _point_at(spark: SparkSession, name: str, folder: str, df: DataFrame, commen
             spark.catalog.refreshTable(name)
             return
         spark.sql(f"DROP TABLE {name}")
-    spark.catalog.createTable(name, path=folder, source="parquet", description=comment)
+    spark.catalog.createTable(name, path=folder, source="parquet", schema=df.schema, description=comment)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
