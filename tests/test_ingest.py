@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from tests.listings import frame, listing, mock_rows
 from tideline.functions.versions import file_version
+from tideline.operators.expectations import ExpectationFailed, rules
 from tideline.operators.upsert import DuplicateKeys
 from tideline.plans.medallion import run_external, run_internal
 from tideline.schemas import COMPOSITE, LINEAGE, LISTING_KEYS, LISTING_SCHEMA
@@ -17,7 +18,18 @@ from tideline.sources.files import (
     versions_present,
     with_lineage,
 )
-from tideline.sources.ingest import Feed, bronze, committed, compact, expire, ingest, land, last_version, table_folder
+from tideline.sources.ingest import (
+    Feed,
+    bronze,
+    committed,
+    compact,
+    expire,
+    ingest,
+    land,
+    last_version,
+    refusals,
+    table_folder,
+)
 from tideline.streaming.files import file_stream, stream_deliveries, stream_to_table
 
 SCHEMA = T.StructType(
@@ -329,3 +341,24 @@ def test_malformed_update_keeps_the_row(spark, rows, place):
     out = ingest(spark, feed(landing), table)
     assert rows(out.filter(F.col(CORRUPT).isNull()), "k", "price") == [(1, 1.0), (2, 1.0)]
     assert out.filter(F.col(CORRUPT).isNotNull()).count() == 2
+
+
+def test_a_stream_refuses_a_bad_file_and_goes_on(spark, rows, place, tmp_path):
+    landing, table = place
+    gate = rules({"price is positive": "price > 0"}, action="fail") + rules({"named": "name IS NOT NULL"})
+    f = feed(landing, rules=gate)
+    deliver(landing, 1, ["1,1.0,a", "2,2.0,"])
+    deliver(landing, 2, ["1,-5.0,bad", "3,-3.0,bad"])
+    deliver(landing, 3, ["3,3.0,c"])
+    for _ in range(2):
+        stream_deliveries(spark, f, table, str(tmp_path / "check"), max_files=1).awaitTermination()
+        assert rows(bronze(spark, f, table), "k", "price") == [(1, 1.0), (2, 2.0), (3, 3.0)]
+        found = refusals(spark, table).collect()
+        assert [(r.version, r.violations) for r in found] == [(2, {"price is positive": 2})]
+    with pytest.raises(ExpectationFailed):
+        land(spark, f, table)
+    assert rows(bronze(spark, f, table), "k", "price") == [(1, 1.0), (2, 2.0), (3, 3.0)]
+    deliver(landing, 2, ["1,5.0,good"])
+    assert land(spark, f, table) == [2]
+    assert rows(bronze(spark, f, table), "k", "price") == [(1, 5.0), (2, 2.0), (3, 3.0)]
+    assert refusals(spark, str(tmp_path / "none")).collect() == []

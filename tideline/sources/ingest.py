@@ -13,8 +13,10 @@ A folder counts once its marker file exists, which is created after the write an
 that leaves nothing visible and is simply repeated under the same number. One writer at a time is assumed.
 """
 
+import hashlib
+import json
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.versions import VERSION_PATTERN
+from tideline.operators.expectations import Rule, check_observed, observed
 from tideline.operators.upsert import DuplicateKeys, duplicate_keys, is_small, latest_per_key, upsert
 from tideline.schemas import LINEAGE
 from tideline.sources.files import CORRUPT, VERSION, files_present, scan_csv, with_corrupt, with_lineage
@@ -44,6 +47,8 @@ class Feed:
     taken as it is, since it merges into nothing), "latest" keeps the row with the greatest order_by values.
     Malformed lines are no updates: they are stored and counted, and neither replace a row nor repeat a key.
     on_unnamed says what to do with a file whose name carries no version: "error" stops the run, "skip" leaves the file.
+    rules are counted by the write of a delivery; a violated 'fail' rule refuses the delivery as a whole. A batch run then
+    raises; a stream goes on with the next micro-batch and notes the refusal (see `refusals`).
     """
 
     source: str
@@ -53,6 +58,7 @@ class Feed:
     on_duplicate: str = "error"
     order_by: Sequence[str] = field(default_factory=tuple)
     on_unnamed: str = "error"
+    rules: Sequence[Rule] = field(default_factory=tuple)
 
     @property
     def stored(self) -> T.StructType:
@@ -106,7 +112,11 @@ def store_delivery(
     if feed.on_duplicate == "latest":
         formed = F.col(CORRUPT).isNull()
         rows = latest_per_key(rows.filter(formed), per_delivery, feed.order_by).unionByName(rows.filter(~formed))
-    rows.select(*feed.stored.names).write.mode("overwrite").partitionBy(VERSION).parquet(folder)
+    rows, rule_list = rows.select(*feed.stored.names), list(feed.rules)
+    rows, observation = observed(rows, rule_list) if rule_list else (rows, None)
+    rows.write.mode("overwrite").partitionBy(VERSION).parquet(folder)
+    if observation:
+        check_observed(observation, rule_list)
     stored = spark.read.schema(feed.stored).parquet(folder)
     if feed.on_duplicate == "error":
         keyed = stored.filter(F.col(CORRUPT).isNull())
@@ -121,6 +131,20 @@ def store_delivery(
     commit_marker(spark, folder)
 
 
+def refuse(files: DataFrame, violations: Mapping[str, int], table: str, batch: str) -> None:
+    """Notes that the files of a micro-batch were refused. They stay pending."""
+    noted = files.withColumn("violations", F.from_json(F.lit(json.dumps(violations)), "map<string,long>"))
+    folder = hashlib.sha1(batch.encode()).hexdigest()
+    noted.withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(f"{table}/refused/{folder}")
+
+
+def refusals(spark: SparkSession, table: str) -> DataFrame:
+    """(path, version, violations, batch) of the files that streams refused; violations are per 'fail' rule and batch."""
+    kept = T.StructType([*_LEDGER.fields[:2], T.StructField("violations", T.MapType(T.StringType(), T.LongType())), _LEDGER["batch"]])
+    folders = child_names(spark, f"{table}/refused/*")
+    return spark.read.schema(kept).parquet(*folders) if folders else spark.createDataFrame([], kept)
+
+
 def _versions_in(spark: SparkSession, folder: str) -> list[int]:
     return [int(name.rsplit("=", 1)[1]) for name in child_names(spark, f"{folder}/{VERSION}=*")]
 

@@ -6,9 +6,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tideline.functions.versions import VERSION_PATTERN
+from tideline.operators.expectations import ExpectationFailed
 from tideline.schemas import LINEAGE
 from tideline.sources.files import CORRUPT, VERSION, with_corrupt, with_lineage
-from tideline.sources.ingest import Feed, ledger, store_delivery
+from tideline.sources.ingest import Feed, ledger, refuse, store_delivery
 
 
 def file_stream(
@@ -44,7 +45,8 @@ def stream_deliveries(
     """Lands new files into the table that `bronze` reads, one commit per micro-batch.
 
     The ledger names the batch, so one that is replayed after its commit is passed over, and one that died before it is
-    done again. Files that the ledger knows from a batch run or another checkpoint are left out.
+    done again. Files that the ledger knows from a batch run or another checkpoint are left out. A micro-batch that violates
+    a 'fail' rule of the feed is refused as a whole, noted, and stays invisible; set max_files to 1 to refuse single files.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
@@ -57,8 +59,13 @@ def stream_deliveries(
         new = batch.filter(F.col(VERSION).isNotNull()).join(
             taken.select(F.col("path").alias(LINEAGE)).distinct(), LINEAGE, "left_anti"
         )
-        if not new.isEmpty():
+        if new.isEmpty():
+            return
+        try:
             store_delivery(feed, new, table, batch=name)
+        except ExpectationFailed as failed:
+            files = new.select(F.col(LINEAGE).alias("path"), F.col(VERSION).alias("version")).distinct()
+            refuse(files, failed.violations, table, name)
 
     stream = file_stream(spark, feed.source, feed.schema, pattern=feed.pattern, max_files=max_files)
     return (
