@@ -311,6 +311,11 @@ WHERE l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY l_orderkey HAVING c
         ingest_version + 20240000000000 AS ingest_version FROM ({_INGESTED})""",
     "stream_after_snapshot": _INGESTED,
     "stream_new_checkpoint": _INGESTED,
+    "stream_refused_batch": f"""WITH {_LANDED}
+        SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, ingest_version FROM (
+          SELECT *, row_number() OVER (PARTITION BY o_orderkey, o_custkey ORDER BY ingest_version DESC) AS place
+          FROM landed WHERE ingest_version <= 7 OR ingest_version % 2 = 0)
+        WHERE place = 1""",
     "malformed_update_keeps_row": """
         SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, FALSE AS malformed FROM orders
         UNION ALL

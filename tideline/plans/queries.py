@@ -466,6 +466,19 @@ def stream_after_snapshot(spark, sf_dir):
     return _in_turns(spark, sf_dir, turns)
 
 
+def stream_refused_batch(spark, sf_dir):
+    """Three turns of a stream behind a rule: every second delivery of new prices has negative ones and is refused."""
+    price = F.when(F.col("delivery") % 2 == 0, -1.0).otherwise(F.col("o_totalprice") + 100)
+    landed, landing = _landed_orders(spark, sf_dir, price), new_folder(spark, "landing")
+    gate = rules({"price is positive": "o_totalprice > 0"}, action="fail")
+    feed, table = replace(_order_feed(landing), rules=gate), new_folder(spark, "bronze")
+    checkpoint = new_folder(spark, "checkpoint")
+    for where in ("delivery <= 7", "delivery > 7 AND delivery % 2 = 1", "delivery > 7 AND delivery % 2 = 0"):
+        _deliver(landed, landing, spark, where)
+        stream_deliveries(spark, feed, table, checkpoint).awaitTermination()
+    return bronze(spark, feed, table).select(*_ORDER_FILE.names, VERSION)
+
+
 def stream_new_checkpoint(spark, sf_dir):
     """A stream that starts over under a new checkpoint after a snapshot and an expiry: files it knows are passed over."""
 
@@ -969,6 +982,7 @@ QUERIES: dict[str, Query] = {
     "distinct_latest_lineage": distinct_latest_lineage,
     "stream_after_snapshot": stream_after_snapshot,
     "stream_new_checkpoint": stream_new_checkpoint,
+    "stream_refused_batch": stream_refused_batch,
     "layer_row_verdicts": layer_row_verdicts,
     "rejected_publish": rejected_publish,
     "refused_rows": refused_rows,
