@@ -22,13 +22,35 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def _reachable(spark: SparkSession, folder: str) -> str:
-    """`folder`, unless it is on this machine's disk while the executors are on others."""
+    """`folder`, unless the executors of a cluster write to disks of their own there.
+
+    A path of the machine's file system may be a mount that all share. Its name does not tell, so a trial write does.
+    """
     local = spark.sparkContext.master.startswith("local")
     if not local and (folder.startswith("file:") or (folder.startswith("/") and _default_scheme(spark) == "file")):
-        raise ValueError(f"{folder} is a folder of one machine; name one that all executors share")
+        if not _shared(spark, folder):
+            raise ValueError(f"{folder} is a folder of one machine; name one that all executors share")
     return folder
 
 
+_FOUND_SHARED: set[tuple[str, str]] = set()
+
+
+def _shared(spark: SparkSession, folder: str) -> bool:
+    """Whether the driver sees what tasks write to the folder. Tried once in an application, by a task for each core."""
+    tried = spark.sparkContext.applicationId, folder
+    if tried not in _FOUND_SHARED:
+        tasks = max(1, spark.sparkContext.defaultParallelism)
+        trial = f"{folder.rstrip('/')}/trial-{uuid.uuid4().hex}"
+        spark.range(0, tasks, 1, tasks).write.parquet(trial)
+        seen = child_names(spark, f"{trial}/part-*")
+        delete_folder(spark, trial)
+        if len(seen) < tasks:
+            return False
+        _FOUND_SHARED.add(tried)
+    return True
+
+
 def _default_scheme(spark: SparkSession) -> str:
     return spark._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(spark._jsc.hadoopConfiguration()).getScheme()
 
