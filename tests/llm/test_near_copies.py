@@ -127,3 +127,19 @@ def test_empty_and_null_ids(spark):
     assert sorted(near_copies.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect(), key=str) == sorted(
         spark.createDataFrame([rows[0], rows[2]], SCHEMA).collect(), key=str
     )
+
+
+def test_fingerprints_give_candidates(spark, monkeypatch):
+    """What fingerprints link is compared also where prefixes bring nothing together; only the similarity decides."""
+    monkeypatch.setattr(near_copies, "_groups", lambda like, prefixes: prefixes.select("c", "c").toDF("g", "c").limit(0))
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(3000)]
+    whole = rng.choices(words, k=2000)
+    edited = [*whole[:900], "changed", *whole[901:]]
+    other = rng.choices(words, k=2000)
+    texts = [" ".join(t) for t in (whole, edited, other)]
+    prints = [simhash.fingerprint_of(t.encode(), 5) for t in texts]
+    assert 0 < (prints[0] ^ prints[1]).bit_count() <= simhash.DISTANCE < ((prints[0] ^ prints[2]) % (1 << 64)).bit_count()
+    rows = [(i, t, None, None, 0) for i, t in enumerate([*texts, "one", "one two"], 1)]
+    found = near_copies.near_copies(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(map(tuple, found)) == [(1, 1), (2, 1), (3, 3), (4, 4), (5, 5)]

@@ -36,9 +36,9 @@ def shingle_hashes(text: bytes, size: int = SHINGLE_WORDS) -> np.ndarray:
     return np.fromiter((digest(p, SEED) for p in pieces), np.uint64, len(pieces))
 
 
-def fingerprint_of(text: bytes | None) -> int:
+def fingerprint_of(text: bytes | None, words: int = SHINGLE_WORDS) -> int:
     """Signed 64-bit fingerprint; 0 for a null text or one without words."""
-    hashes = shingle_hashes(text) if text else ()
+    hashes = shingle_hashes(text, words) if text else ()
     if not len(hashes):
         return 0
     ones = np.zeros(64, np.int64)
@@ -49,13 +49,12 @@ def fingerprint_of(text: bytes | None) -> int:
     return int(packed.view("<i8")[0])
 
 
-def _fingerprints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for texts in batches:
-        yield pd.Series(np.fromiter(map(fingerprint_of, texts), np.int64, len(texts)))
+def fingerprint(text: str, words: int = SHINGLE_WORDS) -> Column:
+    def fingerprints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(np.fromiter((fingerprint_of(text, words) for text in texts), np.int64, len(texts)))
 
-
-def fingerprint(text: str) -> Column:
-    return F.pandas_udf(_fingerprints, T.LongType())(F.col(text).cast("binary"))
+    return F.pandas_udf(fingerprints, T.LongType())(F.col(text).cast("binary"))
 
 
 def as_hex(fingerprint: Column) -> Column:
