@@ -30,6 +30,7 @@ from tideline.operators.unseen import (
     unseen_by_category,
     unseen_rows,
 )
+from tideline.operators import model as models
 from tideline.operators import unseen
 from tideline.plans.daily import DailyTables, monitor, score_daily
 from tideline.schemas import COMPOSITE, REVIEW_SCORES, SCORING_SCHEMA
@@ -221,3 +222,12 @@ def test_spark_samples(spark):
     assert bernoulli_sample(df, 1.0, 3).count() == 1000
     assert bernoulli_sample(df, 0.1, 3).count() == bernoulli_sample(df, 0.1, 3).count()
     assert sum(p.count() for p in random_split(df, [0.6, 0.2, 0.2], 42)) == 1000
+
+
+def test_training_partitions_grow_with_the_rows(spark, monkeypatch):
+    """A partition holds a bounded number of rows; small tables are dealt as before, and a given number holds."""
+    df = spark.range(500).selectExpr("cast(id AS double) AS x")
+    assert models.dealt(df).rdd.getNumPartitions() == models.TRAINING_PARTITIONS
+    monkeypatch.setattr(models, "PARTITION_ROWS", 10)
+    assert models.dealt(df).rdd.getNumPartitions() == 50
+    assert models.dealt(df, 3).rdd.getNumPartitions() == 3

@@ -1,5 +1,6 @@
 """Random-forest training, tuning, scoring and inspection with Spark ML."""
 
+import math
 import random
 import uuid
 from collections.abc import Mapping, Sequence
@@ -24,6 +25,7 @@ LEAST_MAX_BINS = 40
 SEED = 42
 MOST_CATEGORIES = 10_000
 TRAINING_PARTITIONS = 16
+PARTITION_ROWS = 1_000_000
 # -----------------------------------------------------------------------------------------------------
 
 
@@ -63,10 +65,15 @@ def check_categories(df: DataFrame, columns: Sequence[str], most: int = MOST_CAT
         raise ValueError(f"too many categories for a feature (limit {most}): {wide}")
 
 
-def dealt(df: DataFrame, partitions: int = TRAINING_PARTITIONS) -> DataFrame:
+def training_partitions(df: DataFrame) -> int:
+    """So many that one holds about PARTITION_ROWS rows, at least TRAINING_PARTITIONS: only the rows decide."""
+    return max(TRAINING_PARTITIONS, math.ceil(df.count() / PARTITION_ROWS))
+
+
+def dealt(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Rows dealt by the hash of their columns and sorted: the forest bags by partition and place, so the same rows
-    and the same number of partitions give the same model on any cluster. Raise the number with the data."""
-    return df.repartition(partitions, *df.columns).sortWithinPartitions(*df.columns)
+    and the same number of partitions give the same model on any cluster. Without a number it grows with the rows."""
+    return df.repartition(partitions or training_partitions(df), *df.columns).sortWithinPartitions(*df.columns)
 
 
 def fitted_features(df: DataFrame, label: str) -> PipelineModel:
@@ -74,7 +81,7 @@ def fitted_features(df: DataFrame, label: str) -> PipelineModel:
     return feature_stages(df, label).fit(df)
 
 
-def train(df: DataFrame, label: str, partitions: int = TRAINING_PARTITIONS, **params) -> PipelineModel:
+def train(df: DataFrame, label: str, partitions: int | None = None, **params) -> PipelineModel:
     """Fits indexer, assembler and forest as one model. Features are prepared once for all passes of the fit."""
     features = fitted_features(df, label)
     prepared = features.transform(dealt(df, partitions)).select("features", label)
@@ -153,7 +160,7 @@ def tune(
     model_folder: str | None = None,
     parallelism: int = 2,
     run_name: str = "forest",
-    partitions: int = TRAINING_PARTITIONS,
+    partitions: int | None = None,
 ) -> Tuning:
     """Fits `evaluations` forests and keeps the one with the least validation RMSE.
 
