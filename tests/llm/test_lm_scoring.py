@@ -136,6 +136,16 @@ def test_gradients_are_those_of_the_likelihood():
             assert g[at] == pytest.approx((up - down) / 2e-2, rel=0.03, abs=3e-3)
 
 
+def test_each_gate_of_a_step_is_a_run_of_lanes():
+    shape = gru.Shape(20, 2, (0, 3, 20), 6)
+    net = gru.Network(shape, gru.initial(shape, np.ones(20), np.ones(2)))
+    before = np.arange(12).reshape(4, 3)
+    sums = net.gate_sums(before)
+    assert sums.shape == (18, 4, 3) and sums.strides[-1] == sums.itemsize
+    expected = net.w["input"][before] @ net.w["gates"] + net.w["gates_bias"]
+    assert np.allclose(sums.transpose(1, 2, 0), expected, atol=1e-6)
+
+
 def test_windows_and_lanes_do_not_change_a_score():
     shape = gru.Shape(20, 2, (0, 3, 20), 6)
     rng = np.random.default_rng(5)

@@ -60,27 +60,34 @@ def initial(shape: Shape, counts: np.ndarray, tail_mass: np.ndarray, seed: int =
     }
 
 
-def _logistic(x: np.ndarray) -> np.ndarray:
-    """1 / (1 + exp(-x)), in place; numpy has no faster hyperbolic tangent than one made of it."""
-    np.negative(x, out=x)
-    np.minimum(x, 60.0, out=x)
+def _logistic(x: np.ndarray, times: float = 1.0) -> np.ndarray:
+    """1 / (1 + exp(-times * x)), in place; numpy has no faster hyperbolic tangent than one made of it."""
+    np.multiply(x, -times, out=x)
+    np.clip(x, -np.inf, 60.0, out=x)  # np.minimum is several times slower
     np.exp(x, out=x)
     x += 1.0
     return np.reciprocal(x, out=x)
 
 
 def _tanh(x: np.ndarray) -> np.ndarray:
-    x *= 2.0
-    _logistic(x)
+    _logistic(x, 2.0)
     x *= 2.0
     x -= 1.0
     return x
 
 
+#: Rows of logits at a time where nothing is summed over rows, so that they stay in the processor's cache.
+BLOCK_ROWS = 1024
 #: Logits above this are taken for it, so that no exponential overflows.
 MOST_LOGIT = 40.0
 
 
+def _rows(states: np.ndarray, valid: np.ndarray) -> np.ndarray:
+    """The states (size x steps x lanes) of the valid places, one a row."""
+    flat = states.reshape(len(states), -1)
+    return np.ascontiguousarray(flat.T if valid.all() else flat[:, np.flatnonzero(valid)].T)
+
+
 class Lanes:
     """Documents, none of them empty, laid end to end in lanes, the longest lane first, and read in windows of a few steps.
 
@@ -128,29 +135,34 @@ class Network:
         label = np.repeat(np.arange(shape.classes, dtype=np.int16), np.diff(shape.starts))
         self.label = np.r_[label, shape.classes + np.arange(shape.tails, dtype=np.int16)]
 
+    def gate_sums(self, before: np.ndarray) -> np.ndarray:
+        """What each token's predecessor adds to the gates: 3 size x steps x lanes, as all states and gates are laid out,
+        so that a gate of a step is a run of lanes for numpy, not one number of each lane."""
+        table = self.w["input"] @ self.w["gates"] + self.w["gates_bias"]
+        return np.take(np.ascontiguousarray(table.T), before, axis=1)
+
     def run(self, sums: np.ndarray, keep: np.ndarray, h: np.ndarray, tape: Arrays | None = None) -> np.ndarray:
         """The states after each step, from every step's gate sums, which are used up; `tape` keeps what the way back
         needs: the state before each step, both gates, the candidate and the share of it that came from the state."""
-        s, state = self.shape.size, self.w["state"]
-        out = np.empty((*sums.shape[:2], s), np.float32)
+        s, state = self.shape.size, np.ascontiguousarray(self.w["state"].T)
+        out = np.empty((s, *sums.shape[1:]), np.float32)
         whole = keep.all(axis=1)
-        for t in range(len(sums)):
+        for t in range(sums.shape[1]):
             if not whole[t]:
-                h = h * keep[t][:, None]
-            g, a = h @ state, sums[t]
-            gates, new = a[:, : 2 * s], a[:, 2 * s :]
-            gates += g[:, : 2 * s]
+                h = h * keep[t]
+            g = state @ h
+            gates, new, part = sums[: 2 * s, t], sums[2 * s :, t], g[2 * s :]
+            gates += g[: 2 * s]
             _logistic(gates)
             if tape is not None:
-                tape["before"][t], tape["part"][t] = h, g[:, 2 * s :]
-            part = g[:, 2 * s :]
-            part *= gates[:, s:]
+                tape["before"][:, t], tape["part"][:, t] = h, part
+            part *= gates[s:]
             new += part
             _tanh(new)
             h = h - new
-            h *= gates[:, :s]
+            h *= gates[:s]
             h += new
-            out[t] = h
+            out[:, t] = h
         return out
 
     def chances(self, states: np.ndarray, tokens: np.ndarray, back: Arrays | None = None) -> tuple[np.ndarray, np.ndarray | None]:
@@ -162,7 +174,7 @@ class Network:
         rows = np.arange(len(tokens))
 
         def softmax(e: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-            np.minimum(e, MOST_LOGIT, out=e)
+            np.clip(e, -np.inf, MOST_LOGIT, out=e)
             at = rows[: len(e)]
             found = e[at, chosen]
             np.exp(e, out=e)
@@ -172,9 +184,12 @@ class Network:
                 e[at, chosen] -= 1
             return found - np.log(total)
 
-        e = states @ w["class"]
-        e += w["class_bias"]
-        found, grad = softmax(e, label), None
+        block, grad = len(states) if back is not None else BLOCK_ROWS, None
+        found = np.empty(len(states), np.float32)
+        for a in range(0, len(states), max(1, block)):
+            e = states[a : a + block] @ w["class"]
+            e += w["class_bias"]
+            found[a : a + block] = softmax(e, label[a : a + block])
         if back is not None:
             back["class"] = states.T @ e
             back["class_bias"] = np.ones(len(e), np.float32) @ e
@@ -198,7 +213,7 @@ class Network:
 
     def score(self, documents: list[np.ndarray], lanes: int = 512, steps: int = 32) -> np.ndarray:
         """ln p of each document's tokens, each whole document read with one running state."""
-        table = self.w["input"] @ self.w["gates"] + self.w["gates_bias"]
+        table = np.ascontiguousarray((self.w["input"] @ self.w["gates"] + self.w["gates_bias"]).T)
         sums = np.zeros(len(documents))
         h, held, waiting = None, [], 0
 
@@ -210,10 +225,10 @@ class Network:
             held.clear()
 
         for before, token, keep, valid, owner in Lanes(documents, lanes).windows(steps):
-            h = np.zeros((before.shape[1], self.shape.size), np.float32) if h is None else h[: before.shape[1]]
-            states = self.run(table[before], keep, h)
-            h = states[-1]
-            held.append((states[valid], token[valid], owner[valid]))
+            h = np.zeros((self.shape.size, before.shape[1]), np.float32) if h is None else h[:, : before.shape[1]]
+            states = self.run(np.take(table, before, axis=1), keep, h)
+            h = states[:, -1]
+            held.append((_rows(states, valid), token[valid], owner[valid]))
             waiting += len(held[-1][1])
             if waiting >= lanes * steps:
                 settle()
@@ -226,40 +241,45 @@ class Network:
         """(gradients of -ln p within the window, the last state, ln p); the state is not followed before the window."""
         s, w = self.shape.size, self.w
         back = {"word": np.zeros_like(w["word"]), "word_bias": np.zeros_like(w["word_bias"])}
-        inputs = w["input"][before.ravel()]
-        sums = (inputs @ w["gates"] + w["gates_bias"]).reshape(*before.shape, 3 * s)
-        tape = {k: np.empty((*before.shape, s), np.float32) for k in ("before", "part")}
+        sums, h = self.gate_sums(before), np.ascontiguousarray(h.T)
+        tape = {k: np.empty((s, *before.shape), np.float32) for k in ("before", "part")}
         states = self.run(sums, keep, h, tape)
-        found, grad = self.chances(states[valid], token[valid], back)
-        from_out = np.zeros_like(states)
-        from_out[valid] = grad
-        z, r, new = sums[:, :, :s], sums[:, :, s : 2 * s], sums[:, :, 2 * s :]
+        found, grad = self.chances(_rows(states, valid), token[valid], back)
+        at = np.flatnonzero(valid)
+        if len(at) < valid.size:
+            grad, of_valid = np.zeros((valid.size, s), np.float32), grad
+            grad[at] = of_valid
+        from_out = np.ascontiguousarray(grad.T).reshape(states.shape)
+        z, r, new = sums[:s], sums[s : 2 * s], sums[2 * s :]
         by_z = (tape["before"] - new) * z * (1 - z)
         by_new = (1 - z) * (1 - new * new)
         by_r = tape["part"] * r * (1 - r)
         d_sums, d_state = np.empty_like(sums), np.empty_like(sums)
-        dh, across = np.zeros_like(states[0]), np.ascontiguousarray(w["state"].T)
+        dh, whole = np.zeros_like(h), keep.all(axis=1)
         for t in range(len(before) - 1, -1, -1):
-            dh += from_out[t]
-            d, dg = d_sums[t], d_state[t]
-            d_new = np.multiply(dh, by_new[t], out=d[:, 2 * s :])
-            np.multiply(dh, by_z[t], out=d[:, :s])
-            np.multiply(d_new, by_r[t], out=d[:, s : 2 * s])
-            dg[:, : 2 * s] = d[:, : 2 * s]
-            np.multiply(d_new, r[t], out=dg[:, 2 * s :])
-            dh *= z[t]
-            dh += dg @ across
-            dh *= keep[t][:, None]
-        flat = d_sums.reshape(-1, 3 * s)
-        back["state"] = tape["before"].reshape(-1, s).T @ d_state.reshape(-1, 3 * s)
-        back["gates"] = inputs.T @ flat
-        back["gates_bias"] = np.ones(len(flat), np.float32) @ flat
+            dh += from_out[:, t]
+            d, dg = d_sums[:, t], d_state[:, t]
+            d_new = np.multiply(dh, by_new[:, t], out=d[2 * s :])
+            np.multiply(dh, by_z[:, t], out=d[:s])
+            np.multiply(d_new, by_r[:, t], out=d[s : 2 * s])
+            dg[: 2 * s] = d[: 2 * s]
+            np.multiply(d_new, r[:, t], out=dg[2 * s :])
+            dh *= z[:, t]
+            dh += w["state"] @ dg
+            if not whole[t]:
+                dh *= keep[t]
+        flat = d_sums.reshape(3 * s, -1)
+        back["state"] = tape["before"].reshape(s, -1) @ d_state.reshape(3 * s, -1).T
+        back["gates_bias"] = flat @ np.ones(flat.shape[1], np.float32)
         names = before.ravel()
         order = np.argsort(names, kind="stable")
         at = np.flatnonzero(np.r_[True, np.diff(names[order]) > 0])
-        back["input"] = np.add.reduceat((flat @ w["gates"].T)[order], at, axis=0)
-        back["input_rows"] = names[order][at]
-        return back, states[-1], float(found.sum())
+        rows = names[order][at]
+        by_row = np.add.reduceat(np.take(flat, order, axis=1), at, axis=1)
+        back["gates"] = (by_row @ w["input"][rows]).T
+        back["input"] = by_row.T @ w["gates"].T
+        back["input_rows"] = rows
+        return back, states[:, -1].T, float(found.sum())
 
 
 class Trainer:
