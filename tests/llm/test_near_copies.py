@@ -2,6 +2,7 @@ import random
 
 import corpus_pipeline
 import numpy as np
+import pandas as pd
 import pytest
 
 from tideline.llm import near_copies, simhash
@@ -143,3 +144,13 @@ def test_fingerprints_give_candidates(spark, monkeypatch):
     rows = [(i, t, None, None, 0) for i, t in enumerate([*texts, "one", "one two"], 1)]
     found = near_copies.near_copies(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted(map(tuple, found)) == [(1, 1), (2, 1), (3, 3), (4, 4), (5, 5)]
+
+
+def test_pieces_are_bounded_and_whole():
+    texts = [None, b"", b"x" * 5, b"y" * (3 * near_copies.PIECE_BYTES), None, *[b"z" * 300_000] * 9]
+    batch = pd.DataFrame({"c": range(len(texts)), "text": texts}, index=range(7, 7 + len(texts)))
+    found = list(near_copies.pieces(batch))
+    assert [c for piece in found for c in piece["c"]] == list(range(len(texts)))
+    assert all(len(p) == 1 or sum(len(x or b"") for x in p["text"]) <= near_copies.PIECE_BYTES for p in found if p["text"].notna().sum() > 1)
+    assert len(found) > 3
+    assert sum(map(len, near_copies.pieces(batch.iloc[:0]))) == 0
