@@ -238,3 +238,32 @@ def test_quantiles_are_exact_and_meet_in_no_task(spark):
     assert D.numeric_quantiles(empty, ["x"], [0.5]).collect() == []
     plan = D.numeric_quantiles(df, ["x"], [0.5])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "percentile" not in plan
+
+
+def test_draws_of_the_query_are_written_once(spark):
+    """The comparisons read the draws; none of them hashes the keys again."""
+    from tideline.plans.queries import QUERIES
+
+    found = QUERIES["skew_numeric"](spark, "/root/testdata/sf0.001")
+    assert "md5" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.first().asDict() == {
+        "all_rows": 6000, "unfinished_rows": 0, "lost_keys": 0, "close_to_the_columns": True, "columns_that_fire": 4
+    }
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 64])
+def test_distinct_values_are_sorted_where_their_one_shuffle_puts_them(spark, buckets):
+    """No count of distinct values goes before the shuffle, and rows of one value on either side are still one value."""
+    reference = [float(i % 4000) for i in range(4000)] + [7.0, 7.0, math.inf, -math.inf, -math.inf]
+    current = [i + 0.5 for i in range(3990)] + [7.0, 7.0, 9.0, -math.inf]
+    settings = D.DriftSettings(buckets=buckets)
+    found = D.drift_statistics(column(spark, reference), column(spark, current), settings=settings)
+    row = found.first()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [place" in plan and "Aggregate [place#" in plan
+    assert not any("Aggregate [place" in line and "value#" in line.split("],")[0] for line in plan.splitlines())
+    assert (row.reference_rows, row.current_rows) == (4005, 3994)
+    assert (row.reference_values, row.all_values) == (4002, 4002 + 3990)
+    finite = [v for v in reference if abs(v) < math.inf], [v for v in current if abs(v) < math.inf]
+    row = D.drift_statistics(*(column(spark, v) for v in finite), settings=settings).first()
+    assert (row.ks, row.wasserstein) == (pytest.approx(by_hand(*finite)[0], abs=1e-12), pytest.approx(by_hand(*finite)[1], rel=1e-9))

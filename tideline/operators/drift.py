@@ -1,16 +1,17 @@
 """Distribution drift between a reference and a current frame, computed on the executors.
 
-Both frames are reduced to counts per distinct value, map side first. Numeric columns then need running sums
-over the sorted values. To keep those off a single task per column, values are laid out in buckets between
+Values that repeat are counted map side first; those that hardly do are shuffled as they are. Numeric columns need
+running sums over the sorted values. To keep those off a single task per column, values are laid out in buckets between
 quantiles: running sums are taken inside a bucket and start from the totals of the buckets before it. The
 quantiles decide the layout only; every value is counted, and results do not depend on them.
 """
 
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -76,31 +77,36 @@ def _sides(reference: DataFrame, current: DataFrame, columns: Sequence[str], as_
     )
 
 
-def _layout(both: DataFrame, columns: Sequence[str], buckets: int) -> list[list[float]]:
-    """Per column, increasing bucket bounds with open ends.
+def _sampled(df: DataFrame, buckets: int) -> list[Row]:
+    """Rows that the layout is read from: about LAYOUT_ROWS for each bucket, whatever the table's size, as a range
+    partitioner takes them. The count that sets the sample's share is one number a task."""
+    rows = df.count()
+    return df.sample(min(1.0, LAYOUT_ROWS * buckets / rows), seed=1).collect() if rows else []
 
-    The bounds only have to be about right, and no result depends on them, so they are taken the way a range
-    partitioner does: from about LAYOUT_ROWS rows for each bucket, whatever the table's size. The count that sets the
-    sample's share is one number a task.
-    """
-    wanted = LAYOUT_ROWS * buckets
-    rows = both.count()
-    if not rows:
-        return [[-float("inf"), 0.0, float("inf")] for _ in columns]
-    sample = both.select(*columns).sample(min(1.0, wanted / rows), seed=1).collect()
+
+def _layout(sample: Sequence[Row], columns: Sequence[str], buckets: int) -> list[list[float]]:
+    """Per column, increasing bucket bounds with open ends. They only have to be about right: no result depends on them."""
     bounds = []
-    for i in range(len(columns)):
-        values = sorted(r[i] for r in sample if r[i] is not None and r[i] == r[i] and abs(r[i]) != float("inf"))
+    for name in columns:
+        values = sorted(r[name] for r in sample if r[name] is not None and r[name] == r[name] and abs(r[name]) != float("inf"))
         inner = sorted({values[len(values) * k // buckets] for k in range(1, buckets)}) if values else []
         bounds.append([-float("inf"), *(inner or [0.0]), float("inf")])
     return bounds
 
 
+def _repeats(sample: Sequence[Row], name: str, side: str, buckets: int) -> bool:
+    """Whether a side's values are worth counting before the shuffle: half of the sample's occur again, or one of them
+    would fill a bucket. No result depends on it."""
+    found = Counter(r[name] for r in sample if r[side] and r[name] is not None)
+    return 2 * len(found) < found.total() or max(found.values(), default=0) * buckets > len(sample)
+
+
 def bucket_bounds(df: DataFrame, columns: Sequence[str], settings: DriftSettings = DriftSettings()) -> list[list[float]]:
     """Bucket bounds of numeric columns, as laid out from one frame."""
     values = [f"v{i}" for i in range(len(columns))]
     cells = df.selectExpr(*(f"{cell(c, 'double')} AS {v}" for c, v in zip(columns, values, strict=True)))
-    return _layout(cells, values, _bucket_count(df, settings))
+    buckets = _bucket_count(df, settings)
+    return _layout(_sampled(cells, buckets), values, buckets)
 
 
 def _bucket_count(df: DataFrame, settings: DriftSettings) -> int:
@@ -108,34 +114,52 @@ def _bucket_count(df: DataFrame, settings: DriftSettings) -> int:
     return settings.buckets or max(LEAST_BUCKETS, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def numeric_counts(
+def numeric_cells(
     reference: DataFrame, current: DataFrame, columns: Sequence[str], settings: DriftSettings = DriftSettings()
 ) -> DataFrame:
-    """(place, bucket, value, r, c): occurrences of each value on either side, by the column's place in the list.
+    """(place, bucket, value, r, c): occurrences of values on either side, by the column's place in the list.
 
-    Null and NaN are left out.
+    A value may have several rows, all of them in the task of its bucket. Null and NaN are left out.
     """
-    spark = reference.sparkSession
     both = _sides(reference, current, columns, "double")
     values = [f"v{i}" for i in range(len(columns))]
+    buckets = _bucket_count(both, settings)
+    sample = _sampled(both, buckets)
     placed = Bucketizer(
-        splitsArray=_layout(both, values, _bucket_count(both, settings)),
+        splitsArray=_layout(sample, values, buckets),
         inputCols=values,
         outputCols=[f"bucket_of_{v}" for v in values],
         handleInvalid="keep",
     ).transform(both)
-    entries = ", ".join(
-        f"struct({i} AS place, cast(bucket_of_{v} AS int) AS bucket, {v} AS value)" for i, v in enumerate(values)
-    )
-    # The null checks on the grouping keys are what the join on them would infer on one of its sides only; stated
-    # here, both sides have the same plan and the shuffle of the counts is done once and reused.
-    return spark.sql(
-        f"""SELECT place, bucket, value, sum(_r) AS r, sum(_c) AS c
-        FROM (SELECT _r, _c, inline(array({entries})) FROM {{placed}})
-        WHERE place IS NOT NULL AND bucket IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)
-        GROUP BY place, bucket, value""",
-        placed=placed,
-    )
+    repeating = {(side, v) for side in ("_r", "_c") for v in values if _repeats(sample, v, side, buckets)}
+    # The null checks on the keys are what the join on them would infer on one of its sides only; stated here, both
+    # sides have the same plan and the shuffle of the cells is done once and reused.
+    kept = "place IS NOT NULL AND bucket IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)"
+
+    def cells(side: str, repeat: bool) -> list[str]:
+        entries = ", ".join(
+            f"struct({i} AS place, cast(bucket_of_{v} AS int) AS bucket, {v} AS value)"
+            for i, v in enumerate(values)
+            if ((side, v) in repeating) == repeat
+        )
+        entries = entries and f"SELECT _r AS r, _c AS c, inline(array({entries})) FROM {{placed}} WHERE {side} = 1"
+        return [f"SELECT place, bucket, value, r, c FROM ({entries}) WHERE {kept}"] if entries else []
+
+    parts = cells("_r", False) + cells("_c", False)
+    if repeated := cells("_r", True) + cells("_c", True):
+        parts.append(
+            f"""SELECT place, bucket, value, sum(r) AS r, sum(c) AS c
+            FROM ({" UNION ALL ".join(repeated)}) GROUP BY place, bucket, value"""
+        )
+    return reference.sparkSession.sql(" UNION ALL ".join(parts), placed=placed).repartition("place", "bucket")
+
+
+def numeric_counts(
+    reference: DataFrame, current: DataFrame, columns: Sequence[str], settings: DriftSettings = DriftSettings()
+) -> DataFrame:
+    """(place, bucket, value, r, c) as `numeric_cells`, a row for each value."""
+    cells = numeric_cells(reference, current, columns, settings)
+    return cells.groupBy("place", "bucket", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
 
 
 def categorical_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -167,50 +191,55 @@ def _category_aggregates(where: str) -> str:
 
 
 def numeric_statistics(
-    counts: DataFrame, columns: Sequence[str], settings: DriftSettings = DriftSettings()
+    cells: DataFrame, columns: Sequence[str], settings: DriftSettings = DriftSettings()
 ) -> DataFrame:
     """One row per numeric column: KS distance, Wasserstein distance plain and normed.
 
     The category statistics are filled in for columns with so few values that they count as categories. The
     offsets are at most (buckets + 1) rows per column: small enough for one task per column, and to broadcast.
     """
-    return counts.sparkSession.sql(
+    # Rows of one value are peers, so running sums by RANGE end alike on each; the last of them stands for the value.
+    # The totals ask for the value, which is no NaN, lest a query of fewer columns shuffle the cells without it again.
+    return cells.sparkSession.sql(
         f"""
         WITH totals AS (
-          SELECT place, bucket, sum(r) AS r, sum(c) AS c, min(value) AS least_value,
-            sum(r * value) AS sum_r, count_if(r > 0) AS values_r
-          FROM {{counts}} GROUP BY place, bucket),
+          SELECT place, bucket, sum(if(isnan(value), 0L, r)) AS r, sum(c) AS c, min(value) AS least_value,
+            sum(r * value) AS sum_r
+          FROM {{cells}} GROUP BY place, bucket),
         offsets AS (
           SELECT place, bucket,
             (sum(r) OVER in_order) - r AS r_before, (sum(c) OVER in_order) - c AS c_before,
             lead(least_value) OVER in_order AS next_bucket_value,
             sum(r) OVER whole AS n, sum(c) OVER whole AS m,
-            try_divide(sum(sum_r) OVER whole, sum(r) OVER whole) AS mean,
-            (sum(values_r) OVER whole) <= {settings.few_values} AS few
+            try_divide(sum(sum_r) OVER whole, sum(r) OVER whole) AS mean
           FROM totals
           WINDOW whole AS (PARTITION BY place), in_order AS (PARTITION BY place ORDER BY bucket)),
         running AS (
-          SELECT place, bucket, value, r, c,
+          SELECT place, bucket, value, sum(r) OVER peers AS r, sum(c) OVER peers AS c,
             sum(r) OVER upto AS r_upto, sum(c) OVER upto AS c_upto, lead(value) OVER inside AS next_in_bucket
-          FROM {{counts}}
+          FROM {{cells}}
           WINDOW inside AS (PARTITION BY place, bucket ORDER BY value),
+            peers AS (PARTITION BY place, bucket ORDER BY value RANGE BETWEEN CURRENT ROW AND CURRENT ROW),
             upto AS (PARTITION BY place, bucket ORDER BY value ROWS UNBOUNDED PRECEDING)),
         steps AS (
-          SELECT /*+ BROADCAST(offsets) */ place, value, r, c, n, m, mean, few,
+          SELECT /*+ BROADCAST(offsets) */ place, value, r, c, n, m, mean,
             abs(try_divide(r_before + r_upto, n) - try_divide(c_before + c_upto, m)) AS gap,
             coalesce(next_in_bucket, next_bucket_value, value) AS next_value
-          FROM running JOIN offsets USING (place, bucket)),
+          FROM running JOIN offsets USING (place, bucket)
+          WHERE next_in_bucket IS NULL OR next_in_bucket <> value),
         found AS (
-          SELECT place, {_SIZES}, {_category_aggregates("few")},
+          SELECT place, {_SIZES}, {_category_aggregates("true")},
             max(gap) AS ks, sum(gap * (next_value - value)) AS wasserstein,
             sqrt(try_divide(sum(r * pow(value - mean, 2)), max(n))) AS spread
           FROM steps GROUP BY place)
         SELECT element_at(:names, place + 1) AS column, 'numeric' AS kind,
-          reference_rows, current_rows, reference_values, all_values, jensen_shannon, chi2, ks, wasserstein,
+          reference_rows, current_rows, reference_values, all_values,
+          if(reference_values <= {settings.few_values}, jensen_shannon, 0D) AS jensen_shannon,
+          if(reference_values <= {settings.few_values}, chi2, NULL) AS chi2, ks, wasserstein,
           wasserstein / greatest(spread, {settings.spread_floor}D) AS wasserstein_normed
         FROM found""",
         args={"names": list(columns)},
-        counts=counts,
+        cells=cells,
     )
 
 
@@ -219,14 +248,14 @@ def numeric_quantiles(
 ) -> DataFrame:
     """One row per column with a value: (column, n, mean, sd, quantiles), exact, over all rows.
 
-    From the same counts in buckets as the drift statistics, so neither a column nor a sketch of it meets in one task.
+    From the same cells in buckets as the drift statistics, so neither a column nor a sketch of it meets in one task.
     The quantile at a level is the least value that at least that share of the values does not exceed.
     """
-    counts = numeric_counts(df, df.filter(F.lit(False)), columns, settings)
+    cells = numeric_cells(df, df.filter(F.lit(False)), columns, settings)
     found = ", ".join(f"min(if(upto >= ceil({level}D * n), value, NULL))" for level in levels)
     return df.sparkSession.sql(
         f"""
-        WITH totals AS (SELECT place, bucket, sum(r) AS r, sum(r * value) AS s FROM {{counts}} GROUP BY place, bucket),
+        WITH totals AS (SELECT place, bucket, sum(r) AS r, sum(r * value) AS s FROM {{cells}} GROUP BY place, bucket),
         offsets AS (
           SELECT place, bucket, (sum(r) OVER in_order) - r AS before,
             sum(r) OVER whole AS n, (sum(s) OVER whole) / (sum(r) OVER whole) AS mean
@@ -235,7 +264,7 @@ def numeric_quantiles(
         running AS (
           SELECT place, bucket, value, r,
             sum(r) OVER (PARTITION BY place, bucket ORDER BY value ROWS UNBOUNDED PRECEDING) AS inside
-          FROM {{counts}}),
+          FROM {{cells}}),
         ranked AS (
           SELECT /*+ BROADCAST(offsets) */ place, value, r, n, mean, before + inside AS upto
           FROM running JOIN offsets USING (place, bucket))
@@ -243,7 +272,7 @@ def numeric_quantiles(
           sqrt(sum(r * pow(value - mean, 2)) / max(n)) AS sd, array({found}) AS quantiles
         FROM ranked GROUP BY place""",
         args={"names": list(columns)},
-        counts=counts,
+        cells=cells,
     )
 
 
@@ -280,8 +309,8 @@ def drift_statistics(
         numeric, categorical = ([c for c in kind if c in columns] for kind in (numeric, categorical))
     parts = []
     if numeric:
-        counts = numeric_counts(reference, current, numeric, settings)
-        parts.append(numeric_statistics(counts, numeric, settings))
+        cells = numeric_cells(reference, current, numeric, settings)
+        parts.append(numeric_statistics(cells, numeric, settings))
     if categorical:
         counts = categorical_counts(reference, current, categorical)
         parts.append(categorical_statistics(counts, categorical))

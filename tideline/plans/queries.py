@@ -758,9 +758,13 @@ def drift_turns(spark, sf_dir):
 def skewed_columns(spark, sf_dir):
     """Keys stay, every value is replaced by a finite one, and the draws follow the columns they were fitted to.
 
-    Drift does not fire between a column and its draws, and does between a column and the draws of another one."""
+    Drift does not fire between a column and its draws, and does between a column and the draws of another one. The
+    draws are written once: each of the comparisons would compute their hashes again, one even to lay out its work."""
     lines = _lines(spark, sf_dir).select(*LINE_KEYS, *MEASURES)
-    skewed = skew_numeric(lines, LINE_KEYS, MEASURES)
+    folder = new_folder(spark, "skewed")
+    drawn = skew_numeric(lines, LINE_KEYS, MEASURES)
+    drawn.write.parquet(folder)
+    skewed = spark.read.schema(drawn.schema).parquet(folder)
     keys = lines.select(*LINE_KEYS).exceptAll(skewed.select(*LINE_KEYS))
     finite = reduce(lambda a, b: a & b, (F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")) for c in MEASURES))
     close = D.drift_statistics(lines, skewed, columns=MEASURES).agg(F.bool_and(F.col("ks") < 0.3).alias("close_to_the_columns"))
