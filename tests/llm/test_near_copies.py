@@ -130,6 +130,20 @@ def test_empty_and_null_ids(spark):
     )
 
 
+def test_no_component_is_left_without_a_row(spark):
+    """Ids that texts of several components share, and null ids, stay in each of them; a near copy stays in none."""
+    words = [f"w{k}" for k in range(60)]
+    near = [*words[:59], "other"]
+    alone = [[f"{c}{k}" for k in range(9)] for c in "abcdef"]
+    texts = [" ".join(t) for t in (words, near, *alone)]
+    ids = [3, 5, 5, 5, None, None, 7, 7]
+    rows = [(i, t, "en", "a", 0) for i, t in zip(ids, texts, strict=True)]
+    rows += [(None, texts[4], "en", "b", 0), (None, texts[1], "en", "a", 0), (7, texts[6], "en", "a", 0)]
+    kept = near_copies.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(r["text"] for r in kept) == sorted(texts[:1] + texts[2:])
+    assert sorted(str(r["doc_id"]) for r in kept) == ["3", "5", "5", "7", "7", "None", "None"]
+
+
 def test_fingerprints_give_candidates(spark, monkeypatch):
     """What fingerprints link is compared also where prefixes bring nothing together; only the similarity decides."""
     monkeypatch.setattr(near_copies, "_groups", lambda like, prefixes: prefixes.select("c", "c").toDF("g", "c").limit(0))
